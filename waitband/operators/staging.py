@@ -19,18 +19,22 @@ from ..functions.calendar import financial_year, parse_period
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def to_count(df: DataFrame, name: str) -> Column:
-    """Cast a raw count column to bigint according to its input type."""
-    c = F.col(f"`{name}`")
-    dtype = df.schema[name].dataType
+def count_sql(dtype: T.DataType, name: str) -> str:
+    """SQL expression casting a raw count column to bigint by input type."""
+    c = f"`{name}`"
     if isinstance(dtype, _NUMERIC):
-        return c.cast("bigint")
+        return f"cast({c} as bigint)"
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return F.when(F.isnan(c), None).otherwise(c).try_cast("bigint")
+        return f"try_cast(nanvl({c}, null) as bigint)"
     if isinstance(dtype, T.DecimalType):
-        return c.try_cast("bigint")
+        return f"try_cast({c} as bigint)"
     # strings: '12', '12.0', ' 7 ', '*', ''
-    return F.trim(c.cast("string")).try_cast("double").try_cast("bigint")
+    return f"try_cast(try_cast(trim(cast({c} as string)) as double) as bigint)"
+
+
+def to_count(df: DataFrame, name: str) -> Column:
+    """Cast a raw count column to bigint according to its input type."""
+    return F.expr(count_sql(df.schema[name].dataType, name))
 
 
 def staging(raw: DataFrame, loaded_at=None, source: str = SOURCE_LABEL,
@@ -63,7 +67,8 @@ def staging(raw: DataFrame, loaded_at=None, source: str = SOURCE_LABEL,
         F.coalesce(to_count(raw, "Patients with unknown clock start date"),
                    F.lit(0).cast("bigint")).alias("patients_unknown_clock_start"),
     ]
-    cols += [F.coalesce(to_count(raw, bands.raw_name(i)), F.lit(0).cast("bigint")).alias(bands.name(i))
+    schema = {f.name: f.dataType for f in raw.schema.fields}
+    cols += [F.expr(f"coalesce({count_sql(schema[bands.raw_name(i)], bands.raw_name(i))}, 0L) as {bands.name(i)}")
              for i in range(bands.count)]
     # audit columns added by the loader are carried through when present
     for audit in ("_month_code", "_is_revised", "_financial_year", "_source_file"):

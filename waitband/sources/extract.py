@@ -20,8 +20,8 @@ Some providers are renamed or move board in the last months (for SCD2).
 same definition as SQL (used by the DuckDB oracle).  Plan: orders ⋈ customer
 (shuffle on custkey, or broadcast if Spark's size estimate allows) ⋈ nation
 (broadcast: 25 rows by definition) → lineitem ⋈ that on orderkey → one
-hash aggregation with map-side partial sums (hot groups collapse before the
-shuffle).
+aggregation per (group, band) with map-side partial sums (hot groups
+collapse before the shuffle), then a spread of the bands into columns.
 """
 
 from __future__ import annotations
@@ -91,12 +91,15 @@ def raw_extract(spark: SparkSession, sf_dir: str, bands: BandSpec = BANDS) -> Da
     """Wide extract (121 columns, raw names with spaces), one row per
     month x provider x commissioner x pathway x specialty."""
     line = _line_rows(spark, sf_dir)
-    band_aggs = [
-        F.sum(F.when(F.col("band") == i, F.col("patients"))).cast("bigint").alias(bands.raw_name(i))
-        for i in range(bands.count)
-    ]
-    agg = line.groupBy("pm", "pk", "rk", "pt", "tf").agg(
-        *band_aggs, F.sum("patients").cast("bigint").alias("__total"))
+    # Two-phase band spread: sum per (group, band) first, with map-side
+    # partial sums, then spread the (much fewer) per-band rows into columns
+    # with conditional sums.  The total is a real aggregate, not a 105-term
+    # expression, so downstream metrics stay small for the optimizer.
+    per_band = line.groupBy("pm", "pk", "rk", "pt", "tf", "band").agg(F.sum("patients").alias("p"))
+    agg = per_band.groupBy("pm", "pk", "rk", "pt", "tf").agg(
+        *[F.expr(f"cast(sum(case when band = {i} then p end) as bigint) as `{bands.raw_name(i)}`")
+          for i in range(bands.count)],
+        F.sum("p").cast("bigint").alias("__total"))
 
     pk, rk, pm = F.col("pk"), F.col("rk"), F.col("pm")
     parent_idx = F.when(((pk % MOVE_EVERY) == 0) & (pm == MOVED_MONTH), (pk + 1) % N_PARENTS) \
@@ -117,7 +120,7 @@ def raw_extract(spark: SparkSession, sf_dir: str, bands: BandSpec = BANDS) -> Da
         F.concat(F.lit("Desc "), F.col("pt")).alias("RTT Part Description"),
         F.col("tf").alias("Treatment Function Code"),
         F.concat(F.lit("Service "), F.col("tf")).alias("Treatment Function Name"),
-        *[F.col(f"`{bands.raw_name(i)}`") for i in range(bands.count)],
+        *bands.raw_names(),
         F.col("__total").alias("Total"),
         F.lit(None).cast("bigint").alias("Patients with unknown clock start date"),
         F.col("__total").alias("Total All"),
