@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import quality as DQ
+from ..operators.fact import KEY_COLUMNS
 from . import pipeline as P
 from . import published as Q
 
@@ -32,5 +34,14 @@ QUERIES = {
 }
 
 
+QUERIES.update({
+    "dq_raw_suite": lambda spark, d: DQ.run_suite(P.raw(spark, d), DQ.raw_extract_rules()),
+    "dq_suite_by_month": lambda spark, d: DQ.run_suite(P.raw(spark, d), DQ.raw_extract_rules(), by=["Period"]),
+    "dq_gate": lambda spark, d: DQ.gate(DQ.run_suite(P.raw(spark, d), DQ.raw_extract_rules())),
+    "dq_staging_suite": lambda spark, d: DQ.run_suite(P.stg(spark, d), DQ.staging_rules()),
+    "dq_key_unique": lambda spark, d: DQ.key_uniqueness(P.fact(spark, d), KEY_COLUMNS),
+})
+
+
 def queries() -> dict:
     return dict(QUERIES)

@@ -240,3 +240,131 @@ ORACLES = {
 
 def oracle_sql() -> dict[str, str]:
     return {k: f() for k, f in ORACLES.items()}
+
+
+# ---------------------------------------------------------------------------
+# Data-quality suite
+# ---------------------------------------------------------------------------
+
+def _dq_union(checks, source: str, group: str | None = None) -> str:
+    """checks: list of (name, severity, passed_sql, affected_sql, observed_sql)
+    evaluated over one aggregate row per group of ``source``."""
+    parts = []
+    g = f"{group}, " if group else ""
+    for name, sev, passed, affected, observed in checks:
+        parts.append(
+            f"select {g}'{name}' as check_name, ({passed}) as passed, "
+            f"case when ({passed}) then 'info' else '{sev}' end as severity, "
+            f"cast({affected} as bigint) as affected_rows, cast({observed} as double) as observed_value "
+            f"from {source}")
+    return "\nunion all\n".join(parts)
+
+
+def _raw_suite_sql(group: str | None) -> str:
+    b = BANDS
+    parts = "'Part_1A', 'Part_1B', 'Part_2', 'Part_2A', 'Part_3'"
+    numeric = [b.raw_name(i) for i in range(b.count)] + ["Total", "Patients with unknown clock start date",
+                                                         "Total All"]
+    anyneg = " or ".join(f'{_q(c)} < 0' for c in numeric)
+    bsum = " + ".join(f"coalesce(try_cast({_q(c)} as double), 0)" for c in b.raw_names())
+    tot = 'coalesce(try_cast("Total All" as double), 0)'
+    core = ["C_110", "C_130", "C_100", "C_120", "C_999"]
+    has_core = ",\n  ".join(f"max(case when \"Treatment Function Code\" = '{c}' then 1 else 0 end) as core_{i}"
+                            for i, c in enumerate(core))
+    has_part = ",\n  ".join(f"max(case when \"RTT Part Type\" = '{p}' then 1 else 0 end) as part_{i}"
+                            for i, p in enumerate(["Part_1A", "Part_1B", "Part_2", "Part_2A", "Part_3"]))
+    sel_group = f'"Period" as period, ' if group else ""
+    grp = ' group by "Period"' if group else ""
+    agg = f"""dq as (
+ select {sel_group}count(*) as n,
+  sum(case when "Period" is null then 1 else 0 end) as period_nulls,
+  sum(case when "Period" is not null and not regexp_matches("Period", '^RTT-[A-Za-z]+[ -][0-9]{{4}}$') then 1 else 0 end) as period_bad,
+  {has_part},
+  sum(case when "RTT Part Type" is not null and "RTT Part Type" not in ({parts}) then 1 else 0 end) as part_extra,
+  sum(case when "RTT Part Type" is null or "RTT Part Type" not in ({parts}) then 1 else 0 end) as part_unknown,
+  sum(case when "Provider Org Code" is null then 1 else 0 end) as prov_nulls,
+  count(distinct "Provider Org Code") as prov_d, count("Provider Org Code") as prov_n,
+  sum(case when "Total All" is null then 1 else 0 end) as total_nulls,
+  sum(case when try_cast("Total All" as double) < 0 or try_cast("Total All" as double) > 500000 then 1 else 0 end) as total_out,
+  sum(case when "Treatment Function Code" is null then 1 else 0 end) as tf_nulls,
+  count(distinct "Period") as period_d, max(case when "Period" is null then 1 else 0 end) as period_z,
+  count(distinct "Provider Parent Org Code") as parent_d,
+  {has_core},
+  sum(case when {anyneg} then 1 else 0 end) as neg_rows,
+  sum(case when "RTT Part Type" = 'Part_2' and abs(({bsum}) - {tot}) / (case when {tot} = 0 then 1 else {tot} end) * 100 > 5.0 then 1 else 0 end) as band_bad,
+  sum(case when "Provider Org Code" is not null and not regexp_matches("Provider Org Code", '^[A-Z0-9]{{3,6}}$') then 1 else 0 end) as code_bad
+ from raw{grp})"""
+    ratio = "cast(prov_d as double) / nullif(cast(prov_n as double), 0)"
+    part_present = " + ".join(f"part_{i}" for i in range(5))
+    core_present = " + ".join(f"core_{i}" for i in range(5))
+    checks = [
+        ("row_count_in_expected_range", "error", "n between 50000 and 300000", "0", "n"),
+        ("column_count_equals_121", "error", "true", "0", "121"),
+        ("period_not_null", "error", "period_nulls = 0", "period_nulls", "period_nulls"),
+        ("period_matches_format", "error", "period_bad = 0", "period_bad", "period_bad"),
+        ("part_types_equal_set", "error", f"({part_present}) = 5 and part_extra = 0", "part_extra", f"({part_present})"),
+        ("rtt_part_types_are_known_values", "error", "part_unknown = 0", "part_unknown", "part_unknown"),
+        ("provider_org_code_not_null", "error", "prov_nulls = 0", "prov_nulls", "prov_nulls"),
+        ("provider_org_code_unique_ratio", "error", f"coalesce({ratio} between 0.001 and 0.01, false)", "0", ratio),
+        ("total_all_never_null", "error", "total_nulls = 0", "total_nulls", "total_nulls"),
+        ("total_all_between", "error", "total_out = 0", "total_out", "total_out"),
+        ("treatment_function_code_not_null", "error", "tf_nulls = 0", "tf_nulls", "tf_nulls"),
+        ("single_period_per_file", "error", "period_d + period_z = 1", "0", "period_d + period_z"),
+        ("icb_count_equals_42", "warning", "parent_d = 42", "0", "parent_d"),
+        ("core_specialties_present", "warning", f"5 - ({core_present}) = 0", "0", f"5 - ({core_present})"),
+        ("no_negative_patient_counts", "error", "neg_rows = 0", "neg_rows", "neg_rows"),
+        ("week_band_sum_consistency", "warning", "band_bad = 0", "band_bad", "band_bad"),
+        ("provider_code_format_valid", "warning", "code_bad = 0", "code_bad", "code_bad"),
+    ]
+    out_group = '"period" as "Period"' if group else None
+    return with_base(_dq_union(checks, "dq", out_group), agg)
+
+
+def q_dq_raw_suite() -> str:
+    return _raw_suite_sql(None)
+
+
+def q_dq_suite_by_month() -> str:
+    return _raw_suite_sql("Period")
+
+
+def q_dq_gate() -> str:
+    inner = _raw_suite_sql(None)
+    return f"""with res as ({inner})
+select (sum(case when not passed and severity = 'error' then 1 else 0 end) = 0) as passed,
+ cast(sum(case when not passed and severity = 'error' then 1 else 0 end) as bigint) as errors,
+ cast(sum(case when not passed and severity = 'warning' then 1 else 0 end) as bigint) as warnings,
+ cast(sum(case when passed then 1 else 0 end) as bigint) as checks_passed,
+ cast(count(*) as bigint) as checks_total
+from res"""
+
+
+def q_dq_staging_suite() -> str:
+    cols = ["period_date", "financial_year", "provider_org_code", "provider_org_name", "rtt_part_type",
+            "treatment_function_code", "total_all", "_loaded_at", "_source"]
+    nulls = ",\n  ".join(f"sum(case when {c} is null then 1 else 0 end) as n_{c}" for c in cols)
+    agg = f"""dq as (
+ select {nulls},
+  sum(case when rtt_part_type is not null and rtt_part_type not in ('Part_1A', 'Part_1B', 'Part_2', 'Part_2A', 'Part_3') then 1 else 0 end) as bad_part
+ from stg2)"""
+    checks = [(f"not_null_{c}", "error", f"n_{c} = 0", f"n_{c}", f"n_{c}") for c in cols]
+    checks.append(("accepted_values_rtt_part_type", "error", "bad_part = 0", "bad_part", "bad_part"))
+    return with_base(_dq_union(checks, "dq"), agg)
+
+
+def q_dq_key_unique() -> str:
+    return with_base("""select 'key_unique' as check_name, (count(*) = 0) as passed,
+ case when count(*) = 0 then 'info' else 'error' end as severity,
+ cast(coalesce(sum(n), 0) as bigint) as affected_rows, cast(count(*) as double) as observed_value
+from (select rtt_performance_id, count(*) as n from fact
+      group by period_date, provider_org_code, commissioner_org_code, treatment_function_code, rtt_performance_id
+      having count(*) > 1) d""")
+
+
+ORACLES.update({
+    "dq_raw_suite": q_dq_raw_suite,
+    "dq_suite_by_month": q_dq_suite_by_month,
+    "dq_gate": q_dq_gate,
+    "dq_staging_suite": q_dq_staging_suite,
+    "dq_key_unique": q_dq_key_unique,
+})
