@@ -3,9 +3,16 @@ operator / published query, each reading the base tables end to end."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators import calendar_ops as CAL
+from ..operators import load as LD
 from ..operators import quality as DQ
+from ..session import scratch_path
+from ..sources.tables import table
 from ..operators.fact import KEY_COLUMNS
 from . import pipeline as P
 from . import published as Q
@@ -43,5 +50,42 @@ QUERIES.update({
 })
 
 
+def _orders_bounds(spark, d):
+    return table(spark, d, "orders").agg(F.min("o_orderdate").alias("start"), F.max("o_orderdate").alias("end"))
+
+
+def _loaded_months(spark, d):
+    return P.stg(spark, d).select("period_date")
+
+
+def _backfill_plan(spark, d):
+    spine = CAL.spine_last_n(spark.range(1).select(F.lit(P.AS_OF.date()).alias("as_of")), 24)
+    return CAL.backfill_plan(spine, _loaded_months(spark, d))
+
+
+def _double_load(spark, d):
+    """Load every month, then reload January: the table must hold each
+    month once."""
+    raw = P.raw(spark, d)
+    path = scratch_path(spark, "month-load")
+    LD.load_months(raw, path, P.loaded_at_literal(), source_file="fixture")
+    LD.load_months(raw, path, P.loaded_at_literal(), months=["Jan26"], source_file="fixture")
+    src = LD.with_audit(raw, P.loaded_at_literal(), source_file="fixture")
+    return LD.load_reconcile(src, spark.read.parquet(path))
+
+
+QUERIES.update({
+    "month_spine_orders": lambda spark, d: CAL.spine_between(_orders_bounds(spark, d)),
+    "month_spine_lastn": lambda spark, d: CAL.spine_last_n(
+        table(spark, d, "orders").agg(F.max("o_orderdate").alias("as_of")), 6),
+    "backfill_plan": _backfill_plan,
+    "backfill_summary": lambda spark, d: CAL.backfill_summary(_backfill_plan(spark, d)),
+    "freshness_events": lambda spark, d: CAL.source_freshness(
+        table(spark, d, "events"), "ts", dt.date(2024, 3, 1)),
+    "month_overwrite_idempotent": _double_load,
+    "load_summary": lambda spark, d: LD.load_summary(_double_load(spark, d)),
+})
+
+
 def queries() -> dict:
     return dict(QUERIES)

@@ -368,3 +368,81 @@ ORACLES.update({
     "dq_staging_suite": q_dq_staging_suite,
     "dq_key_unique": q_dq_key_unique,
 })
+
+
+# ---------------------------------------------------------------------------
+# Calendar, backfill, freshness, loads
+# ---------------------------------------------------------------------------
+
+def _month_cols(d: str) -> str:
+    return (f"{d} as period_date, cast(year({d}) as bigint) as year, cast(month({d}) as bigint) as month, "
+            f"strftime({d}, '%b%y') as month_code, "
+            f"cast(year({d} - interval 3 month) as varchar) || '-' || "
+            f"lpad(cast((year({d} - interval 3 month) + 1) % 100 as varchar), 2, '0') as financial_year")
+
+
+def q_month_spine_orders() -> str:
+    return f"""select {_month_cols('cast(m as date)')}
+from (select date_trunc('month', min(o_orderdate)) as s, date_trunc('month', max(o_orderdate)) as e from orders) b,
+ generate_series(b.s, b.e, interval 1 month) g(m)"""
+
+
+def q_month_spine_lastn() -> str:
+    return f"""select {_month_cols('cast(m as date)')}
+from (select date_trunc('month', max(o_orderdate)) as a from orders) b,
+ generate_series(b.a - interval 6 month, b.a - interval 1 month, interval 1 month) g(m)"""
+
+
+def _backfill_ctes() -> str:
+    return f"""spine as (select {_month_cols('cast(m as date)')}
+ from generate_series(timestamp '2024-02-01', timestamp '2026-01-01', interval 1 month) g(m)),
+loaded as (select distinct period_date from stg2),
+plan as (select s.*, (l.period_date is not null) as already_loaded,
+ case when l.period_date is not null then 'skipped' else 'pending' end as status
+ from spine s left join loaded l on s.period_date = l.period_date)"""
+
+
+def q_backfill_plan() -> str:
+    return with_base("select * from plan", _backfill_ctes())
+
+
+def q_backfill_summary() -> str:
+    return with_base("""select status, cast(count(*) as bigint) as months, min(period_date) as first_month,
+ max(period_date) as last_month from plan group by status""", _backfill_ctes())
+
+
+def q_freshness_events() -> str:
+    return """select max(ts) as max_loaded_at, cast(count(*) as bigint) as rows,
+ cast(date_diff('day', cast(max(ts) as date), date '2024-03-01') as bigint) as age_days,
+ case when max(ts) is null then 'error'
+      when date_diff('day', cast(max(ts) as date), date '2024-03-01') > 40 then 'error'
+      when date_diff('day', cast(max(ts) as date), date '2024-03-01') > 35 then 'warn' else 'pass' end as status
+from events"""
+
+
+def _reconcile_sql() -> str:
+    return with_base("""select strftime(period_date, '%b%y') as _month_code, cast(count(*) as bigint) as rows_expected,
+ cast(count(*) as bigint) as rows_loaded, true as success
+from stg2 group by 1""")
+
+
+def q_month_overwrite_idempotent() -> str:
+    return _reconcile_sql()
+
+
+def q_load_summary() -> str:
+    return f"""with r as ({_reconcile_sql()})
+select cast(count(*) as bigint) as months, cast(sum(case when success then 1 else 0 end) as bigint) as succeeded,
+ cast(sum(case when success then 0 else 1 end) as bigint) as failed, cast(sum(rows_loaded) as bigint) as total_rows
+from r"""
+
+
+ORACLES.update({
+    "month_spine_orders": q_month_spine_orders,
+    "month_spine_lastn": q_month_spine_lastn,
+    "backfill_plan": q_backfill_plan,
+    "backfill_summary": q_backfill_summary,
+    "freshness_events": q_freshness_events,
+    "month_overwrite_idempotent": q_month_overwrite_idempotent,
+    "load_summary": q_load_summary,
+})
