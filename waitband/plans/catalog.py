@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import calendar_ops as CAL
 from ..operators import load as LD
 from ..operators import quality as DQ
+from ..operators import scd2 as SCD
 from ..session import scratch_path
 from ..sources.tables import table
 from ..operators.fact import KEY_COLUMNS
@@ -87,5 +88,36 @@ QUERIES.update({
 })
 
 
+PROVIDER_KEY = "provider_org_code"
+PROVIDER_ATTRS = ["provider_org_name", "provider_parent_org_code", "provider_parent_name"]
+
+
+def _provider_history(spark, d):
+    return SCD.scd2_from_history(P.stg(spark, d), PROVIDER_KEY, PROVIDER_ATTRS)
+
+
+def _scd2_two_steps(spark, d):
+    stg = P.stg(spark, d)
+    early = SCD.latest_per_key(stg.filter(F.col("period_date") <= F.lit(dt.date(2025, 11, 1))),
+                               PROVIDER_KEY, PROVIDER_ATTRS)
+    snap1 = SCD.scd2_check(None, early, PROVIDER_KEY, PROVIDER_ATTRS, dt.date(2025, 12, 1))
+    latest = SCD.latest_per_key(stg, PROVIDER_KEY, PROVIDER_ATTRS)
+    return SCD.scd2_check(snap1, latest, PROVIDER_KEY, PROVIDER_ATTRS, dt.date(2026, 2, 1))
+
+
+def _asof_provider(spark, d):
+    fact = P.fact(spark, d).select("rtt_performance_id", "period_date", "provider_org_code", "provider_org_name")
+    return SCD.asof_join(fact, _provider_history(spark, d), PROVIDER_KEY, "period_date",
+                         ["provider_org_name", "provider_parent_org_code"])
+
+
+QUERIES.update({
+    "scd2_from_history": _provider_history,
+    "scd2_current": lambda spark, d: SCD.current_versions(_provider_history(spark, d)),
+    "scd2_check": _scd2_two_steps,
+    "asof_provider_name": _asof_provider,
+})
+
+
 def queries() -> dict:
     return dict(QUERIES)

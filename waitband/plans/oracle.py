@@ -446,3 +446,84 @@ ORACLES.update({
     "month_overwrite_idempotent": q_month_overwrite_idempotent,
     "load_summary": q_load_summary,
 })
+
+
+# ---------------------------------------------------------------------------
+# SCD2 and as-of join
+# ---------------------------------------------------------------------------
+
+_TOK = SURROGATE_NULL_TOKEN
+_ATTRS = ["provider_org_name", "provider_parent_org_code", "provider_parent_name"]
+
+
+def _history_ctes() -> str:
+    order = ", ".join(f"{a} nulls first" for a in _ATTRS)
+    attrs = ", ".join(_ATTRS)
+    chg = " or ".join(f"{a} is distinct from lag({a}) over w" for a in _ATTRS)
+    return f"""pp as (select provider_org_code, period_date, {attrs} from (
+  select *, row_number() over (partition by provider_org_code, period_date order by {order}) as rn
+  from stg2 where provider_org_code is not null) where rn = 1),
+fl as (select *, case when lag(period_date) over w is null then 1 when {chg} then 1 else 0 end as chg
+  from pp window w as (partition by provider_org_code order by period_date)),
+nb as (select *, sum(chg) over (partition by provider_org_code order by period_date
+  rows between unbounded preceding and current row) as version from fl),
+vs as (select provider_org_code, version, {attrs}, min(period_date) as valid_from, max(period_date) as last_seen
+  from nb group by provider_org_code, version, {attrs}),
+hist as (select provider_org_code, {attrs}, cast(version as bigint) as version,
+  md5(concat_ws('-', coalesce(provider_org_code, '{_TOK}'), coalesce(cast(valid_from as varchar), '{_TOK}'))) as scd_id,
+  valid_from, lead(valid_from) over (partition by provider_org_code order by version) as valid_to,
+  (lead(valid_from) over (partition by provider_org_code order by version)) is null as is_current, last_seen
+  from vs)"""
+
+
+def q_scd2_from_history() -> str:
+    return with_base("select * from hist", _history_ctes())
+
+
+def q_scd2_current() -> str:
+    return with_base("select * from hist where valid_to is null", _history_ctes())
+
+
+def q_scd2_check() -> str:
+    attrs = ", ".join(_ATTRS)
+    order = ", ".join(f"{a} nulls first" for a in _ATTRS)
+    same = " and ".join(f"c.{a} is not distinct from i.{a}" for a in _ATTRS)
+
+    def latest(where: str) -> str:
+        return (f"select provider_org_code, {attrs} from (select *, row_number() over (partition by provider_org_code "
+                f"order by period_date desc, {order}) as rn from stg2 where provider_org_code is not null {where}) "
+                f"where rn = 1")
+
+    def sid(d: str) -> str:
+        return f"md5(concat_ws('-', coalesce(provider_org_code, '{_TOK}'), '{d}'))"
+    ctes = f"""lp1 as ({latest("and period_date <= date '2025-11-01'")}),
+snap1 as (select provider_org_code, {attrs}, {sid('2025-12-01')} as scd_id, date '2025-12-01' as valid_from,
+  cast(null as date) as valid_to, true as is_current from lp1),
+lp2 as ({latest("")})"""
+    cattrs = ", ".join(f"c.{a}" for a in _ATTRS)
+    sel = f"""select c.provider_org_code, {cattrs}, c.scd_id, c.valid_from,
+ case when i.provider_org_code is null or not ({same}) then date '2026-02-01' else c.valid_to end as valid_to,
+ case when i.provider_org_code is null or not ({same}) then false else c.is_current end as is_current
+from snap1 c left join lp2 i on c.provider_org_code = i.provider_org_code
+union all
+select i.provider_org_code, {", ".join(f"i.{a}" for a in _ATTRS)},
+ md5(concat_ws('-', coalesce(i.provider_org_code, '{_TOK}'), '2026-02-01')) as scd_id,
+ date '2026-02-01' as valid_from, cast(null as date) as valid_to, true as is_current
+from lp2 i left join snap1 c on c.provider_org_code = i.provider_org_code
+where c.provider_org_code is null or not ({same})"""
+    return with_base(sel, ctes)
+
+
+def q_asof_provider_name() -> str:
+    return with_base("""select f.rtt_performance_id, f.period_date, f.provider_org_code, f.provider_org_name,
+ h.provider_org_name as asof_provider_org_name, h.provider_parent_org_code as asof_provider_parent_org_code
+from fact f left join hist h on f.provider_org_code = h.provider_org_code and f.period_date >= h.valid_from
+ and (h.valid_to is null or f.period_date < h.valid_to)""", _history_ctes())
+
+
+ORACLES.update({
+    "scd2_from_history": q_scd2_from_history,
+    "scd2_current": q_scd2_current,
+    "scd2_check": q_scd2_check,
+    "asof_provider_name": q_asof_provider_name,
+})
