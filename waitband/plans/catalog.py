@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from ..operators import calendar_ops as CAL
 from ..operators import load as LD
+from ..operators import distribution as DI
+from ..operators import features as FE
 from ..operators import quality as DQ
+from ..operators import windows as WN
 from ..operators import scd2 as SCD
 from ..session import scratch_path
 from ..sources.tables import table
@@ -119,5 +122,36 @@ QUERIES.update({
 })
 
 
+def _panel(spark, d):
+    return FE.entity_month_panel(P.fact(spark, d))
+
+
+def _orders_month(spark, d):
+    return table(spark, d, "orders").select(F.trunc(F.to_date("o_orderdate"), "month").alias("order_month"),
+                                            "o_orderstatus")
+
+
+def _stg_part2(spark, d):
+    return P.stg(spark, d).filter(F.col("rtt_part_type") == "Part_2")
+
+
+QUERIES.update({
+    "pct_of_partition_orders": lambda spark, d: WN.share_of_partition(
+        _orders_month(spark, d).groupBy("order_month", "o_orderstatus").agg(F.count(F.lit(1)).alias("orders")),
+        "orders", ["order_month"]),
+    "lag_change_orders": lambda spark, d: WN.period_change(
+        _orders_month(spark, d).groupBy("order_month").agg(F.count(F.lit(1)).alias("orders")),
+        "orders", "order_month", change_alias="mom_change", pct_alias="mom_pct_change"),
+    "breach_features": lambda spark, d: FE.breach_features(_panel(spark, d)),
+    "perf_anomalies": lambda spark, d: FE.performance_anomalies(_panel(spark, d)),
+    "submission_gaps": lambda spark, d: FE.submission_gaps(P.fact(spark, d), FE.ENTITY),
+    "completeness_by_month": lambda spark, d: FE.completeness_by_month(P.fact(spark, d), FE.ENTITY),
+    "band_long_national": lambda spark, d: DI.band_long(DI.aggregate_bands(_stg_part2(spark, d), ["period_date"]),
+                                                        ["period_date"]),
+    "wait_distribution": lambda spark, d: DI.distribution_stats(
+        _stg_part2(spark, d), ["period_date", "provider_org_code", "treatment_function_code"]),
+})
+
+
 def queries() -> dict:
     return dict(QUERIES)

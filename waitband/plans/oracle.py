@@ -527,3 +527,136 @@ ORACLES.update({
     "scd2_check": q_scd2_check,
     "asof_provider_name": q_asof_provider_name,
 })
+
+
+# ---------------------------------------------------------------------------
+# Windows, features, distributions
+# ---------------------------------------------------------------------------
+
+def q_pct_of_partition_orders() -> str:
+    return """select order_month, o_orderstatus, orders,
+ round(cast(orders as double) * 100.0 / cast(sum(orders) over (partition by order_month) as double), 1) as pct_of_total
+from (select cast(date_trunc('month', o_orderdate) as date) as order_month, o_orderstatus,
+      cast(count(*) as bigint) as orders from orders group by 1, 2) g"""
+
+
+def q_lag_change_orders() -> str:
+    return """select order_month, orders, orders - lag(orders) over (order by order_month) as mom_change,
+ round(cast(orders - lag(orders) over (order by order_month) as double) * 100.0
+       / nullif(cast(lag(orders) over (order by order_month) as double), 0), 2) as mom_pct_change
+from (select cast(date_trunc('month', o_orderdate) as date) as order_month, cast(count(*) as bigint) as orders
+      from orders group by 1) g"""
+
+
+def _panel_cte() -> str:
+    return """panel0 as (select provider_org_code, treatment_function_code, period_date,
+  cast(sum(total_incomplete) as bigint) as total_incomplete,
+  cast(sum(patients_within_18_weeks) as bigint) as patients_within_18_weeks,
+  cast(sum(patients_waiting_52_plus_weeks) as bigint) as patients_waiting_52_plus_weeks,
+  cast(max(cast(is_surgical as int)) as boolean) as is_surgical
+ from fact group by provider_org_code, treatment_function_code, period_date),
+panel as (select *,
+  round(cast(patients_within_18_weeks as double) * 100.0 / nullif(cast(total_incomplete as double), 0), 1)
+    as pct_within_18_weeks,
+  (cast(patients_within_18_weeks as double) * 100.0 / nullif(cast(total_incomplete as double), 0)) >= 92.0
+    as meets_18_week_standard
+ from panel0)"""
+
+
+def q_breach_features() -> str:
+    return with_base("""select *,
+ case when count(pct_within_18_weeks) over w3 = 3
+      then cast(sum(cast(round(pct_within_18_weeks * 10) as bigint)) over w3 as double) / 30.0 end as rolling_3m_pct,
+ total_incomplete - lag(total_incomplete) over w as mom_list_change,
+ cast(patients_waiting_52_plus_weeks as double) / nullif(cast(total_incomplete as double), 0) as long_waiter_ratio,
+ case when lead(period_date) over w = cast(period_date + interval 1 month as date)
+      then lead(meets_18_week_standard) over w end as target_meets_next_month,
+ case when lead(period_date) over w = cast(period_date + interval 1 month as date)
+      then lead(total_incomplete) over w end as target_total_next_month
+from panel
+window w as (partition by provider_org_code, treatment_function_code order by period_date),
+ w3 as (partition by provider_org_code, treatment_function_code order by period_date
+        rows between 3 preceding and 1 preceding)""", _panel_cte())
+
+
+def q_perf_anomalies() -> str:
+    return with_base("""select provider_org_code, treatment_function_code, period_date, total_incomplete,
+ patients_within_18_weeks, patients_waiting_52_plus_weeks, is_surgical, pct_within_18_weeks, meets_18_week_standard,
+ round(mean / 10.0, 4) as history_mean_pct, round(z, 4) as z_score, coalesce(abs(round(z, 4)) > 2.0, false) as is_anomaly
+from (select *, (cast(t as double) - mean) / case when var > 0 then sqrt(var) end as z
+ from (select *, s / n as mean, (s2 - s * s / n) / nullif(n - 1.0, 0) as var
+  from (select *, cast(count(t) over e as double) as n, cast(sum(t) over e as double) as s,
+          cast(sum(t * t) over e as double) as s2
+        from (select *, cast(round(pct_within_18_weeks * 10) as bigint) as t from panel)
+        window e as (partition by provider_org_code, treatment_function_code))))""", _panel_cte())
+
+
+def _gaps_ctes() -> str:
+    return """present as (select distinct provider_org_code, treatment_function_code, period_date from fact),
+ents as (select distinct provider_org_code, treatment_function_code from present),
+bounds as (select min(period_date) as s, max(period_date) as e from fact),
+expected as (select n.provider_org_code, n.treatment_function_code, cast(g.m as date) as period_date
+ from ents n, bounds b, generate_series(b.s, b.e, interval 1 month) g(m)),
+gaps as (select x.* from expected x anti join present p on x.provider_org_code = p.provider_org_code
+ and x.treatment_function_code = p.treatment_function_code and x.period_date = p.period_date)"""
+
+
+def q_submission_gaps() -> str:
+    return with_base("select * from gaps", _gaps_ctes())
+
+
+def q_completeness_by_month() -> str:
+    return with_base("""select coalesce(r.period_date, g.period_date) as period_date,
+ coalesce(r.reporting, 0) as reporting, coalesce(g.missing, 0) as missing
+from (select period_date, cast(count(*) as bigint) as reporting from present group by 1) r
+full join (select period_date, cast(count(*) as bigint) as missing from gaps group by 1) g
+ on r.period_date = g.period_date""", _gaps_ctes())
+
+
+def _band_agg_cte(grain: str) -> str:
+    sums = ", ".join(f"cast(sum({n}) as bigint) as {n}" for n in BANDS.names())
+    return f"agg as (select {grain}, {sums} from stg2 where rtt_part_type = 'Part_2' group by {grain})"
+
+
+def _band_unnest(grain: str) -> str:
+    return (f"select {grain}, cast(unnest(range(0, {BANDS.count})) as bigint) as week, "
+            f"unnest([{', '.join(BANDS.names())}]) as patients from agg")
+
+
+def q_band_long_national() -> str:
+    return with_base(_band_unnest("period_date"), _band_agg_cte("period_date"))
+
+
+def q_wait_distribution() -> str:
+    g = "period_date, provider_org_code, treatment_function_code"
+    tot = " + ".join(BANDS.names())
+    shares = []
+    for q, (lo, hi) in enumerate([(0, 26), (26, 52), (52, 78), (78, None)], start=1):
+        shares.append(f"cast({_bsum(lo, hi)} as double) / nullif(cast({tot} as double), 0) as share_q{q}")
+    ctes = f"""{_band_agg_cte(g)},
+lng as ({_band_unnest(g)}),
+lw as (select *, patients * (2 * week + 1) as w2,
+  sum(patients) over r as cum_n, sum(patients * (2 * week + 1)) over r as cum_w2,
+  sum(patients) over (partition by {g}) as n_all
+ from lng window r as (partition by {g} order by week rows between unbounded preceding and current row)),
+per as (select {g}, cast(sum(patients) as bigint) as n, sum(cast(w2 as hugeint)) as w2_total,
+  sum(cast(patients as hugeint) * cast(2 * cum_w2 - w2 as hugeint)) as gini_num,
+  min(case when n_all > 0 and 2 * cum_n >= n_all then week end) as median_band
+ from lw group by {g}),
+shares as (select {g}, {", ".join(shares)} from agg)"""
+    return with_base(f"""select s.*, p.n, cast(p.median_band as double) + 0.5 as median_wait_weeks,
+ case when p.n > 0 and p.w2_total > 0
+      then 1.0 - cast(p.gini_num as double) / (cast(p.n as double) * cast(p.w2_total as double)) end as wait_gini
+from shares s join per p using ({g})""", ctes)
+
+
+ORACLES.update({
+    "pct_of_partition_orders": q_pct_of_partition_orders,
+    "lag_change_orders": q_lag_change_orders,
+    "breach_features": q_breach_features,
+    "perf_anomalies": q_perf_anomalies,
+    "submission_gaps": q_submission_gaps,
+    "completeness_by_month": q_completeness_by_month,
+    "band_long_national": q_band_long_national,
+    "wait_distribution": q_wait_distribution,
+})
