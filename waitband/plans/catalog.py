@@ -16,6 +16,7 @@ from ..operators import quality as DQ
 from ..operators import windows as WN
 from ..operators import scd2 as SCD
 from ..session import scratch_path
+from ..sources import pages as PG
 from ..sources.tables import table
 from ..operators.fact import KEY_COLUMNS
 from . import pipeline as P
@@ -153,5 +154,13 @@ QUERIES.update({
 })
 
 
+QUERIES.update({
+    "release_links": lambda spark, d: PG.release_links(table(spark, d, "pages")),
+    "publication_status": lambda spark, d: CAL.publication_status(
+        CAL.spine_last_n(table(spark, d, "orders").agg(F.max("o_orderdate").alias("as_of")), 6),
+        PG.release_links(table(spark, d, "pages"))),
+})
+
+
 def queries() -> dict:
     return dict(QUERIES)

@@ -660,3 +660,49 @@ ORACLES.update({
     "band_long_national": q_band_long_national,
     "wait_distribution": q_wait_distribution,
 })
+
+
+# ---------------------------------------------------------------------------
+# Release pages
+# ---------------------------------------------------------------------------
+
+def _links_cte() -> str:
+    are = r'(?s)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
+    return f"""anch as (select page_id, url, cast(generate_subscripts(h, 1) - 1 as bigint) as anchor_pos,
+  unnest(h) as href, trim(regexp_replace(unnest(t), '<[^>]*>', '', 'g')) as anchor_text
+ from (select page_id, url, regexp_extract_all(html, '{are}', 1) as h,
+              regexp_extract_all(html, '{are}', 2) as t from pages)),
+res as (select *, case
+   when regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://') then href
+   when starts_with(href, '//') then regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) || ':' || href
+   when starts_with(href, '/') then regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1) || href
+   else regexp_replace(regexp_replace(url, '[?#].*$', ''), '[^/]*$', '') || href end as link
+ from anch),
+seg as (select *, string_split(regexp_replace(link, '[?#].*$', ''), '/')[-1] as s from res),
+links as (select page_id, anchor_pos, anchor_text, link,
+  case when s = '' then 'release.zip' else s end as filename,
+  (contains(lower(anchor_text), 'revised') or contains(lower(case when s = '' then 'release.zip' else s end), 'revised'))
+    as is_revised,
+  regexp_extract(anchor_text, '\\b((Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[0-9]{{2}})\\b', 1) as month_code
+ from seg)"""
+
+
+def q_release_links() -> str:
+    return f"with {_links_cte()}\nselect * from links"
+
+
+def q_publication_status() -> str:
+    return f"""with {_links_cte()},
+spine as (select {_month_cols('cast(m as date)')}
+ from (select date_trunc('month', max(o_orderdate)) as a from orders) b,
+ generate_series(b.a - interval 6 month, b.a - interval 1 month, interval 1 month) g(m)),
+found as (select month_code, cast(count(*) as bigint) as links, cast(max(cast(is_revised as int)) as boolean) as rv
+ from links group by month_code)
+select s.*, coalesce(f.links, 0) as links, coalesce(f.links, 0) > 0 as published, coalesce(f.rv, false) as has_revision
+from spine s left join found f on s.month_code = f.month_code"""
+
+
+ORACLES.update({
+    "release_links": q_release_links,
+    "publication_status": q_publication_status,
+})
