@@ -125,3 +125,8 @@ class PipelineOptions:
     bands: BandSpec = field(default_factory=BandSpec)
     thresholds: Thresholds = field(default_factory=Thresholds)
     source_label: str = SOURCE_LABEL
+
+
+def raw_columns(bands: BandSpec = BANDS) -> list[str]:
+    """The 121 raw extract columns in file order (ids, bands, totals)."""
+    return list(RAW_ID_COLUMNS) + bands.raw_names() + list(RAW_TOTAL_COLUMNS)

@@ -16,7 +16,14 @@ from ..operators import quality as DQ
 from ..operators import windows as WN
 from ..operators import scd2 as SCD
 from ..session import scratch_path
+from ..config import raw_columns
+from ..functions.calendar import month_code, parse_period
+from ..operators.fact import fact_performance
+from ..operators.pathways import incomplete_pathways
+from ..operators.staging import staging
+from ..sources import archives as AR
 from ..sources import pages as PG
+from ..streaming import ingest as ING
 from ..sources.tables import table
 from ..operators.fact import KEY_COLUMNS
 from . import pipeline as P
@@ -162,5 +169,54 @@ QUERIES.update({
 })
 
 
+def _raw_with_month(spark, d):
+    raw = P.raw(spark, d)
+    return raw.withColumn("_month_code", month_code(parse_period(F.col("Period"))))
+
+
+def _national_from_raw_strings(spark, raw_strings):
+    return Q.national_monthly(fact_performance(incomplete_pathways(
+        staging(raw_strings, loaded_at=P.loaded_at_literal()))))
+
+
+def _make_archives(spark, d):
+    base = scratch_path(spark, "archives")
+    made = AR.write_zip_archives(_raw_with_month(spark, d), f"{base}/rtt", "_month_code", f"{base}/csv")
+    made.write.format("noop").mode("overwrite").save()
+    return f"{base}/rtt"
+
+
+def _zip_scan(spark, d):
+    return _national_from_raw_strings(spark, AR.zip_csv_scan(spark, _make_archives(spark, d), raw_columns()))
+
+
+def _file_manifest(spark, d):
+    m = AR.file_manifest(spark, _make_archives(spark, d), layout_regex=r"/rtt/([A-Za-z]{3}[0-9]{2})/()")
+    m = AR.revised_flags(AR.file_plausibility(m.withColumn("month_code", F.col("financial_year"))))
+    return AR.pick_month_file(m).drop("modificationTime")
+
+
+def _ingest(spark, d, revise: bool):
+    base = scratch_path(spark, "ingest")
+    landing, target, ckpt = f"{base}/landing", f"{base}/table", f"{base}/checkpoint"
+    raw = _raw_with_month(spark, d)
+    ING.land_csv(raw, landing, 1)
+    ING.ingest_available(spark, landing, target, ckpt, P.loaded_at_literal(), max_files_per_trigger=4)
+    if revise:
+        # a revised January drops the providers whose code ends in 1
+        rev = raw.filter((F.col("_month_code") == "Jan26") & ~F.col("Provider Org Code").endswith("1"))
+        ING.land_csv(rev, landing, 2)
+        ING.ingest_available(spark, landing, target, ckpt, P.loaded_at_literal(), max_files_per_trigger=4)
+    return _national_from_raw_strings(spark, spark.read.parquet(target))
+
+
+QUERIES.update({
+    "zip_csv_scan": _zip_scan,
+    "file_manifest": _file_manifest,
+    "incremental_ingest": lambda spark, d: _ingest(spark, d, False),
+    "late_revision_replace": lambda spark, d: _ingest(spark, d, True),
+})
+
+
 def queries() -> dict:
     return dict(QUERIES)

@@ -706,3 +706,21 @@ ORACLES.update({
     "release_links": q_release_links,
     "publication_status": q_publication_status,
 })
+
+
+# ---------------------------------------------------------------------------
+# Archives and incremental ingestion: the national series must come out the
+# same after the CSV/ZIP round trip and the streaming ingest.
+# ---------------------------------------------------------------------------
+
+def q_late_revision_replace() -> str:
+    sql = q_national_monthly()
+    return sql.replace("from fact group by", "from fact where not (period_date = date '2026-01-01' and "
+                       "provider_org_code like '%1') group by")
+
+
+ORACLES.update({
+    "zip_csv_scan": q_national_monthly,
+    "incremental_ingest": q_national_monthly,
+    "late_revision_replace": q_late_revision_replace,
+})
