@@ -52,12 +52,12 @@ def submission_gaps(rows: DataFrame, entity=("provider_org_code",), period_col:
     pairs are removed with a left anti join."""
     entity = [entity] if isinstance(entity, str) else list(entity)
     present = rows.select(*entity, period_col).distinct()
-    # the reporting window is one aggregate row (exactly one row by
-    # construction), attached to every entity as a broadcast scalar
-    bounds = rows.agg(F.min(period_col).alias("__s"), F.max(period_col).alias("__e"))
-    expected = (present.groupBy(*entity).agg(F.count(F.lit(1)).alias("__n"))
-                .crossJoin(F.broadcast(bounds))
-                .select(*entity, F.explode(F.sequence("__s", "__e", F.expr("interval 1 month"))).alias(period_col)))
+    # the reporting window: two scalars from one small aggregate job
+    first, last = rows.agg(F.min(period_col), F.max(period_col)).first()
+    if first is None:
+        return present.limit(0)
+    months = F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 month"))
+    expected = present.select(*entity).distinct().select(*entity, F.explode(months).alias(period_col))
     return expected.join(present, [*entity, period_col], "left_anti")
 
 

@@ -12,6 +12,7 @@ from ..operators import calendar_ops as CAL
 from ..operators import load as LD
 from ..operators import distribution as DI
 from ..operators import features as FE
+from ..operators import models as MD
 from ..operators import quality as DQ
 from ..operators import windows as WN
 from ..operators import scd2 as SCD
@@ -218,5 +219,22 @@ QUERIES.update({
 })
 
 
+def _clusters(spark, d):
+    out, _ = MD.trust_clusters(_panel(spark, d))
+    return out
+
+
+def _breach_model(spark, d):
+    pred, _ = MD.breach_model(FE.breach_features(_panel(spark, d)))
+    return pred
+
+
+QUERIES.update({
+    "trend_forecast": lambda spark, d: MD.trend_forecast(_panel(spark, d)),
+    "trust_clusters": _clusters,
+    "breach_model": _breach_model,
+})
+
+
 def queries() -> dict:
     return dict(QUERIES)

@@ -724,3 +724,23 @@ ORACLES.update({
     "incremental_ingest": q_national_monthly,
     "late_revision_replace": q_late_revision_replace,
 })
+
+
+def q_trend_forecast() -> str:
+    ctes = _panel_cte() + """,
+pts as (select provider_org_code, treatment_function_code, period_date,
+  cast(date_diff('month', date '2000-01-01', date_trunc('month', period_date)) as bigint) as x,
+  cast(total_incomplete as bigint) as y from panel),
+fit as (select provider_org_code, treatment_function_code, count(y) as n, sum(x) as sx, sum(y) as sy,
+  sum(x * y) as sxy, sum(x * x) as sxx, max(period_date) as last_period, max(x) as x_last
+ from pts group by provider_org_code, treatment_function_code),
+f2 as (select *, cast(n * sxy - sx * sy as double) / nullif(cast(n * sxx - sx * sx as double), 0) as slope from fit),
+f3 as (select *, (cast(sy as double) - slope * cast(sx as double)) / cast(n as double) as intercept from f2)"""
+    return with_base("""select provider_org_code, treatment_function_code,
+ cast(last_period + to_months(cast(h as integer)) as date) as forecast_period, cast(h as bigint) as horizon,
+ cast(n as bigint) as points, round(slope, 4) as trend_per_month,
+ round(intercept + slope * cast(x_last + h as double), 4) as forecast_total_incomplete
+from f3, range(1, 4) r(h)""", ctes)
+
+
+ORACLES.update({"trend_forecast": q_trend_forecast})
