@@ -91,3 +91,19 @@ def load_months(raw: DataFrame, path: str, loaded_at, months: list[str] | None =
     written = a.sparkSession.read.parquet(path)
     touched = a.select("_month_code").distinct()
     return load_reconcile(a, written.join(touched, "_month_code", "left_semi"))
+
+
+def exclude_revised(df: DataFrame, flag_col: str = "_is_revised") -> DataFrame:
+    """Drop rows of revised publications (e.g. before model training)."""
+    return df.filter(~F.coalesce(F.col(flag_col), F.lit(False)))
+
+
+def read_raw_csv(spark, path: str, columns: list[str] | None = None) -> DataFrame:
+    """Raw monthly CSV with a header, every column read as a string against a
+    declared schema (no inference pass); staging casts the counts."""
+    from pyspark.sql import types as T
+
+    from ..config import raw_columns
+    cols = columns or raw_columns()
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
+    return spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path)

@@ -17,7 +17,7 @@ from ..operators import quality as DQ
 from ..operators import windows as WN
 from ..operators import scd2 as SCD
 from ..session import scratch_path
-from ..config import raw_columns
+from ..config import CORE_SPECIALTIES, raw_columns
 from ..functions.calendar import month_code, parse_period
 from ..operators.fact import fact_performance
 from ..operators.pathways import incomplete_pathways
@@ -236,5 +236,22 @@ QUERIES.update({
 })
 
 
+def _scorecard_from_table(spark, d):
+    """Materialise the layers, then run the one-month scorecard on the written
+    fact table: the period filter prunes to one partition folder."""
+    paths = P.materialise(P.raw(spark, d), scratch_path(spark, "layers"))
+    return Q.trust_scorecard(spark.read.parquet(paths["fact"]))
+
+
+QUERIES.update({
+    "fact_profile": lambda spark, d: DQ.profile(P.fact(spark, d)),
+    "unexpected_part_types": lambda spark, d: DQ.unexpected_values(
+        P.raw(spark, d).withColumnRenamed("RTT Part Type", "part_type"), "part_type", ["Part_1A", "Part_2"]),
+    "missing_core_specialties": lambda spark, d: DQ.missing_values(
+        P.fact(spark, d), "treatment_function_code", list(CORE_SPECIALTIES), by=["period_date"]),
+    "scorecard_from_table": _scorecard_from_table,
+})
+
+
 def queries() -> dict:
     return dict(QUERIES)

@@ -744,3 +744,29 @@ from f3, range(1, 4) r(h)""", ctes)
 
 
 ORACLES.update({"trend_forecast": q_trend_forecast})
+
+
+def q_fact_profile() -> str:
+    return with_base("""select min(period_date) as first_period, max(period_date) as last_period,
+ cast(count(*) as bigint) as rows, cast(count(distinct provider_org_code) as bigint) as distinct_trusts,
+ cast(count(distinct treatment_function_code) as bigint) as distinct_specialties from fact""")
+
+
+def q_unexpected_part_types() -> str:
+    return with_base("""select distinct "RTT Part Type" as part_type from raw
+where "RTT Part Type" not in ('Part_1A', 'Part_2') or "RTT Part Type" is null""")
+
+
+def q_missing_core_specialties() -> str:
+    return with_base("""select g.period_date, r.c as treatment_function_code
+from (select distinct period_date from fact) g,
+ (values ('C_110'), ('C_130'), ('C_100'), ('C_120'), ('C_999')) r(c)
+where not exists (select 1 from fact f where f.period_date = g.period_date and f.treatment_function_code = r.c)""")
+
+
+ORACLES.update({
+    "fact_profile": q_fact_profile,
+    "unexpected_part_types": q_unexpected_part_types,
+    "missing_core_specialties": q_missing_core_specialties,
+    "scorecard_from_table": q_trust_scorecard,
+})

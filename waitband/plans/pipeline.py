@@ -39,3 +39,15 @@ def intermediate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_performance(intermediate(spark, sf_dir))
+
+
+def materialise(raw_df: DataFrame, out_dir: str, loaded_at=None) -> dict[str, str]:
+    """Staging stays a lazy view; intermediate and mart are written tables
+    (full rebuild).  Returns the table paths."""
+    from ..operators.fact import write_fact
+    stg_df = staging(raw_df, loaded_at=loaded_at if loaded_at is not None else loaded_at_literal())
+    int_path, fact_path = f"{out_dir}/int_incomplete_pathways", f"{out_dir}/fact_performance"
+    incomplete_pathways(stg_df).write.mode("overwrite").parquet(int_path)
+    int_df = raw_df.sparkSession.read.parquet(int_path)
+    write_fact(fact_performance(int_df), fact_path)
+    return {"int": int_path, "fact": fact_path}
