@@ -70,12 +70,13 @@ def write_fact(fact: DataFrame, path: str, cluster_by=("provider_parent_org_code
                                                        "treatment_function_code")) -> None:
     """Full-refresh sink partitioned by month, clustered within each month.
 
-    ``repartitionByRange(period_date, *cluster)`` gives each task one
-    contiguous key range: most tasks write a single month (few files per
-    month), and a month holding a third of all rows is still split over many
-    tasks by the sampled range bounds.  ``sortWithinPartitions`` gives tight
-    row-group min/max stats on the cluster keys for data skipping.
+    The ``rebalance`` hint shuffles by month and lets AQE size the write
+    tasks: a month holding a third of all rows is split into several tasks,
+    small months are coalesced, so files come out near the advisory size
+    without a sampling pass over the (expensive) upstream plan.
+    ``sortWithinPartitions`` then gives tight row-group min/max stats on the
+    cluster keys for data skipping.
     """
-    (fact.repartitionByRange("period_date", *cluster_by)
+    (fact.hint("rebalance", "period_date")
      .sortWithinPartitions("period_date", *cluster_by)
      .write.mode("overwrite").partitionBy("period_date").parquet(path))

@@ -44,17 +44,16 @@ def month_filter(df: DataFrame, month: str, month_col: str = "_month_code") -> D
 
 
 def month_overwrite(df: DataFrame, path: str, month_col: str = "_month_code",
-                    spread_cols: tuple = ()) -> None:
+                    cluster_cols: tuple = ()) -> None:
     """Replace exactly the months present in ``df`` under ``path``.
 
-    With ``spread_cols`` rows are range-partitioned on (month, spread cols):
-    each task writes one or two month folders and a hot month is still split
-    over many tasks.  Without, rows are only sorted by month within their
-    partitions.  A month absent from ``df`` is left untouched (dynamic
-    overwrite never deletes by omission)."""
-    out = (df.repartitionByRange(month_col, *spread_cols) if spread_cols
-           else df.sortWithinPartitions(month_col))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    ``rebalance`` on the month lets AQE split a hot month over several write
+    tasks and merge small ones (files near the advisory size, no sampling
+    pass); rows are sorted by month (and ``cluster_cols``) within each task.
+    A month absent from ``df`` is left untouched (dynamic overwrite never
+    deletes by omission)."""
+    (df.hint("rebalance", month_col).sortWithinPartitions(month_col, *cluster_cols)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(month_col).parquet(path))
 
 
@@ -86,8 +85,7 @@ def load_months(raw: DataFrame, path: str, loaded_at, months: list[str] | None =
     a = with_audit(raw, loaded_at, source_file, is_revised)
     if months:
         a = a.filter(F.lower(F.col("_month_code")).isin([m.lower() for m in months]))
-    spread = ("Provider Org Code",) if "Provider Org Code" in a.columns else ()
-    month_overwrite(a, path, spread_cols=spread)
+    month_overwrite(a, path)
     written = a.sparkSession.read.parquet(path)
     touched = a.select("_month_code").distinct()
     return load_reconcile(a, written.join(touched, "_month_code", "left_semi"))

@@ -26,7 +26,6 @@ collapse before the shuffle), then a spread of the bands into columns.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,12 +90,15 @@ def raw_extract(spark: SparkSession, sf_dir: str, bands: BandSpec = BANDS) -> Da
     """Wide extract (121 columns, raw names with spaces), one row per
     month x provider x commissioner x pathway x specialty."""
     line = _line_rows(spark, sf_dir)
-    # Two-phase band spread: sum per (group, band) first, with map-side
-    # partial sums, then spread the (much fewer) per-band rows into columns
-    # with conditional sums.  The total is a real aggregate, not a 105-term
-    # expression, so downstream metrics stay small for the optimizer.
-    per_band = line.groupBy("pm", "pk", "rk", "pt", "tf", "band").agg(F.sum("patients").alias("p"))
-    agg = per_band.groupBy("pm", "pk", "rk", "pt", "tf").agg(
+    # Two-phase band spread.  (1) Sum per (group, band) with map-side partial
+    # sums, so a hot group collapses before any shuffle.  (2) Re-partition the
+    # per-band rows by the group key - at most 105 rows per group, so no key
+    # can skew a task - and spread the bands into columns inside each task.
+    # Spreading before that shuffle would move mostly-empty 106-wide partial
+    # rows instead.  The total is a real aggregate, not a 105-term expression.
+    keys = ["pm", "pk", "rk", "pt", "tf"]
+    per_band = line.groupBy(*keys, "band").agg(F.sum("patients").alias("p")).repartition(*keys)
+    agg = per_band.groupBy(*keys).agg(
         *[F.expr(f"cast(sum(case when band = {i} then p end) as bigint) as `{bands.raw_name(i)}`")
           for i in range(bands.count)],
         F.sum("p").cast("bigint").alias("__total"))
