@@ -4,14 +4,14 @@
   Aggregate to the wanted grain **before** unpivoting: the unpivot multiplies
   rows by the number of bands.
 * ``distribution_stats`` gives, per grain row, the band total, the median
-  wait (band midpoints), quartile shares and the Gini coefficient.  Sums use
-  integers (midpoints doubled: 2i+1), so results do not depend on summation
-  order; each window partition is one grain row's 105 bands.
+  wait (band midpoints), quartile shares and the Gini coefficient, from one
+  fold over the band array per row.  Sums use integers (midpoints doubled:
+  2i+1), so results do not depend on summation order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import BANDS, BandSpec
@@ -42,40 +42,39 @@ def quartile_shares(df: DataFrame, bands: BandSpec = BANDS, cuts=(26, 52, 78)) -
     return df.select("*", *cols)
 
 
+def _fold_sql(bands: BandSpec, n_col: str) -> str:
+    """One pass over the band array with an accumulator of running patient
+    count (cn), running doubled waiting time (cw), Gini numerator (g) and
+    the median band (first band where 2 * cn >= n)."""
+    arr = "array(" + ", ".join(bands.names()) + ")"
+    return f"""aggregate(transform({arr}, (x, i) -> named_struct('p', x, 'i', i)),
+ named_struct('cn', cast(0 as bigint), 'cw', cast(0 as bigint), 'g', cast(0 as bigint), 'med', cast(null as int)),
+ (acc, e) -> named_struct('cn', acc.cn + e.p, 'cw', acc.cw + e.p * (2 * e.i + 1),
+   'g', acc.g + e.p * (2 * acc.cw + e.p * (2 * e.i + 1)),
+   'med', case when acc.med is null and {n_col} > 0 and 2 * (acc.cn + e.p) >= {n_col} then e.i else acc.med end))"""
+
+
 def distribution_stats(df: DataFrame, grain, bands: BandSpec = BANDS) -> DataFrame:
     """Per grain: band total, median wait (weeks, band midpoint), Gini of the
-    wait distribution and quartile shares.  ``df`` is aggregated to
-    ``grain`` first (one row per grain value); each window partition then
-    holds that row's bands only.
+    wait distribution and quartile shares.
 
-    Gini on grouped data: G = 1 - sum_i f_i (S_{i-1} + S_i), f the patient
-    share of band i and S the cumulative share of waiting time (midpoints).
-    With doubled midpoints (2i+1) every sum is an exact integer (decimal(38)
-    against overflow), divided once at the end.
+    ``df`` is aggregated to ``grain`` (partial sums map-side); everything
+    after is row-local: one fold over the 105 bands per row, no unpivot, no
+    window sort.  Gini on grouped data: G = 1 - sum_i f_i (S_{i-1} + S_i),
+    f the patient share of band i and S the cumulative share of waiting time
+    at band midpoints; with doubled midpoints (2i+1) all sums are exact
+    integers and one division happens at the end.
     """
     grain = list(grain)
     agg = aggregate_bands(df, grain, bands)
-    long = band_long(agg, grain, bands)
-    part = Window.partitionBy(*grain)
-    run = part.orderBy("week").rowsBetween(Window.unboundedPreceding, 0)
-    big = "decimal(38,0)"
-    long = (long.withColumn("w2", F.col("patients") * (2 * F.col("week") + 1))
-            .withColumn("cum_n", F.sum("patients").over(run))
-            .withColumn("cum_w2", F.sum("w2").over(run))
-            .withColumn("n_all", F.sum("patients").over(part)))
-    per = long.groupBy(*grain).agg(
-        F.sum("patients").cast("bigint").alias("n"),
-        F.sum(F.col("w2").cast(big)).alias("w2_total"),
-        F.sum(F.col("patients").cast(big) * (2 * F.col("cum_w2") - F.col("w2")).cast(big)).alias("gini_num"),
-        F.min(F.when((F.col("n_all") > 0) & (2 * F.col("cum_n") >= F.col("n_all")), F.col("week")))
-        .alias("median_band"),
-    )
-    stats = per.select(
-        *grain, "n",
-        (F.col("median_band").cast("double") + F.lit(0.5)).alias("median_wait_weeks"),
-        F.when((F.col("n") > 0) & (F.col("w2_total") > 0),
-               F.lit(1.0) - F.col("gini_num").cast("double")
-               / (F.col("n").cast("double") * F.col("w2_total").cast("double"))).alias("wait_gini"),
+    agg = agg.withColumn("n", F.expr(" + ".join(bands.names())))
+    shares = quartile_shares(agg, bands)
+    f = shares.select(*grain, "n", "share_q1", "share_q2", "share_q3", "share_q4",
+                      F.expr(_fold_sql(bands, "n")).alias("__f"))
+    return f.select(
+        *grain, "share_q1", "share_q2", "share_q3", "share_q4", "n",
+        (F.col("__f.med").cast("double") + F.lit(0.5)).alias("median_wait_weeks"),
+        F.when((F.col("n") > 0) & (F.col("__f.cw") > 0),
+               F.lit(1.0) - F.col("__f.g").cast("double")
+               / (F.col("n").cast("double") * F.col("__f.cw").cast("double"))).alias("wait_gini"),
     )
-    shares = quartile_shares(agg, bands).select(*grain, "share_q1", "share_q2", "share_q3", "share_q4")
-    return shares.join(stats, grain)
