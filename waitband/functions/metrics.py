@@ -61,3 +61,12 @@ def ratio_status(ratio, labels=(RAG_GREEN, RAG_AMBER, RAG_RED), th: Thresholds =
 def breach_severity(over_104, plus_52, beyond_18) -> Column:
     return (F.when(_c(over_104) > 0, BREACH_LABELS[0]).when(_c(plus_52) > 0, BREACH_LABELS[1])
             .when(_c(beyond_18) > 0, BREACH_LABELS[2]).otherwise(BREACH_LABELS[3]))
+
+
+def week_row_sum(columns, marker: str = "Weeks SUM") -> Column:
+    """Per-row sum of every column whose name contains ``marker`` (raw
+    names), each cast leniently and NULL counted as 0."""
+    names = [c for c in columns if marker in c]
+    if not names:
+        return F.lit(None).cast("double")
+    return F.expr(" + ".join(f"coalesce(try_cast(`{c}` as double), 0)" for c in names))

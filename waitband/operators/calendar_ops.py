@@ -77,6 +77,11 @@ def backfill_summary(plan: DataFrame) -> DataFrame:
         aggs.append(F.sum("file_size_bytes").cast("bigint").alias("bytes"))
     if "is_revised" in plan.columns:
         aggs.append(F.sum(F.col("is_revised").cast("int")).cast("bigint").alias("revised"))
+    if "error_message" in plan.columns:
+        # one entry per failed month: bounded by the number of months planned
+        aggs.append(F.collect_list(F.when(F.col("error_message").isNotNull(),
+                                          F.concat_ws(": ", F.col("month_code"), F.col("error_message"))))
+                    .alias("failures"))
     aggs += [F.min("period_date").alias("first_month"), F.max("period_date").alias("last_month")]
     return plan.groupBy("status").agg(*aggs)
 

@@ -91,3 +91,10 @@ def performance_anomalies(panel: DataFrame, entity=ENTITY, z_threshold: float =
     out = df.select(*panel.columns, F.round(mean / 10.0, 4).alias("history_mean_pct"),
                     F.round(z, 4).alias("z_score"))
     return out.withColumn("is_anomaly", F.coalesce(F.abs("z_score") > z_threshold, F.lit(False)))
+
+
+def entity_series(panel: DataFrame, provider_org_code: str, treatment_function_code: str) -> DataFrame:
+    """One trust x specialty time series (e.g. to inspect a forecast)."""
+    return (panel.filter((F.col("provider_org_code") == provider_org_code) &
+                         (F.col("treatment_function_code") == treatment_function_code))
+            .orderBy("period_date"))
