@@ -44,15 +44,19 @@ def month_filter(df: DataFrame, month: str, month_col: str = "_month_code") -> D
 
 
 def month_overwrite(df: DataFrame, path: str, month_col: str = "_month_code",
-                    cluster_cols: tuple = ()) -> None:
+                    cluster_cols: tuple = (), rebalance: bool = False) -> None:
     """Replace exactly the months present in ``df`` under ``path``.
 
-    ``rebalance`` on the month lets AQE split a hot month over several write
-    tasks and merge small ones (files near the advisory size, no sampling
-    pass); rows are sorted by month (and ``cluster_cols``) within each task.
-    A month absent from ``df`` is left untouched (dynamic overwrite never
-    deletes by omission)."""
-    (df.hint("rebalance", month_col).sortWithinPartitions(month_col, *cluster_cols)
+    By default rows keep their partitioning and are sorted by month within
+    each task, so each task writes one file per month it holds - no shuffle.
+    That is ideal for archive scans (one archive = one month per task).  Pass
+    ``rebalance=True`` when many tasks each hold a little of every month:
+    the rebalance hint shuffles by month and lets AQE split a hot month and
+    merge small ones, so files come out near the advisory size.  A month
+    absent from ``df`` is left untouched (dynamic overwrite never deletes by
+    omission)."""
+    out = df.hint("rebalance", month_col) if rebalance else df
+    (out.sortWithinPartitions(month_col, *cluster_cols)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(month_col).parquet(path))
 

@@ -19,7 +19,8 @@ Some providers are renamed or move board in the last months (for SCD2).
 ``raw_extract`` is the distributed Spark build; ``raw_extract_sql`` renders the
 same definition as SQL (used by the DuckDB oracle).  Plan: orders ⋈ customer
 (shuffle on custkey, or broadcast if Spark's size estimate allows) ⋈ nation
-(broadcast: 25 rows by definition) → lineitem ⋈ that on orderkey → one
+(broadcast: 25 rows by definition) → lineitem ⋈ that on orderkey (shuffled hash
+join, never broadcast) → one
 aggregation per (group, band) with map-side partial sums (hot groups
 collapse before the shuffle), then a spread of the bands into columns.
 """
@@ -66,7 +67,11 @@ def _line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
     days = F.abs(F.datediff(F.col("l_shipdate"), F.col("o_orderdate")))
-    line = li.join(order_dim, li.l_orderkey == order_dim.o_orderkey).select(
+    # Both sides grow with the data, so neither is broadcast (Spark's static
+    # estimate of a pruned lineitem can fall under the broadcast threshold):
+    # a shuffled hash join builds one small hash table per partition from the
+    # order side; AQE still splits a skewed order key.
+    line = li.join(order_dim.hint("shuffle_hash"), li.l_orderkey == order_dim.o_orderkey).select(
         _case(F.month("o_orderdate") % 6, MONTHS).alias("pm"),
         F.col("l_suppkey").alias("pk"),
         F.col("rk"),
