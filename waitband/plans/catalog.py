@@ -253,5 +253,20 @@ QUERIES.update({
 })
 
 
+def _supplier_scd2(spark, d):
+    """Generic SCD2 on another table: snapshot 1 is the supplier table; the
+    next snapshot drops every tenth supplier and moves every seventh to the
+    next nation."""
+    sup = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    snap1 = SCD.scd2_check(None, sup, "s_suppkey", ["s_name", "s_nationkey"], dt.date(2024, 1, 1))
+    nxt = (sup.filter(F.col("s_suppkey") % 10 != 0)
+           .withColumn("s_nationkey", F.when(F.col("s_suppkey") % 7 == 0, (F.col("s_nationkey") + 1) % 25)
+                       .otherwise(F.col("s_nationkey"))))
+    return SCD.scd2_check(snap1, nxt, "s_suppkey", ["s_name", "s_nationkey"], dt.date(2024, 2, 1))
+
+
+QUERIES["scd2_supplier"] = _supplier_scd2
+
+
 def queries() -> dict:
     return dict(QUERIES)

@@ -770,3 +770,28 @@ ORACLES.update({
     "missing_core_specialties": q_missing_core_specialties,
     "scorecard_from_table": q_trust_scorecard,
 })
+
+
+def q_scd2_supplier() -> str:
+    tok = SURROGATE_NULL_TOKEN
+    return f"""with s1 as (select s_suppkey, s_name, s_nationkey from supplier),
+s2 as (select s_suppkey, s_name,
+  case when s_suppkey % 7 = 0 then (s_nationkey + 1) % 25 else s_nationkey end as s_nationkey
+ from supplier where s_suppkey % 10 != 0)
+select c.s_suppkey, c.s_name, c.s_nationkey,
+ md5(concat_ws('-', coalesce(cast(c.s_suppkey as varchar), '{tok}'), '2024-01-01')) as scd_id,
+ date '2024-01-01' as valid_from,
+ case when n.s_suppkey is null or c.s_name is distinct from n.s_name or c.s_nationkey is distinct from n.s_nationkey
+      then date '2024-02-01' end as valid_to,
+ not (n.s_suppkey is null or c.s_name is distinct from n.s_name or c.s_nationkey is distinct from n.s_nationkey)
+   as is_current
+from s1 c left join s2 n on c.s_suppkey = n.s_suppkey
+union all
+select n.s_suppkey, n.s_name, n.s_nationkey,
+ md5(concat_ws('-', coalesce(cast(n.s_suppkey as varchar), '{tok}'), '2024-02-01')) as scd_id,
+ date '2024-02-01' as valid_from, cast(null as date) as valid_to, true as is_current
+from s2 n left join s1 c on c.s_suppkey = n.s_suppkey
+where c.s_suppkey is null or c.s_name is distinct from n.s_name or c.s_nationkey is distinct from n.s_nationkey"""
+
+
+ORACLES["scd2_supplier"] = q_scd2_supplier
