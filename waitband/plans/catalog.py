@@ -204,8 +204,8 @@ def _ingest(spark, d, revise: bool):
     ING.land_csv(raw, landing, 1)
     ING.ingest_available(spark, landing, target, ckpt, P.loaded_at_literal(), max_files_per_trigger=4)
     if revise:
-        # a revised January drops the providers whose code ends in 1
-        rev = raw.filter((F.col("_month_code") == "Jan26") & ~F.col("Provider Org Code").endswith("1"))
+        # the revised January publication omits one commissioner's rows
+        rev = raw.filter((F.col("_month_code") == "Jan26") & (F.col("Commissioner Org Code") != "C40"))
         ING.land_csv(rev, landing, 2)
         ING.ingest_available(spark, landing, target, ckpt, P.loaded_at_literal(), max_files_per_trigger=4)
     return _national_from_raw_strings(spark, spark.read.parquet(target))
@@ -254,15 +254,17 @@ QUERIES.update({
 
 
 def _supplier_scd2(spark, d):
-    """Generic SCD2 on another table: snapshot 1 is the supplier table; the
-    next snapshot drops every tenth supplier and moves every seventh to the
-    next nation."""
-    sup = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    snap1 = SCD.scd2_check(None, sup, "s_suppkey", ["s_name", "s_nationkey"], dt.date(2024, 1, 1))
-    nxt = (sup.filter(F.col("s_suppkey") % 10 != 0)
-           .withColumn("s_nationkey", F.when(F.col("s_suppkey") % 7 == 0, (F.col("s_nationkey") + 1) % 25)
-                       .otherwise(F.col("s_nationkey"))))
-    return SCD.scd2_check(snap1, nxt, "s_suppkey", ["s_name", "s_nationkey"], dt.date(2024, 2, 1))
+    """Generic SCD2 on another table: snapshot 1 is the supplier table; in
+    the next snapshot suppliers with a negative balance have closed (hard
+    delete) and those with a balance over 9,000 moved to the next nation."""
+    sup = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    attrs = ["s_name", "s_nationkey"]
+    snap1 = SCD.scd2_check(None, sup.drop("s_acctbal"), "s_suppkey", attrs, dt.date(2024, 1, 1))
+    nxt = (sup.filter(F.col("s_acctbal") >= 0)
+           .withColumn("s_nationkey", F.when(F.col("s_acctbal") > 9000, (F.col("s_nationkey") + 1) % 25)
+                       .otherwise(F.col("s_nationkey")))
+           .drop("s_acctbal"))
+    return SCD.scd2_check(snap1, nxt, "s_suppkey", attrs, dt.date(2024, 2, 1))
 
 
 QUERIES["scd2_supplier"] = _supplier_scd2

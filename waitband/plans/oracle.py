@@ -716,7 +716,7 @@ ORACLES.update({
 def q_late_revision_replace() -> str:
     sql = q_national_monthly()
     return sql.replace("from fact group by", "from fact where not (period_date = date '2026-01-01' and "
-                       "provider_org_code like '%1') group by")
+                       "commissioner_org_code = 'C40') group by")
 
 
 ORACLES.update({
@@ -776,8 +776,8 @@ def q_scd2_supplier() -> str:
     tok = SURROGATE_NULL_TOKEN
     return f"""with s1 as (select s_suppkey, s_name, s_nationkey from supplier),
 s2 as (select s_suppkey, s_name,
-  case when s_suppkey % 7 = 0 then (s_nationkey + 1) % 25 else s_nationkey end as s_nationkey
- from supplier where s_suppkey % 10 != 0)
+  case when s_acctbal > 9000 then (s_nationkey + 1) % 25 else s_nationkey end as s_nationkey
+ from supplier where s_acctbal >= 0)
 select c.s_suppkey, c.s_name, c.s_nationkey,
  md5(concat_ws('-', coalesce(cast(c.s_suppkey as varchar), '{tok}'), '2024-01-01')) as scd_id,
  date '2024-01-01' as valid_from,
