@@ -69,3 +69,14 @@ def test_scd2_history_and_asof(spark):
         ("2025-01-01", "Alpha"), ("2025-02-01", "Alpha"), ("2025-03-01", "Alpha2"), ("2025-04-01", "Alpha")]
     latest = SCD.latest_per_key(df, "provider_org_code", ["provider_org_name"]).first()
     assert latest.provider_org_name == "Alpha"
+
+
+def test_fact_sink_is_a_full_refresh(spark):
+    from waitband.operators.fact import write_fact
+    from waitband.plans import pipeline as P
+    fact = P.fact(spark, "/root/testdata/sf0.001")
+    path = scratch_path(spark, "test-fact")
+    write_fact(fact, path)
+    assert spark.read.parquet(path).select("period_date").distinct().count() == 6
+    write_fact(fact.filter(F.col("period_date") == dt.date(2026, 1, 1)), path)
+    assert [r[0] for r in spark.read.parquet(path).select("period_date").distinct().collect()] == [dt.date(2026, 1, 1)]

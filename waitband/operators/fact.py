@@ -79,4 +79,5 @@ def write_fact(fact: DataFrame, path: str, cluster_by=("provider_parent_org_code
     """
     (fact.hint("rebalance", "period_date")
      .sortWithinPartitions("period_date", *cluster_by)
-     .write.mode("overwrite").partitionBy("period_date").parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "static")  # full refresh
+     .partitionBy("period_date").parquet(path))

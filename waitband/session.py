@@ -23,7 +23,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.codegen.maxFields": "200",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -48,8 +47,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def apply_recommended_conf(spark: SparkSession) -> None:
     """Set the runtime SQL confs above on an existing session."""
     for k, v in RECOMMENDED_CONF.items():
-        if k == "spark.sql.sources.partitionOverwriteMode":
-            continue  # only the writers need it; they pass it as a write option
         try:
             spark.conf.set(k, v)
         except Exception:  # static or locked conf on a managed cluster
