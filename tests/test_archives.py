@@ -71,3 +71,12 @@ def test_zip_scan_reads_first_csv_and_fills_missing_columns(spark):
     assert all(r["Total"] is None and r["_csv_member"] == "b.CSV" for r in rows)
     assert len(df.columns) == 121 + 2
     assert df.filter(F.col("_source_file").endswith("m.zip")).count() == 2
+
+
+def test_expected_checksum_and_size(spark):
+    rows = [("a.zip", 20000, "m1", True, ["x.csv"], "m1", 20000), ("b.zip", 20000, "m2", True, ["x.csv"], "m9", None),
+            ("c.zip", 20000, "m3", True, ["x.csv"], None, 19999)]
+    m = spark.createDataFrame(rows, "filename string, file_size_bytes bigint, md5_checksum string, is_zip boolean, "
+                                    "csv_files_inside_zip array<string>, expected_md5 string, expected_size bigint")
+    got = {r.filename: r.error_message for r in AR.file_plausibility(m).collect()}
+    assert got == {"a.zip": None, "b.zip": "Checksum mismatch", "c.zip": "Size changed: 20000 bytes, expected 19999"}

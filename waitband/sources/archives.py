@@ -105,10 +105,19 @@ def file_manifest(spark: SparkSession, path: str, glob: str = "*.zip",
 
 def file_plausibility(manifest: DataFrame, min_bytes: int = FILE_MIN_BYTES,
                       max_bytes: int = FILE_MAX_BYTES) -> DataFrame:
-    """First failing reason per file (NULL when plausible) and a success flag."""
+    """First failing reason per file (NULL when plausible) and a success flag.
+
+    When the manifest carries ``expected_md5`` / ``expected_size`` (from the
+    download record), the file must match them too."""
     size = F.col("file_size_bytes")
-    err = (F.when(size.isNull(), "File not found")
-           .when(size < min_bytes, F.format_string("File too small: %d bytes", size))
+    err = F.when(size.isNull(), "File not found")
+    if "expected_size" in manifest.columns:
+        err = err.when(F.col("expected_size").isNotNull() & (size != F.col("expected_size")),
+                       F.format_string("Size changed: %d bytes, expected %d", size, F.col("expected_size")))
+    if "expected_md5" in manifest.columns:
+        err = err.when(F.col("expected_md5").isNotNull() & (F.col("md5_checksum") != F.col("expected_md5")),
+                       "Checksum mismatch")
+    err = (err.when(size < min_bytes, F.format_string("File too small: %d bytes", size))
            .when(size > max_bytes, F.format_string("File too large: %d bytes", size))
            .when(~F.col("is_zip"), "Not a valid ZIP file")
            .when(F.size("csv_files_inside_zip") == 0, "No CSV file inside archive"))
