@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import (BANDS, NATIONAL_PARENT_CODE, NATIONAL_PARENT_NAME, RAW_ID_COLUMNS,
-                      SOURCE_LABEL, UNKNOWN_COMMISSIONER_NAME, BandSpec)
+from ..config import (BANDS, NATIONAL_PARENT_CODE, NATIONAL_PARENT_NAME, SOURCE_LABEL,
+                      UNKNOWN_COMMISSIONER_NAME, BandSpec)
 from ..functions.calendar import financial_year, parse_period
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -76,6 +76,3 @@ def staging(raw: DataFrame, loaded_at=None, source: str = SOURCE_LABEL,
             cols.append(F.col(audit))
     return raw.select(*cols)
 
-
-def staging_names(bands: BandSpec = BANDS) -> list[str]:
-    return list(RAW_ID_COLUMNS.values())
