@@ -80,3 +80,24 @@ def test_fact_sink_is_a_full_refresh(spark):
     assert spark.read.parquet(path).select("period_date").distinct().count() == 6
     write_fact(fact.filter(F.col("period_date") == dt.date(2026, 1, 1)), path)
     assert [r[0] for r in spark.read.parquet(path).select("period_date").distinct().collect()] == [dt.date(2026, 1, 1)]
+
+
+def test_run_pipeline_gates_months(spark):
+    from waitband.operators import quality as DQ
+    from waitband.plans.pipeline import run_pipeline
+    raw = raw_frame(spark, [{"Period": "RTT-December-2025", "bands": {1: 5, 30: 2}},
+                            {"Period": "RTT-December-2025", "Provider Org Code": "XYZ", "bands": {2: 1}},
+                            {"Period": "RTT-January-2026", "bands": {1: -1}, "total": 1}])
+    rules = [DQ.RowCountBetween("rows", lo=1, hi=10), DQ.NotNull("period", column="Period"),
+             DQ.NoNegatives("no_negatives"), DQ.RequiredValues("core", severity="warning",
+                                                               column="Treatment Function Code", values=("C_110",))]
+    out = run_pipeline(raw, scratch_path(spark, "test-run"), dt.datetime(2026, 2, 1), rules=rules)
+    assert out["months_loaded"] == ["Dec25"] and out["months_blocked"] == ["Jan26"]
+    fact = spark.read.parquet(out["fact"])
+    assert fact.count() == 2 and {r[0] for r in fact.select("period_date").collect()} == {dt.date(2025, 12, 1)}
+    assert spark.read.parquet(out["dim_provider"]).count() == 2
+    res = spark.read.parquet(out["dq_results"])
+    assert res.filter("_dq_month = 'Jan26' and check_name = 'no_negatives' and not passed").count() == 1
+    report_only = run_pipeline(raw, scratch_path(spark, "test-run"), dt.datetime(2026, 2, 1), rules=rules,
+                               block_on_error=False)
+    assert report_only["months_loaded"] == ["Dec25", "Jan26"]

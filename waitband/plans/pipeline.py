@@ -51,3 +51,40 @@ def materialise(raw_df: DataFrame, out_dir: str, loaded_at=None) -> dict[str, st
     int_df = raw_df.sparkSession.read.parquet(int_path)
     write_fact(fact_performance(int_df), fact_path)
     return {"int": int_path, "fact": fact_path}
+
+
+def run_pipeline(raw_df: DataFrame, out_dir: str, loaded_at=None, rules=None, block_on_error: bool = True,
+                 source_file=None) -> dict:
+    """The monthly run in one application: DQ suite per month -> gate ->
+    idempotent load of the months that pass -> intermediate and fact tables
+    -> SCD2 provider history.  Every step writes a table under ``out_dir``
+    (a shared folder), so a failed run restarts from written state.
+
+    Returns the table paths and the months loaded / blocked."""
+    from ..functions.calendar import month_code, parse_period
+    from ..operators import quality as DQ
+    from ..operators.load import load_months
+    from ..operators.scd2 import scd2_from_history
+
+    spark = raw_df.sparkSession
+    ts = loaded_at if loaded_at is not None else loaded_at_literal()
+    rules = rules if rules is not None else DQ.raw_extract_rules()
+    keyed = raw_df.withColumn("_dq_month", month_code(parse_period(F.col("Period"))))
+    dq_path, raw_path = f"{out_dir}/dq_results", f"{out_dir}/raw"
+    # the rules see the raw columns only (the month key is a grouping column)
+    DQ.run_suite(keyed, rules, by=["_dq_month"]).write.mode("overwrite").parquet(dq_path)
+    gates = DQ.gate(spark.read.parquet(dq_path), by=["_dq_month"]).collect()   # one row per month
+    passed = sorted(r["_dq_month"] for r in gates if r["passed"] or not block_on_error)
+    blocked = sorted(r["_dq_month"] for r in gates if not (r["passed"] or not block_on_error))
+    out = {"dq_results": dq_path, "months_loaded": passed, "months_blocked": blocked}
+    if not passed:
+        return out
+    audit = load_months(raw_df, raw_path, ts, months=passed, source_file=source_file)
+    audit.write.mode("overwrite").parquet(f"{out_dir}/load_audit")
+    landed = spark.read.parquet(raw_path)
+    out.update(materialise(landed, out_dir, ts))
+    hist = scd2_from_history(staging(landed, loaded_at=ts), "provider_org_code",
+                             ["provider_org_name", "provider_parent_org_code", "provider_parent_name"])
+    hist.write.mode("overwrite").parquet(f"{out_dir}/dim_provider")
+    out.update({"raw": raw_path, "load_audit": f"{out_dir}/load_audit", "dim_provider": f"{out_dir}/dim_provider"})
+    return out
