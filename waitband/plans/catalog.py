@@ -58,6 +58,8 @@ QUERIES.update({
     "dq_raw_suite": lambda spark, d: DQ.run_suite(P.raw(spark, d), DQ.raw_extract_rules()),
     "dq_suite_by_month": lambda spark, d: DQ.run_suite(P.raw(spark, d), DQ.raw_extract_rules(), by=["Period"]),
     "dq_gate": lambda spark, d: DQ.gate(DQ.run_suite(P.raw(spark, d), DQ.raw_extract_rules())),
+    "dq_gate_by_month": lambda spark, d: DQ.gate(
+        DQ.run_suite(P.raw(spark, d), DQ.raw_extract_rules(), by=["Period"]), by=["Period"]),
     "dq_staging_suite": lambda spark, d: DQ.run_suite(P.stg(spark, d), DQ.staging_rules()),
     "dq_key_unique": lambda spark, d: DQ.key_uniqueness(P.fact(spark, d), KEY_COLUMNS),
 })

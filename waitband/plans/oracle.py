@@ -339,6 +339,18 @@ select (sum(case when not passed and severity = 'error' then 1 else 0 end) = 0)
 from res"""
 
 
+def q_dq_gate_by_month() -> str:
+    inner = _raw_suite_sql("Period")
+    return f"""with res as ({inner})
+select "Period", (sum(case when not passed and severity = 'error' then 1 else 0 end) = 0) as passed,
+ cast(sum(case when not passed and severity = 'error' then 1 else 0 end) as bigint) as errors,
+ cast(sum(case when not passed and severity = 'warning' then 1 else 0 end) as bigint) as warnings,
+ cast(sum(case when passed then 1 else 0 end) as bigint) as checks_passed,
+ cast(count(*) as bigint) as checks_total
+from res group by "Period"
+"""
+
+
 def q_dq_staging_suite() -> str:
     cols = ["period_date", "financial_year", "provider_org_code", "provider_org_name", "rtt_part_type",
             "treatment_function_code", "total_all", "_loaded_at", "_source"]
@@ -365,6 +377,7 @@ ORACLES.update({
     "dq_raw_suite": q_dq_raw_suite,
     "dq_suite_by_month": q_dq_suite_by_month,
     "dq_gate": q_dq_gate,
+    "dq_gate_by_month": q_dq_gate_by_month,
     "dq_staging_suite": q_dq_staging_suite,
     "dq_key_unique": q_dq_key_unique,
 })
