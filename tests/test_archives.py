@@ -80,3 +80,10 @@ def test_expected_checksum_and_size(spark):
                                     "csv_files_inside_zip array<string>, expected_md5 string, expected_size bigint")
     got = {r.filename: r.error_message for r in AR.file_plausibility(m).collect()}
     assert got == {"a.zip": None, "b.zip": "Checksum mismatch", "c.zip": "Size changed: 20000 bytes, expected 19999"}
+
+
+def test_zip_writer_refuses_object_storage(spark):
+    import pytest
+    df = spark.createDataFrame([("a", "Jan26")], "x string, m string")
+    with pytest.raises(ValueError, match="mounted shared folder"):
+        AR.write_zip_archives(df, "s3a://bucket/out", "m", "s3a://bucket/csv")

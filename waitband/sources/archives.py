@@ -169,6 +169,9 @@ def write_zip_archives(df: DataFrame, out_dir: str, month_col: str, staging_dir:
     """Write ``df`` as CSV (header) per month, then wrap each CSV part in a
     ZIP archive under ``out_dir/<month>/``, inside the tasks.  Returns the
     archive list.  ``out_dir`` must be a mounted (POSIX) shared folder."""
+    if "://" in out_dir and not out_dir.startswith("file:"):
+        raise ValueError(f"write_zip_archives writes with Python file I/O inside tasks and needs a mounted "
+                         f"shared folder, not {out_dir.split('://')[0]}:// storage")
     (df.withColumn("__m", F.col(f"`{month_col}`")).write.mode("overwrite").option("header", True)
      .partitionBy("__m").csv(staging_dir))
     parts = (df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.csv")
