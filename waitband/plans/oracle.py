@@ -8,7 +8,7 @@ Spark side produces (bigint, double, varchar, boolean, date).
 
 from __future__ import annotations
 
-from ..config import BANDS, SURROGATE_NULL_TOKEN
+from ..config import BANDS, SOURCE_LABEL, SURROGATE_NULL_TOKEN
 from ..sources.extract import raw_extract_sql
 from ..sources.seed import seed_values_sql
 
@@ -31,7 +31,7 @@ def base_ctes() -> str:
     return f"""raw as ({raw_extract_sql('duckdb')}),
 stg as (
  select timestamp '2026-02-15 06:00:00' as _loaded_at,
-  'nhs_england_rtt_statistical_release' as _source,
+  '{SOURCE_LABEL}' as _source,
   "Period" as period_raw, {pd} as period_date,
   "Provider Parent Org Code" as provider_parent_org_code, "Provider Parent Name" as provider_parent_name,
   "Provider Org Code" as provider_org_code, "Provider Org Name" as provider_org_name,
