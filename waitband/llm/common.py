@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
@@ -20,6 +23,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out once per row, however often the
+    body names it or a lambda inside it runs."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def narrow(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """``df`` with just ``columns`` (name -> SQL type), cast; whatever else it
     carries can not clash with the names an operator adds."""

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import encoding
+from . import decontaminate, encoding, secrets
 from .bpe import tokenizer_path
 
 
@@ -15,8 +15,18 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_bpe": op2_bpe,
+    "op6_winnowing": op6_winnowing,
+    "op7_secrets": op7_secrets,
 }
 
 ORACLE: dict[str, str] = {}
