@@ -5,12 +5,19 @@ applies its operator with production parameters and returns one row per row
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import decontaminate, encoding, secrets
+from . import decontaminate, encoding, secrets, sharding
 from .bpe import tokenizer_path
 
 
+def op1_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.kd_shards(table(spark, sf_dir, "documents"), shards=24)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -24,6 +31,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_kd_sharding": op1_kd_sharding,
     "op2_bpe": op2_bpe,
     "op6_winnowing": op6_winnowing,
     "op7_secrets": op7_secrets,
