@@ -7,8 +7,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from ..sources.tables import table
-from . import decontaminate, encoding, secrets, sharding
+from . import decontaminate, encoding, secrets, sharding, warc
 from .bpe import tokenizer_path
 
 
@@ -30,11 +31,18 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.read(spark, path)
+
+
 QUERIES = {
     "op1_kd_sharding": op1_kd_sharding,
     "op2_bpe": op2_bpe,
     "op6_winnowing": op6_winnowing,
     "op7_secrets": op7_secrets,
+    "op9_warc": op9_warc,
 }
 
 ORACLE: dict[str, str] = {}
