@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import decontaminate, encoding, secrets, sharding, warc
+from . import decontaminate, encoding, lines, secrets, sharding, spans, warc
 from .bpe import tokenizer_path
 
 
@@ -23,6 +23,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.quality(table(spark, sf_dir, "documents"))
+
+
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -37,12 +41,19 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, path)
 
 
+def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spans.dedup(docs)
+
+
 QUERIES = {
     "op1_kd_sharding": op1_kd_sharding,
     "op2_bpe": op2_bpe,
+    "op3_line_quality": op3_line_quality,
     "op6_winnowing": op6_winnowing,
     "op7_secrets": op7_secrets,
     "op9_warc": op9_warc,
+    "op10_sentence_spans": op10_sentence_spans,
 }
 
 ORACLE: dict[str, str] = {}
