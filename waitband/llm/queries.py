@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import decontaminate, encoding, lines, secrets, sharding, spans, warc
+from . import decontaminate, encoding, lines, packing, secrets, sharding, spans, warc
 from .bpe import tokenizer_path
 
 
@@ -35,6 +35,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
@@ -52,6 +56,7 @@ QUERIES = {
     "op3_line_quality": op3_line_quality,
     "op6_winnowing": op6_winnowing,
     "op7_secrets": op7_secrets,
+    "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_sentence_spans": op10_sentence_spans,
 }
