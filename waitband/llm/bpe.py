@@ -36,7 +36,7 @@ PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{
 SPACE = regex.compile(r"[\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 WORD_END = "</w>"
 #: Entries after which a memo table starts afresh; the one before is kept beside it.
-MEMO = 250_000
+MEMO = 500_000
 NEVER = 1 << 60
 
 
