@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import decontaminate, encoding, lines, packing, secrets, sharding, spans, warc
+from . import decontaminate, encoding, lines, packing, secrets, sharding, spans, toxicity, warc
 from .bpe import tokenizer_path
 
 
@@ -27,6 +27,16 @@ def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.quality(table(spark, sf_dir, "documents"))
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Fitted on the documents that ``labels`` covers, a bounded sample of them."""
+    return toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label")))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+
+
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -54,6 +64,7 @@ QUERIES = {
     "op1_kd_sharding": op1_kd_sharding,
     "op2_bpe": op2_bpe,
     "op3_line_quality": op3_line_quality,
+    "op4_toxicity": op4_toxicity,
     "op6_winnowing": op6_winnowing,
     "op7_secrets": op7_secrets,
     "op8_packing": op8_packing,
