@@ -1,18 +1,53 @@
-"""The training-data pipeline over ``documents``."""
+"""The training-data pipeline over ``documents``: toxic documents go, one
+document of each near-duplicate class stays, documents that hold benchmark
+passages go, secrets are masked, and what is left is encoded.
+
+Each stage takes the documents that the one before it kept and returns their
+columns (the last one ids and digests), so a stage can be run again from the
+table its predecessor wrote.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from waitband.llm import decontaminate, encoding, neardup, secrets, toxicity
+from waitband.llm.bpe import tokenizer_path
 from waitband.llm.common import materialise
-from waitband.llm.queries import encode_stage
+from waitband.llm.queries import toxicity_model
 from waitband.sources.tables import table
 
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.keep_clean(docs, toxicity_model(spark, docs, sf_dir))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.keep_first(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secrets.redact(docs).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return encoding.digests(docs, tokenizer_path())
+
+
 STAGES = [
-    ("encode", encode_stage),
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("secret_scan", mask_secrets),
+    ("bpe", encode),
 ]
 
-#: BPE, trained weights and signatures have no SQL form; the tests hold run() against a brute-force version.
+#: Trained weights, signatures and BPE have no SQL form; tests/llm holds run() against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import decontaminate, encoding, lines, packing, secrets, sharding, spans, toxicity, warc
+from . import decontaminate, encoding, lines, neardup, packing, secrets, sharding, spans, toxicity, warc
 from .bpe import tokenizer_path
 
 
@@ -37,6 +37,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
 
 
+def op5_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "first")
+
+
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -65,6 +69,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_line_quality": op3_line_quality,
     "op4_toxicity": op4_toxicity,
+    "op5_bagminhash": op5_bagminhash,
     "op6_winnowing": op6_winnowing,
     "op7_secrets": op7_secrets,
     "op8_packing": op8_packing,
@@ -73,8 +78,3 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {}
-
-
-def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' ids and digests."""
-    return encoding.digests(docs, tokenizer_path())
