@@ -11,6 +11,7 @@ from ..session import scratch_path
 from ..sources.tables import table
 from . import decontaminate, encoding, lines, neardup, packing, secrets, sharding, spans, toxicity, warc
 from .bpe import tokenizer_path
+from .oracle import ORACLE  # noqa: F401
 
 
 def op1_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,5 +77,3 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_sentence_spans": op10_sentence_spans,
 }
-
-ORACLE: dict[str, str] = {}
