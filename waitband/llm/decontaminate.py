@@ -14,9 +14,9 @@ length (at most ``SPAN - 1`` of them) all runs of that length are hashed.
 
 Scale: the item side is broadcast only when its hashes number at most
 ``BROADCAST_KEYS`` (a row is under 40 bytes); beyond that the joins shuffle and
-Spark may split their skewed keys.  Documents are shuffled once, by doc_id, to
-meet their hits; a hash that a third of all documents hold adds one narrow row
-for each of them.
+Spark may split their skewed keys.  Texts are shuffled at most once, by doc_id,
+to meet their hits; a hash that a third of all documents hold adds one narrow
+row for each of them.
 
 Null texts have no words.  Rows with equal doc_id and text get equal results,
 each its own row; an item_id that stands in several rows counts once; a null
@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from .common import let, materialise, narrow
 
-#: Fixed value: words of lower-cased text are runs of everything but ASCII that is neither digit nor a-z.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Fixed value: what stands between the words of lower-cased text, ASCII that is neither digit nor a-z.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SPAN = 10
 GRAM = 6
 BROADCAST_KEYS = 200_000
@@ -44,27 +44,38 @@ def words_of(text: Column) -> Column:
     t = F.coalesce(text, F.lit(""))
     low = F.when(F.octet_length(t) == F.char_length(t), F.lower(t)).otherwise(
         F.translate(t, string.ascii_uppercase, string.ascii_lowercase))
-    return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
+    # splitting costs a tenth of extracting; an edge that is no word leaves an empty string
+    return F.array_remove(F.split(low, BETWEEN), "")
+
+
+def neighbours(xs: Column, shift: int, join) -> Column:
+    """``join`` of every element with the one ``shift`` after it."""
+    def both(a: Column) -> Column:
+        n = F.greatest(F.size(a) - shift, F.lit(0))
+        return F.zip_with(F.slice(a, F.lit(1), n), F.slice(a, F.lit(shift + 1), n), join)
+
+    return let(xs, both)
 
 
 def grams(hashes: Column, k: int) -> Column:
-    """Hash of every run of ``k`` words."""
-    def runs(h: Column) -> Column:
-        run = F.transform(F.sequence(F.lit(0), F.size(h) - k), lambda i: F.xxhash64(F.lit(k), *[F.get(h, i + j) for j in range(k)]))
-        return F.when(F.size(h) >= k, run).otherwise(F.array().cast("array<bigint>"))
+    """Hash of every run of ``k`` words, doubled up from the hashes of shorter runs."""
+    def of(h: Column, n: int) -> Column:
+        if n == 1:
+            return F.transform(h, lambda x: F.xxhash64(F.lit(k), x))
+        half = n - n // 2
+        return neighbours(of(h, half), n - half, lambda a, b: F.xxhash64(F.lit(n), a, b))
 
-    return let(hashes, runs)
+    return let(hashes, lambda h: of(h, k))
 
 
 def kept(runs: Column) -> Column:
     """Winnowing: the least hash of each window of neighbouring runs."""
-    w = SPAN - GRAM + 1
-
-    def least(r: Column) -> Column:
-        low = F.transform(F.sequence(F.lit(0), F.size(r) - w), lambda i: F.least(*[F.get(r, i + j) for j in range(w)]))
-        return F.when(F.size(r) >= w, low).otherwise(F.array().cast("array<bigint>"))
-
-    return let(runs, least)
+    w, width, low = SPAN - GRAM + 1, 1, runs
+    while width < w:
+        step = min(width, w - width)
+        low = neighbours(low, step, lambda a, b: F.least(a, b))
+        width += step
+    return low
 
 
 def hashed(words: Column) -> Column:
@@ -104,18 +115,21 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     def all_keys(h: Column) -> Column:
         return F.array_distinct(F.concat(kept(grams(h, GRAM)), *[grams(h, k) for k in lengths]))
 
-    rows = docs.select("doc_id", words_of(F.col("text")).alias("words")).filter(F.size("words") >= min([SPAN, *lengths]))
-    rows = rows.withColumn("h", hashed(F.col("words"))).select("doc_id", F.explode(all_keys(F.col("h"))).alias("key"))
-    hits = rows.join(fit(keys.select("key").distinct()), "key", "left_semi").groupBy("doc_id").agg(F.collect_set("key").alias("seen"))
-    hits = hits.withColumnRenamed("doc_id", "hit_id")
+    # a row's identity is its doc_id and text: rows equal in both have equal results
+    words = docs.select("doc_id", F.xxhash64("text").alias("tag"), words_of(F.col("text")).alias("words"))
+    words = words.withColumn("h", hashed(F.col("words"))).withColumn("keys", all_keys(F.col("h")))
+    rows = materialise(words.select("doc_id", "tag", F.size("words").cast("long").alias("n_words"), "keys"), "decontaminate-keys")
+    hits = rows.select("doc_id", F.explode("keys").alias("key")).join(fit(keys.select("key").distinct()), "key", "left_semi")
+    hits = materialise(hits.groupBy(F.col("doc_id").alias("hit_id")).agg(F.collect_set("key").alias("seen")), "decontaminate-hits")
 
-    full = docs.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left").select(
-        "doc_id", F.xxhash64("text").alias("tag"), "seen", words_of(F.col("text")).alias("words"))
+    full = docs.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id"))).select(
+        "doc_id", F.xxhash64("text").alias("tag"), "seen", words_of(F.col("text")).alias("words")).distinct()
+    full = full.withColumn("h", hashed(F.col("words")))
     back = SPAN - GRAM
 
     def places(k: int, length: int) -> Column:
         """Runs of ``k`` words that have a hit, with the words around them."""
-        at = F.transform(grams(hashed(F.col("words")), k), lambda g, i: F.struct(g.alias("key"), F.lit(length).alias("len"), i.alias("at")))
+        at = F.transform(grams(F.col("h"), k), lambda g, i: F.struct(g.alias("key"), F.lit(length).alias("len"), i.alias("at")))
         near = F.filter(at, lambda p: F.array_contains("seen", p["key"]))
         lead = back if length == SPAN else 0
         return F.transform(near, lambda p: F.struct(
@@ -123,23 +137,20 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
             F.slice(F.col("words"), F.greatest(p["at"] - lead, F.lit(0)) + 1, F.lit(length + lead)).alias("around")))
 
     found = F.concat(places(GRAM, SPAN), *[places(k, k) for k in lengths])
-    full = materialise(full.select("doc_id", "tag", F.size("words").cast("long").alias("n_words"),
-                                   F.when(F.col("seen").isNotNull(), found).alias("found")), "decontaminate-hits")
-
-    hit = full.filter(F.size("found") > 0).select("doc_id", "tag", "n_words", F.explode("found").alias("p")).select("doc_id", "tag", "n_words", "p.*")
+    hit = full.select("doc_id", "tag", F.size("words").alias("n"), F.explode(found).alias("p")).select("doc_id", "tag", "n", "p.*")
     side = keys.select("key", "len", "item_id", F.col("at").alias("item_at"), F.col("words").alias("item_words"))
     both = hit.join(fit(side), ["key", "len"])
     # a stretch may begin up to `back` words before the hit: shift 0..back (short items: 0 alone)
     start = lambda s: F.col("at") - s
     shifts = F.sequence(F.lit(0), F.when(F.col("len") == SPAN, back).otherwise(0))
-    equal = F.filter(shifts, lambda s: (start(s) >= 0) & (F.col("item_at") >= s) & (start(s) + F.col("len") <= F.col("n_words"))
+    equal = F.filter(shifts, lambda s: (start(s) >= 0) & (F.col("item_at") >= s) & (start(s) + F.col("len") <= F.col("n"))
                      & (F.col("item_at") - s + F.col("len") <= F.size("item_words"))
                      & (F.slice(F.col("around"), start(s) - F.col("from") + 1, F.col("len"))
                         == F.slice(F.col("item_words"), F.col("item_at") - s + 1, F.col("len"))))
     cover = both.select("doc_id", "tag", "item_id", "len", F.explode(F.transform(equal, start)).alias("start")).groupBy("doc_id", "tag").agg(
         F.collect_set(F.struct("start", (F.col("start") + F.col("len")).alias("end"))).alias("cover"),
         F.collect_set(F.col("item_id").cast("string")).alias("items")).withColumnsRenamed({"doc_id": "c_id", "tag": "c_tag"})
-    return full.select("doc_id", "tag", "n_words").join(
+    return rows.select("doc_id", "tag", "n_words").join(
         cover, F.col("doc_id").eqNullSafe(F.col("c_id")) & F.col("tag").eqNullSafe(F.col("c_tag")), "left").select(
         "doc_id", "tag", "n_words", F.sort_array("cover").alias("cover"), F.sort_array("items").alias("items"))
 
