@@ -29,6 +29,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def narrow(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """``df`` with just ``columns`` (name -> SQL type), cast; whatever else it
     carries can not clash with the names an operator adds."""

@@ -30,7 +30,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, materialise, narrow
+from .common import fresh, let, materialise, narrow
 
 #: Fixed value: what stands between the words of lower-cased text, ASCII that is neither digit nor a-z.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -171,5 +171,8 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the contaminated rows, all columns kept."""
     rows = overlaps(narrow(docs, {"doc_id": "long", "text": "string"}), narrow(items, {"item_id": "string", "text": "string"}))
-    bad = rows.filter(F.size("cover") > 0).select(F.col("doc_id").alias("bad_id"), F.col("tag").alias("bad_tag")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(F.col("bad_id")) & F.xxhash64(docs["text"].cast("string")).eqNullSafe(F.col("bad_tag")), "left_anti")
+    id_, tag = fresh(docs, "__bad_id"), fresh(docs, "__bad_tag")
+    bad = materialise(rows.filter(F.size("cover") > 0).select(F.col("doc_id").alias(id_), F.col("tag").alias(tag)).distinct(), "decontaminate-bad")
+    if bad.count() <= BROADCAST_KEYS:
+        bad = F.broadcast(bad)
+    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(F.col(id_)) & F.xxhash64(docs["text"].cast("string")).eqNullSafe(F.col(tag)), "left_anti")

@@ -26,12 +26,13 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import fresh, materialise
 
 LEAST_WORDS = 50
 SYMBOLS = "#*$%&|<>"
@@ -67,6 +68,11 @@ def normal(line: str) -> str:
     return EDGES.sub("", DIGITS.sub("0", " ".join(line.lower().split())))
 
 
+def line_key(host: str | None, line: str) -> int:
+    name = "" if host is None else "h" + host
+    return xxhash.xxh3_64_intdigest(f"{name}\n{normal(line)}") - (1 << 63)
+
+
 def measured(text: str | None, host: str | None) -> tuple:
     """The columns of ROWS from n_words on, for one text."""
     text = text or ""
@@ -75,13 +81,12 @@ def measured(text: str | None, host: str | None) -> tuple:
     seen: set[str] = set()
     sizes: dict[int, int] = {}
     again = 0
-    name = "" if host is None else "h" + host
     for line in text.split("\n"):
         k = len(line.encode("utf-8").split()) if line else 0
         if k:
             again += line in seen
             seen.add(line)
-            key = xxhash.xxh3_64_intdigest(f"{name}\n{normal(line)}") - (1 << 63)
+            key = line_key(host, line)
             sizes[key] = sizes.get(key, 0) + k
     rep = repeated(words)
     return (n, len(text) - sum(map(text.count, SPACES)), sum(map(text.count, SYMBOLS)), again, rep, n < LEAST_WORDS or 100 * rep > 50 * n,
@@ -135,21 +140,15 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     if gone.count() <= BROADCAST_KEYS:
         gone = F.broadcast(gone)
 
-    def keys(hosts: "pa.Array", texts: "pa.Array"):
-        for h, t in zip(hosts, texts):
-            name = "" if h is None else "h" + h
-            yield [xxhash.xxh3_64_intdigest(f"{name}\n{normal(line)}") - (1 << 63) if line.split() else None for line in (t or "").split("\n")]
-
     @F.pandas_udf("array<long>")
-    def line_keys(host, text):
-        import pandas as pd
-        return pd.Series(list(keys(host, text)))
+    def line_keys(host: pd.Series, text: pd.Series) -> pd.Series:
+        def keys(h, t):
+            return [line_key(h, line) if line.encode("utf-8").split() else None for line in (t or "").split("\n")]
+        return pd.Series([keys(h, t) for h, t in zip(host, text)])
 
-    row = "__row"
-    while row in docs.columns:
-        row += "_"
+    row, lost = fresh(docs, "__row"), fresh(docs, "__gone")
     marked = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "lines-docs")
     held = marked.select(row, F.posexplode(line_keys(F.col(host_col).cast("string"), F.col(text_col).cast("string"))).alias("pos", "key"))
-    hit = held.join(gone, "key").groupBy(row).agg(F.collect_set("pos").alias("__gone"))
-    rest = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda _, i: ~F.array_contains("__gone", i)), "\n")
-    return marked.join(hit, row, "left").withColumn(text_col, F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(rest)).select(*docs.columns)
+    hit = held.join(gone, "key").groupBy(row).agg(F.collect_set("pos").alias(lost))
+    rest = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda _, i: ~F.array_contains(lost, i)), "\n")
+    return marked.join(hit, row, "left").withColumn(text_col, F.when(F.col(lost).isNull(), F.col(text_col)).otherwise(rest)).select(*docs.columns)

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bagminhash import GOLD, mixed, signatures
-from .common import materialise
+from .common import fresh, materialise
 from .graph import components
 
 RUN = 5
@@ -198,10 +198,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each class, all columns kept."""
+    on = [fresh(docs, n) for n in ("__id", "__none", "__tag")]
+
     def marks(i: Column, tag: Column) -> list[Column]:
-        return [F.coalesce(i, F.lit(0)).alias("__id"), i.isNull().alias("__none"), tag.alias("__tag")]
+        return [c.alias(n) for c, n in zip((F.coalesce(i, F.lit(0)), i.isNull(), tag), on)]
 
-    on = ["__id", "__none", "__tag"]
     kept = classes(docs, id_col, text_col).filter("first").select(*marks(F.col("doc_id"), F.col("tag")))
     marked = docs.select(*docs.columns, *marks(docs[id_col].cast("long"), F.xxhash64(docs[text_col].cast("string"))))
     # a row given twice has both its copies here: the last step drops one

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, narrow
+from .common import fresh, let, narrow
 
 #: The base patterns and the least length of what they find.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -178,9 +178,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", allow:
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", allow: tuple[str, ...] = ALLOW) -> DataFrame:
     """``docs`` with every span replaced by ``mark`` (overlapping spans by one);
     null texts stay null.  Work grows as text length times spans."""
-    name = "__spans"
-    while name in docs.columns:
-        name += "_"
+    name = fresh(docs, "__spans")
     t = F.col(text_col)
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from .common import materialise
+from .common import fresh, materialise
 
 LEAST_WORDS = 25
 END = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -123,13 +123,14 @@ def repeated(docs: DataFrame, least: int) -> DataFrame:
 
 def dedup(docs: DataFrame, least: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with repeated sentences removed from the text, and n_sentences,
-    n_removed and removed (the sentences' numbers)."""
-    if clash := {"removed", "n_sentences", "n_removed", "g_id", "g_tag"} & set(docs.columns):
-        raise ValueError(f"rename these columns first: {sorted(clash)}")
+    n_removed and removed (the sentences' numbers), which replace columns of
+    these names."""
+    docs = docs.drop("removed", "n_sentences", "n_removed")
+    id_, tag = fresh(docs, "__id"), fresh(docs, "__tag")
     docs = docs.withColumn(text_col, docs[text_col].cast("string"))
-    gone = repeated(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), least)
-    same = docs[id_col].cast("long").eqNullSafe(gone["g_id"]) & (F.xxhash64(docs[text_col]) == gone["g_tag"])
-    joined = docs.join(gone, same, "left").drop("g_id", "g_tag").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
+    gone = repeated(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), least).withColumnsRenamed({"g_id": id_, "g_tag": tag})
+    same = docs[id_col].cast("long").eqNullSafe(F.col(id_)) & (F.xxhash64(docs[text_col]) == F.col(tag))
+    joined = docs.join(gone, same, "left").drop(id_, tag).withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
 
     def run(batches):
         for b in batches:
