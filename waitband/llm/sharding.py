@@ -45,14 +45,14 @@ def ordinate(c: Column, kind: str) -> Column:
 
 
 def measured(docs: DataFrame, id_col: str, text_col: str, dims: list[str]) -> DataFrame:
-    """Narrow rows: id, size, checksum, dimensions and what parts ties."""
+    """Narrow rows: id, size, checksum, dimensions, what parts ties, and the root node."""
     kinds = dict(docs.dtypes)
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     size = (F.octet_length(text) + 8).cast("long")
     return docs.select(
         docs[id_col].cast("long").alias("doc_id"), size.alias("size"), F.crc32(text).alias("text_crc32"),
         F.array(size, *[ordinate(docs[d], kinds[d]) for d in dims]).alias("x"),
-    ).withColumn("tie", F.xxhash64("doc_id", "text_crc32", "x").bitwiseAND(F.lit(TOP))).withColumn("row", F.monotonically_increasing_id())
+    ).withColumn("tie", F.xxhash64("doc_id", "text_crc32", "x").bitwiseAND(F.lit(TOP))).withColumn("row", F.monotonically_increasing_id()).withColumn("node", F.lit(0))
 
 
 class Tree:
@@ -61,7 +61,7 @@ class Tree:
 
     def __init__(self, rows: DataFrame, shards: int, dims: int):
         self.dims = dims
-        self.spark, self.rows = rows.sparkSession, rows.withColumn("node", F.lit(0))
+        self.spark, self.rows = rows.sparkSession, rows
         self.leaves = {0: shards}
         self.ranges: list[int] = []
 

@@ -172,8 +172,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that the model finds toxic, all columns kept."""
+    at = docs.columns.index(text_col)
+
     def run(batches):
-        work = scorer(model, docs.columns.index(text_col), [])
+        work = scorer(model, at, [])
         for b in batches:
             (s,) = work([b])
             yield b.filter(pa.array(s.column(2).to_numpy() < 0.5))
