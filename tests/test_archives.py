@@ -51,10 +51,10 @@ def test_manifest_plausibility_revision_and_pick(spark):
     assert rows["d_small.zip"].error_message.startswith("File too small")
     assert rows["e_notzip.zip"].error_message == "Not a valid ZIP file"
     assert rows["f_nocsv.zip"].error_message == "No CSV file inside archive"
-    ok = m.filter("success")
-    flagged = {r.filename: r.is_revised for r in AR.revised_flags(ok).collect()}
+    assert rows["a_first.zip"].raw_path == "raw/rtt/2025-26/Jan26/a_first.zip" and rows["a_first.zip"].source_url is None
+    flagged = {r.filename: r.is_revised for r in AR.revised_flags(m).filter("success").collect()}
     assert flagged == {"a_first.zip": False, "b_second.zip": True, "c_revised.zip": True}
-    picked = AR.pick_month_file(AR.revised_flags(ok)).collect()
+    picked = AR.pick_month_file(AR.revised_flags(m)).collect()   # files that failed are no choice
     assert [r.filename for r in picked] == ["c_revised.zip"]
 
 
@@ -69,7 +69,7 @@ def test_zip_scan_reads_first_csv_and_fills_missing_columns(spark):
     rows = df.select("Period", "Provider Org Code", "Total All", "Total", "_csv_member").collect()
     assert sorted((r["Provider Org Code"], r["Total All"]) for r in rows) == [("ABC", "7"), ("XYZ", None)]
     assert all(r["Total"] is None and r["_csv_member"] == "b.CSV" for r in rows)
-    assert len(df.columns) == 121 + 2
+    assert len(df.columns) == 121 + 3
     assert df.filter(F.col("_source_file").endswith("m.zip")).count() == 2
 
 
@@ -82,8 +82,44 @@ def test_expected_checksum_and_size(spark):
     assert got == {"a.zip": None, "b.zip": "Checksum mismatch", "c.zip": "Size changed: 20000 bytes, expected 19999"}
 
 
-def test_zip_writer_refuses_object_storage(spark):
+def test_fixture_writer_refuses_object_storage(spark):
     import pytest
+
+    from waitband.plans import fixtures as FX
     df = spark.createDataFrame([("a", "Jan26")], "x string, m string")
     with pytest.raises(ValueError, match="mounted shared folder"):
-        AR.write_zip_archives(df, "s3a://bucket/out", "m", "s3a://bucket/csv")
+        FX.write_zip_archives(df, "s3a://bucket/out", "m", "s3a://bucket/csv")
+
+
+def test_one_bad_archive_fails_alone_and_text_na_stays(spark):
+    base = scratch_path(spark, "test-badzip")
+    local = base[len("file:"):] if base.startswith("file:") else base
+    os.makedirs(local)
+    good = _zip_bytes({"a.csv": _csv([("RTT-January-2026", "NA", "7"), ("RTT-January-2026", "null", "")])})
+    torn = bytearray(_zip_bytes({"b.csv": _csv([("RTT-January-2026", f"P{i}", "1") for i in range(4000)])}))
+    torn[5000:5004] = b"####"
+    for name, data in (("good.zip", good), ("torn.zip", bytes(torn)), ("no.zip", b"nothing"), ("empty.zip", _zip_bytes({"x.txt": "y"}))):
+        with open(os.path.join(local, name), "wb") as f:
+            f.write(data)
+    rows = AR.zip_csv_scan(spark, base, raw_columns()).select("Provider Org Code", "Total All", "_source_file", "_scan_error").collect()
+    assert sorted((r[0], r[1]) for r in rows if r._source_file.endswith("good.zip")) == [("NA", "7"), ("null", None)]
+    errors = {r._source_file.split("/")[-1]: r._scan_error for r in rows if r._scan_error}
+    assert set(errors) == {"torn.zip", "no.zip", "empty.zip"} and errors["empty.zip"] == "No CSV file inside archive"
+
+
+def test_both_csv_readers_read_the_same(spark):
+    from waitband.operators.load import read_raw_csv
+    base = scratch_path(spark, "test-csv")
+    local = base[len("file:"):] if base.startswith("file:") else base
+    os.makedirs(local)
+    rows = [("RTT-January-2026", "NA", "7"), ("RTT-January-2026", "ABC", ""), ("RTT-January-2026", "null", "*")]
+    line = {c: "" for c in raw_columns()}
+    text = "\n".join([",".join(raw_columns())] + [",".join((line | dict(zip(("Period", "Provider Org Code", "Total All"), r))).values()) for r in rows]) + "\n"
+    with open(os.path.join(local, "m.csv"), "w") as f:
+        f.write(text)
+    with open(os.path.join(local, "m.zip"), "wb") as f:
+        f.write(_zip_bytes({"m.csv": text}))
+    plain = read_raw_csv(spark, f"{base}/m.csv").select(*[F.col(f"`{c}`") for c in raw_columns()])
+    zipped = AR.zip_csv_scan(spark, base, raw_columns()).select(*[F.col(f"`{c}`") for c in raw_columns()])
+    assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, zipped.collect()), key=str)
+    assert {r[0] for r in plain.select("Provider Org Code").collect()} == {"NA", "ABC", "null"}

@@ -82,6 +82,82 @@ def test_fact_sink_is_a_full_refresh(spark):
     assert [r[0] for r in spark.read.parquet(path).select("period_date").distinct().collect()] == [dt.date(2026, 1, 1)]
 
 
+def test_stray_and_unparsed_rows_never_replace_a_month(spark):
+    """A January file with a December row and a junk period: December keeps its
+    three rows, and both rows are held back with their reason."""
+    path, held = scratch_path(spark, "test-stray"), scratch_path(spark, "test-held")
+    dec = raw_frame(spark, [{"Period": "RTT-December-2025", "Provider Org Code": f"P{i}", "bands": {1: i}} for i in range(3)])
+    LD.load_months(dec, path, dt.datetime(2026, 1, 20), source_file="Dec25.zip", month="Dec25")
+    jan = raw_frame(spark, [{"bands": {1: 1}}, {"Period": "RTT-December-2025", "bands": {2: 3}}, {"Period": "junk", "bands": {2: 3}}])
+    audit = LD.load_months(jan, path, dt.datetime(2026, 2, 20), source_file="Jan26.zip", month="Jan26", is_revised=True, quarantine_path=held)
+    got = {(r._month_code, r._is_revised): r.n for r in spark.read.parquet(path).groupBy("_month_code", "_is_revised").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {("Dec25", False): 3, ("Jan26", True): 1}
+    assert sorted(r[0] for r in spark.read.parquet(held).select("_quarantine_reason").collect()) == sorted([LD.STRAY, LD.UNPARSED])
+    assert [tuple(r) for r in audit.collect()] == [("Jan26", 1, 1, True, 2)]
+    # without a file month, a row of no month is held back under no month
+    alone = LD.load_months(raw_frame(spark, [{"Period": "junk", "bands": {1: 1}}, {"bands": {1: 1}}]), path, dt.datetime(2026, 2, 21),
+                           months=["jan26"], source_file="x.zip")
+    assert {r._month_code: (r.rows_loaded, r.rows_quarantined) for r in alone.collect()} == {None: (0, 1), "Jan26": (1, 0)}
+    assert None not in {r[0] for r in spark.read.parquet(path).select("_month_code").distinct().collect()}
+
+
+def test_month_and_year_of_paths(spark):
+    from waitband.functions.calendar import month_of_path, year_of_month
+    rows = [("/raw/rtt/2025-26/Jan26/Full.zip", "Jan26", "2025-26"), ("/x/full_mar25_v2.zip", "Mar25", "2024-25"), ("/Feb24/apr25.zip", "Apr25", "2025-26"),
+            ("/x/summary25.zip", None, None), ("/x/Feb2024.zip", None, None)]
+    df = spark.createDataFrame([(r[0],) for r in rows], "p string").select("p", month_of_path(F.col("p")).alias("m"))
+    got = {r.p: (r.m, r.y) for r in df.select("p", "m", year_of_month(F.col("m")).alias("y")).collect()}
+    assert got == {p: (m, y) for p, m, y in rows}
+
+
+def test_snapshot_versions_switch_by_marker(spark):
+    base = scratch_path(spark, "test-snap")
+    cols = ["provider_org_name", "provider_parent_org_code", "provider_parent_name"]
+    rows = lambda name, day: spark.createDataFrame([("A", name, "Q1", "B1", day)], "provider_org_code string, provider_org_name string, "
+                                                   "provider_parent_org_code string, provider_parent_name string, period_date date")
+    one = SCD.write_snapshot(spark, base, rows("Alpha", dt.date(2025, 1, 1)), "provider_org_code", cols, dt.date(2025, 1, 1))
+    two = SCD.write_snapshot(spark, base, rows("Alpha2", dt.date(2025, 2, 1)), "provider_org_code", cols, dt.date(2025, 2, 1))
+    assert (one[-4:], two[-4:]) == ("/v=1", "/v=2")
+    assert spark.read.parquet(one).count() == 1 and spark.read.parquet(two).count() == 2
+
+
+def test_fact_labels_travel_with_the_table(spark):
+    from waitband.config import FACT_LABELS
+    from waitband.operators.fact import table_labels, write_fact
+    from waitband.plans import pipeline as P
+    path = scratch_path(spark, "test-labels")
+    write_fact(P.fact(spark, "/root/testdata/sf0.001"), path)
+    assert table_labels(spark, path) == FACT_LABELS and len(FACT_LABELS) == 3
+
+
+def test_scratch_needs_a_shared_folder_off_local_mode(spark, monkeypatch):
+    import pytest
+
+    from waitband import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+    path = scratch_path(spark, "test-clear")
+    spark.range(3).write.parquet(path)
+    monkeypatch.setattr(session, "_SCRATCH", [path])
+    assert session.clear_scratch(spark) == 1
+
+
 def test_run_pipeline_gates_months(spark):
     from waitband.operators import quality as DQ
     from waitband.plans.pipeline import run_pipeline
@@ -98,6 +174,14 @@ def test_run_pipeline_gates_months(spark):
     assert spark.read.parquet(out["dim_provider"]).count() == 2
     res = spark.read.parquet(out["dq_results"])
     assert res.filter("_dq_month = 'Jan26' and check_name = 'no_negatives' and not passed").count() == 1
+    # a junk period neither gates nor breaks the run
+    junk = raw.unionByName(raw_frame(spark, [{"Period": "junk", "bands": {1: 1}}]))
+    held = run_pipeline(junk, scratch_path(spark, "test-run"), dt.datetime(2026, 2, 1), rules=rules)
+    assert held["months_loaded"] == ["Dec25"] and spark.read.parquet(held["quarantine"]).count() == 1
+    # rules about how much data there is only warn
+    size = [r for r in DQ.raw_extract_rules() if r.name in ("row_count_in_expected_range", "total_all_between", "provider_org_code_unique_ratio")]
+    assert len(size) == 3
+    assert run_pipeline(raw, scratch_path(spark, "test-run"), dt.datetime(2026, 2, 1), rules=size)["months_loaded"] == ["Dec25", "Jan26"]
     report_only = run_pipeline(raw, scratch_path(spark, "test-run"), dt.datetime(2026, 2, 1), rules=rules,
                                block_on_error=False)
     assert report_only["months_loaded"] == ["Dec25", "Jan26"]

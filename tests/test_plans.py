@@ -62,5 +62,46 @@ def test_dq_suite_is_one_scan(spark, layers):
 
 def test_big_join_is_not_broadcast_but_seed_is(spark):
     p = plan(P.fact(spark, SF_SMALL))
-    assert "ShuffledHashJoin" in p           # lineitem x orders: both sides grow with the data
+    assert "SortMergeJoin" in p              # lineitem x orders: both sides grow with the data
     assert "BroadcastHashJoin LeftOuter" in p  # the fixed 24-row specialty seed
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dq_suite_expands_only_after_the_first_shuffle(spark):
+    from waitband.operators import quality as DQ
+    from waitband.plans import pipeline as P
+    plan = _plan(DQ.run_suite(P.raw(spark, SF_SMALL), DQ.raw_extract_rules(), by=["Period"]))
+    first = plan.rindex("Expand")   # the tree is printed top down: what stands below comes later
+    assert plan.count("Expand") == 1 and "Exchange" in plan[first:] and plan[first:].index("Exchange") < plan[first:].index("FileScan")
+    assert "count(distinct" not in plan[plan.index("Exchange", first):]
+
+
+def test_history_does_not_sort_before_the_first_exchange(spark):
+    from waitband.operators import scd2 as SCD
+    raw = spark.range(10).selectExpr("cast(id as string) k", "cast('a' as string) a", "cast('b' as string) b", "date'2025-01-01' period_date")
+    for df in (SCD.scd2_from_history(raw, "k", ["a", "b"]), SCD.latest_per_key(raw, "k", ["a", "b"])):
+        plan = _plan(df)
+        below = plan[plan.rindex("Exchange"):]
+        assert "Sort" not in below and "HashAggregate" in below
+
+
+def test_no_forced_hash_join(spark):
+    from waitband.plans import pipeline as P
+    assert "ShuffledHashJoin" not in _plan(P.raw(spark, SF_SMALL))
+
+
+def test_gaps_read_the_rows_once(spark):
+    from waitband.operators import features as FE
+    path = f"{SF_SMALL}/orders.parquet"
+    rows = spark.read.parquet(path).selectExpr("o_custkey k", "trunc(to_date(o_orderdate), 'month') period_date")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (FE.submission_gaps(rows, ["k"]), FE.completeness_by_month(rows, ["k"])):
+            plan = _plan(df)
+            assert plan.count("FileScan") - plan.count("ReusedExchange") <= 1 or "ReusedExchange" in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+

@@ -7,7 +7,7 @@ the same operators work on any banded-count table: pass a different
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -108,7 +108,6 @@ ROW_COUNT_RANGE = (50_000, 300_000)
 TOTAL_ALL_RANGE = (0, 500_000)
 PROVIDER_UNIQUE_RATIO = (0.001, 0.01)
 BAND_SUM_TOLERANCE_PCT = 5.0
-PERIOD_REGEX_STRICT = r"^RTT-[A-Za-z]+ [0-9]{4}$"
 PERIOD_REGEX = r"^RTT-[A-Za-z]+[ -][0-9]{4}$"
 PROVIDER_CODE_REGEX = r"^[A-Z0-9]{3,6}$"
 FRESHNESS_WARN_DAYS, FRESHNESS_ERROR_DAYS = 35, 40
@@ -116,15 +115,8 @@ FILE_MIN_BYTES, FILE_MAX_BYTES = 10_000, 50_000_000
 FINANCIAL_YEAR_START_MONTH = 4
 DEFAULT_RELEASE_FILENAME = "RTT_Full_CSV_{code}.zip"
 RELEASE_ANCHOR_TEXT = "Full CSV data file {code}"
-RAW_PATH_TEMPLATE = "raw/rtt/{fy}/{month}/{file}"
 PIPELINE_VERSION = "1.0.0"
-
-
-@dataclass(frozen=True)
-class PipelineOptions:
-    bands: BandSpec = field(default_factory=BandSpec)
-    thresholds: Thresholds = field(default_factory=Thresholds)
-    source_label: str = SOURCE_LABEL
+FACT_LABELS = {"domain": "nhs_rtt", "sensitivity": "official", "refresh": "monthly"}
 
 
 def raw_columns(bands: BandSpec = BANDS) -> list[str]:

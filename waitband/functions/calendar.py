@@ -65,3 +65,18 @@ def raw_path(fy, month, file, template: str = "raw/rtt/{fy}/{month}/{file}") ->
         if rest:
             out.append(F.lit(rest))
     return F.concat(*out)
+
+
+#: How files and folders name a month.
+MONTH_CODE_PATTERN = r"(?i)(?<![a-z])((?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[0-9]{2})(?![0-9a-z])"
+
+
+def month_of_path(path: Column) -> Column:
+    """The month code that a file's path names (the last one in it), or NULL."""
+    codes = F.regexp_extract_all(path, F.lit(MONTH_CODE_PATTERN), F.lit(1))
+    return F.initcap(F.get(codes, F.size(codes) - 1))
+
+
+def year_of_month(code: Column) -> Column:
+    """Financial year of a month code."""
+    return financial_year(F.try_to_timestamp(F.concat(F.lit("01"), code), F.lit("ddMMMyy")).cast("date"))

@@ -86,6 +86,13 @@ def backfill_summary(plan: DataFrame) -> DataFrame:
     return plan.groupBy("status").agg(*aggs)
 
 
+def backfill_success(summary: DataFrame) -> DataFrame:
+    """One row: did the backfill as a whole succeed (no failed month)?"""
+    failed = F.coalesce(F.sum(F.when(F.col("status") == "failed", F.col("months"))), F.lit(0))
+    return summary.agg((failed == 0).alias("success"), F.coalesce(F.sum("months"), F.lit(0)).cast("bigint").alias("months"),
+                       failed.cast("bigint").alias("failed"))
+
+
 def source_freshness(df: DataFrame, ts_col: str, as_of, warn_days: int = FRESHNESS_WARN_DAYS,
                      error_days: int = FRESHNESS_ERROR_DAYS) -> DataFrame:
     """Newest load time vs ``as_of``: pass / warn / error (no rows: error)."""

@@ -48,9 +48,9 @@ def _fold_sql(bands: BandSpec, n_col: str) -> str:
     the median band (first band where 2 * cn >= n)."""
     arr = "array(" + ", ".join(bands.names()) + ")"
     return f"""aggregate(transform({arr}, (x, i) -> named_struct('p', x, 'i', i)),
- named_struct('cn', cast(0 as bigint), 'cw', cast(0 as bigint), 'g', cast(0 as bigint), 'med', cast(null as int)),
+ named_struct('cn', cast(0 as bigint), 'cw', cast(0 as bigint), 'g', cast(0 as decimal(38,0)), 'med', cast(null as int)),
  (acc, e) -> named_struct('cn', acc.cn + e.p, 'cw', acc.cw + e.p * (2 * e.i + 1),
-   'g', acc.g + e.p * (2 * acc.cw + e.p * (2 * e.i + 1)),
+   'g', cast(acc.g + cast(e.p as decimal(18,0)) * cast(2 * acc.cw + e.p * (2 * e.i + 1) as decimal(19,0)) as decimal(38,0)),
    'med', case when acc.med is null and {n_col} > 0 and 2 * (acc.cn + e.p) >= {n_col} then e.i else acc.med end))"""
 
 

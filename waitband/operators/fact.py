@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import THRESHOLDS, Thresholds
+from ..config import FACT_LABELS, THRESHOLDS, Thresholds
 from ..functions.calendar import calendar_attrs
 from ..functions.keys import surrogate_key
 from ..functions.metrics import breach_severity, rag_status
@@ -66,18 +66,24 @@ def fact_performance(int_df: DataFrame, seed: DataFrame | None = None,
     return out
 
 
-def write_fact(fact: DataFrame, path: str, cluster_by=("provider_parent_org_code",
-                                                       "treatment_function_code")) -> None:
-    """Full-refresh sink partitioned by month, clustered within each month.
+def write_fact(fact: DataFrame, path: str, cluster_by=("provider_parent_org_code", "treatment_function_code"),
+               months_only: bool = False, labels: dict | None = None) -> None:
+    """Sink partitioned by month, clustered within each month; a full refresh,
+    or with ``months_only`` a replacement of the months present.
 
-    The ``rebalance`` hint shuffles by month and lets AQE size the write
-    tasks: a month holding a third of all rows is split into several tasks,
-    small months are coalesced, so files come out near the advisory size
-    without a sampling pass over the (expensive) upstream plan.
-    ``sortWithinPartitions`` then gives tight row-group min/max stats on the
-    cluster keys for data skipping.
+    Rows are range-partitioned on (month, board, specialty), so each file spans
+    a narrow range of the cluster keys: readers skip whole files, and a month
+    holding a third of all rows is split over many tasks.  The labels are kept
+    as metadata of the key column, where every reader of the table finds them.
     """
-    (fact.hint("rebalance", "period_date")
+    labels = FACT_LABELS if labels is None else labels
+    keyed = fact.withMetadata("rtt_performance_id", {"labels": dict(labels)})
+    (keyed.repartitionByRange("period_date", *cluster_by)
      .sortWithinPartitions("period_date", *cluster_by)
-     .write.mode("overwrite").option("partitionOverwriteMode", "static")  # full refresh
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if months_only else "static")
      .partitionBy("period_date").parquet(path))
+
+
+def table_labels(spark, path: str) -> dict:
+    """The labels a fact table was written with."""
+    return spark.read.parquet(path).schema["rtt_performance_id"].metadata.get("labels", {})

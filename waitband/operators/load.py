@@ -1,24 +1,33 @@
-"""Idempotent month loads: audit columns, dynamic partition overwrite,
-reconciliation and load summaries.
+"""Idempotent month loads: audit columns, quarantine, dynamic partition
+overwrite, reconciliation and load summaries.
 
 A month is the unit of replacement.  ``month_overwrite`` writes with
 ``partitionOverwriteMode=dynamic`` so only the months present in the frame
 are replaced: reruns never duplicate rows and other months are untouched.
+Which month a row belongs to is said by its file or folder; where a file does
+not say, by the row's period.  A row whose period is of another month, or does
+not parse, would replace a month it knows nothing of: it goes to a quarantine
+table with the reason, never to the null partition.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import PIPELINE_VERSION
-from ..functions.calendar import financial_year, month_code, parse_period
+from ..config import PIPELINE_VERSION, raw_columns
+from ..functions.calendar import financial_year, month_code, parse_period, year_of_month
+
+STRAY, UNPARSED = "period of another month", "period does not parse"
+AUDIT_COLUMNS = ("_pipeline_loaded_at", "_source_file", "_financial_year", "_month_code", "_is_revised", "_pipeline_version")
 
 
 def with_audit(raw: DataFrame, loaded_at, source_file=None, is_revised=False,
-               version: str = PIPELINE_VERSION, period_col: str = "Period") -> DataFrame:
-    """Add the six loader audit columns.  Month code and financial year come
-    from each row's period, so many files load in one distributed pass."""
+               version: str = PIPELINE_VERSION, period_col: str = "Period", month: Column | str | None = None) -> DataFrame:
+    """Add the six loader audit columns.  ``month`` is the month code the file
+    or folder names (column or text); where it is NULL, and without it, month
+    and financial year come from each row's period, so many files load in one
+    distributed pass."""
     d = parse_period(F.col(f"`{period_col}`"))
     if source_file is None:
         src = F.input_file_name()
@@ -27,34 +36,42 @@ def with_audit(raw: DataFrame, loaded_at, source_file=None, is_revised=False,
     else:
         src = source_file
     rev = F.lit(is_revised) if isinstance(is_revised, bool) else is_revised
+    named = F.lit(None).cast("string") if month is None else F.lit(month) if isinstance(month, str) else month
+    own = [c for c in raw.columns if c not in AUDIT_COLUMNS]
     return raw.select(
-        "*",
+        *[F.col(f"`{c}`") for c in own],
         F.lit(loaded_at).alias("_pipeline_loaded_at"),
         src.alias("_source_file"),
-        financial_year(d).alias("_financial_year"),
-        month_code(d).alias("_month_code"),
+        F.coalesce(year_of_month(named), financial_year(d)).alias("_financial_year"),
+        F.coalesce(named, month_code(d)).alias("_month_code"),
         rev.alias("_is_revised"),
         F.lit(version).alias("_pipeline_version"),
     )
 
 
-def month_filter(df: DataFrame, month: str, month_col: str = "_month_code") -> DataFrame:
-    """Case-insensitive single-month selection."""
-    return df.filter(F.lower(F.col(month_col)) == month.lower())
+def quarantine_reason(period_col: str = "Period", month_col: str = "_month_code") -> Column:
+    """Why a row may not be loaded into its month; NULL if it may."""
+    own = month_code(parse_period(F.col(f"`{period_col}`")))
+    return F.when(own.isNull(), UNPARSED).when(F.lower(own) != F.lower(F.col(month_col)), STRAY)
+
+
+def split_quarantine(audited: DataFrame, period_col: str = "Period") -> tuple[DataFrame, DataFrame]:
+    """(rows to load, rows held back with ``_quarantine_reason``)."""
+    marked = audited.withColumn("_quarantine_reason", quarantine_reason(period_col))
+    good = marked.filter(F.col("_quarantine_reason").isNull()).drop("_quarantine_reason")
+    return good, marked.filter(F.col("_quarantine_reason").isNotNull())
 
 
 def month_overwrite(df: DataFrame, path: str, month_col: str = "_month_code",
-                    cluster_cols: tuple = (), rebalance: bool = False) -> None:
+                    cluster_cols: tuple = (), rebalance: bool = True) -> None:
     """Replace exactly the months present in ``df`` under ``path``.
 
-    By default rows keep their partitioning and are sorted by month within
-    each task, so each task writes one file per month it holds - no shuffle.
-    That is ideal for archive scans (one archive = one month per task).  Pass
-    ``rebalance=True`` when many tasks each hold a little of every month:
-    the rebalance hint shuffles by month and lets AQE split a hot month and
-    merge small ones, so files come out near the advisory size.  A month
-    absent from ``df`` is left untouched (dynamic overwrite never deletes by
-    omission)."""
+    The rebalance hint shuffles by month and lets AQE split a hot month and
+    merge small ones, so files come out near the advisory size whatever the
+    input's partitioning.  ``rebalance=False`` keeps the input partitioning (one
+    file per task and month), for frames whose tasks hold one month each.  A
+    month absent from ``df`` is left untouched (dynamic overwrite never deletes
+    by omission)."""
     out = df.hint("rebalance", month_col) if rebalance else df
     (out.sortWithinPartitions(month_col, *cluster_cols)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -65,6 +82,10 @@ def load_reconcile(source: DataFrame, target: DataFrame, month_col: str = "_mont
     """Rows per month in source vs target; a mismatch is reported, not raised."""
     s = source.groupBy(month_col).agg(F.count(F.lit(1)).cast("bigint").alias("rows_expected"))
     t = target.groupBy(month_col).agg(F.count(F.lit(1)).cast("bigint").alias("rows_loaded"))
+    return _reconciled(s, t, month_col)
+
+
+def _reconciled(s: DataFrame, t: DataFrame, month_col: str) -> DataFrame:
     j = s.join(t, month_col, "full")
     e = F.coalesce("rows_expected", F.lit(0).cast("bigint"))
     lo = F.coalesce("rows_loaded", F.lit(0).cast("bigint"))
@@ -72,27 +93,52 @@ def load_reconcile(source: DataFrame, target: DataFrame, month_col: str = "_mont
 
 
 def load_summary(audit: DataFrame, month_col: str = "_month_code") -> DataFrame:
-    """Files (months) attempted, succeeded, failed and rows loaded."""
+    """Files (months) attempted, succeeded, failed and rows loaded; with the
+    per-file audit also revised files and the failed ones with their errors."""
+    own = set(audit.columns)
+    failed = ~F.col("success")
+    more = []
+    if "is_revised" in own:
+        more.append(F.sum(F.col("is_revised").cast("int")).cast("bigint").alias("revised"))
+    if "error_message" in own:
+        more.append(F.concat_ws("; ", F.sort_array(F.collect_list(F.when(failed, F.concat_ws(
+            ": ", F.coalesce(F.col(month_col), F.lit("unknown month")), F.coalesce("error_message", F.lit("row count differs"))))))).alias("failures"))
     return audit.agg(
         F.count(F.lit(1)).cast("bigint").alias("months"),
         F.sum(F.col("success").cast("int")).cast("bigint").alias("succeeded"),
-        F.sum((~F.col("success")).cast("int")).cast("bigint").alias("failed"),
+        F.sum(failed.cast("int")).cast("bigint").alias("failed"),
         F.sum("rows_loaded").cast("bigint").alias("total_rows"),
+        *more,
     )
 
 
 def load_months(raw: DataFrame, path: str, loaded_at, months: list[str] | None = None,
-                source_file=None, is_revised=False) -> DataFrame:
-    """Audit -> optional month filter -> month overwrite -> reconcile.
-
-    Returns the per-month audit rows (computed against the written table)."""
-    a = with_audit(raw, loaded_at, source_file, is_revised)
+                source_file=None, is_revised=False, month: Column | str | None = None,
+                quarantine_path: str | None = None, rebalance: bool = True) -> DataFrame:
+    """Audit -> quarantine -> optional month filter -> month overwrite -> reconcile.
+
+    Returns the per-month audit rows: expected rows, rows in the written table
+    and the rows held back, of which those without any month stand in a row of
+    their own (month NULL).  The source is read once for the write and, if
+    given a path, once for the quarantine table; the months' counts come from
+    one narrow aggregation."""
+    a = with_audit(raw, loaded_at, source_file, is_revised, month=month)
     if months:
-        a = a.filter(F.lower(F.col("_month_code")).isin([m.lower() for m in months]))
-    month_overwrite(a, path)
-    written = a.sparkSession.read.parquet(path)
-    touched = a.select("_month_code").distinct()
-    return load_reconcile(a, written.join(touched, "_month_code", "left_semi"))
+        wanted = F.lower(F.col("_month_code")).isin([m.lower() for m in months])
+        a = a.filter(wanted | F.col("_month_code").isNull())
+    spark = a.sparkSession
+    good, held = split_quarantine(a)
+    month_overwrite(good, path, rebalance=rebalance)
+    if quarantine_path:
+        held.write.mode("overwrite").parquet(quarantine_path)
+    counts = a.select("_month_code", quarantine_reason().isNotNull().cast("int").alias("held")).groupBy("_month_code").agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows_read"), F.sum("held").cast("bigint").alias("rows_quarantined"))
+    t = spark.read.parquet(path).groupBy("_month_code").agg(F.count(F.lit(1)).cast("bigint").alias("rows_loaded"))
+    e = F.col("rows_read") - F.col("rows_quarantined")
+    loaded = F.when(e > 0, F.coalesce("rows_loaded", F.lit(0).cast("bigint"))).otherwise(F.lit(0).cast("bigint"))
+    # months with nothing to load keep what the table has: that is not this load's count
+    return counts.join(t, "_month_code", "left").select(
+        "_month_code", e.alias("rows_expected"), loaded.alias("rows_loaded"), (e == loaded).alias("success"), "rows_quarantined")
 
 
 def exclude_revised(df: DataFrame, flag_col: str = "_is_revised") -> DataFrame:
@@ -102,10 +148,9 @@ def exclude_revised(df: DataFrame, flag_col: str = "_is_revised") -> DataFrame:
 
 def read_raw_csv(spark, path: str, columns: list[str] | None = None) -> DataFrame:
     """Raw monthly CSV with a header, every column read as a string against a
-    declared schema (no inference pass); staging casts the counts."""
+    declared schema (no inference pass); staging casts the counts.  Only an
+    empty cell is NULL, as in the archive reader."""
     from pyspark.sql import types as T
 
-    from ..config import raw_columns
-    cols = columns or raw_columns()
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-    return spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns or raw_columns()])
+    return spark.read.option("header", True).option("enforceSchema", False).option("nullValue", "").schema(schema).csv(path)

@@ -4,18 +4,22 @@
   size, projected ``horizon`` months ahead.  The fit is a grouped
   aggregation of exact integer sums (n, Sx, Sy, Sxy, Sxx), so it scales with
   partial aggregation and is reproducible to the last bit.
-* ``trust_clusters``: standardised trust features -> k-means -> PCA(2),
-  with the silhouette score.
+* ``compare_clusters`` / ``trust_clusters``: standardised trust features ->
+  k-means -> PCA(2), with the silhouette score of each k.
 * ``breach_model``: gradient-boosted trees on the breach features with
   class weights, time-based split, ROC-AUC and PR-AUC on the held-out month.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .features import ENTITY
+from .load import exclude_revised
 
 EPOCH = "2000-01-01"
 
@@ -65,47 +69,82 @@ FEATURES = ["pct_within_18_weeks", "total_incomplete", "long_waiter_ratio", "sur
 
 
 def trust_clusters(panel: DataFrame, k: int = 4, seed: int = 42) -> tuple[DataFrame, float]:
+    """(clusters per trust with two principal components, silhouette score)."""
+    out, scores = compare_clusters(panel, (k,), seed)
+    return out.drop("k"), scores.first()["silhouette"]
+
+
+def compare_clusters(panel: DataFrame, ks: tuple[int, ...] = (4, 5), seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """K-means of the standardised trust features for each ``k``: the clusters
+    and a row per ``k`` with its silhouette.  The features are written to the
+    shared scratch folder once; every fit reads that small table."""
     from pyspark.ml import Pipeline
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.evaluation import ClusteringEvaluator
     from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    feats = trust_features(panel)
-    pipe = Pipeline(stages=[
+    feats = written(trust_features(panel), "trust-features")
+    prep = Pipeline(stages=[
         VectorAssembler(inputCols=FEATURES, outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-        KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster"),
         PCA(k=2, inputCol="features", outputCol="pca"),
-    ])
-    model = pipe.fit(feats)
-    out = model.transform(feats)
-    sil = ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(out)
-    arr = vector_to_array("pca")
-    return out.select("provider_org_code", *FEATURES, F.col("cluster").cast("bigint").alias("cluster"),
-                      arr[0].alias("pca_1"), arr[1].alias("pca_2")), float(sil)
+    ]).fit(feats)
+    ready = prep.transform(feats)
+    arr, parts, scores = vector_to_array("pca"), [], []
+    for k in ks:
+        out = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(ready).transform(ready)
+        found = out.select("cluster").distinct().count()
+        score = ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(out) if found > 1 else None
+        scores.append((k, found, score))
+        parts.append(out.select(F.lit(k).cast("bigint").alias("k"), "provider_org_code", *FEATURES, F.col("cluster").cast("bigint").alias("cluster"),
+                                arr[0].alias("pca_1"), arr[1].alias("pca_2")))
+    return reduce(DataFrame.unionByName, parts), panel.sparkSession.createDataFrame(scores, "k bigint, clusters bigint, silhouette double")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` from a table in the shared scratch folder: what is fitted on it
+    reads that, not the plan behind it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 MODEL_FEATURES = ["rolling_3m_pct", "mom_list_change", "long_waiter_ratio", "pct_within_18_weeks", "total_incomplete"]
 
 
+def breach_training_rows(features: DataFrame) -> DataFrame:
+    """Labelled rows with split and class weight: the last labelled month is the
+    test set; the training rows that meet the standard weigh as much as those
+    that do not.  Revised months, where the panel marks them, are left out."""
+    if "_is_revised" in features.columns:
+        features = exclude_revised(features)
+    data = (features.filter(F.col("target_meets_next_month").isNotNull())
+            .withColumn("label", F.col("target_meets_next_month").cast("double"))
+            .select(*ENTITY, "period_date", "label", *[F.col(c).cast("double").alias(c) for c in MODEL_FEATURES]))
+    months = data.groupBy("period_date").agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("n"))
+    last = months.agg(F.max("period_date").alias("last"))
+    # one row each: the last month, and the class counts before it
+    counts = months.join(F.broadcast(last), F.col("period_date") < F.col("last")).agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    one = counts.withColumn("one", F.lit(1)).join(last.withColumn("one", F.lit(1)), "one").select(
+        "last", F.when(F.col("pos") > 0, (F.col("n") - F.col("pos")) / F.col("pos")).otherwise(1.0).alias("w_pos"))
+    both = data.join(F.broadcast(one), F.col("period_date") <= F.col("last"))
+    return both.select(*data.columns, (F.col("period_date") == F.col("last")).alias("is_test"),
+                       F.when(F.col("label") == 1.0, F.col("w_pos")).otherwise(F.lit(1.0)).alias("weight"))
+
+
 def breach_model(features: DataFrame, seed: int = 42) -> tuple[DataFrame, dict]:
-    """Train on all but the last labelled month, evaluate on the last."""
+    """Train on all but the last labelled month, evaluate on the last.  The
+    training rows are written once and read from there.  ROC-AUC and PR-AUC are
+    None where the test month holds one class."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from pyspark.ml.feature import Imputer, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    data = (features.filter(F.col("target_meets_next_month").isNotNull())
-            .withColumn("label", F.col("target_meets_next_month").cast("double"))
-            .select(*ENTITY, "period_date", "label", *[F.col(c).cast("double").alias(c) for c in MODEL_FEATURES]))
-    last = data.agg(F.max("period_date")).first()[0]   # one scalar
-    data = data.withColumn("is_test", F.col("period_date") == F.lit(last))
-    stats = data.filter(~F.col("is_test")).agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("n")).first()
-    pos, n = float(stats["pos"] or 0.0), float(stats["n"] or 0.0)
-    w_pos = (n - pos) / pos if pos > 0 else 1.0  # balance the minority (meeting) class
-    data = data.withColumn("weight", F.when(F.col("label") == 1.0, F.lit(w_pos)).otherwise(F.lit(1.0)))
+    data = written(breach_training_rows(features), "breach-rows")
+    train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
     imputed = [f"{c}_i" for c in MODEL_FEATURES]
     pipe = Pipeline(stages=[
         Imputer(inputCols=MODEL_FEATURES, outputCols=imputed, strategy="median"),
@@ -113,14 +152,11 @@ def breach_model(features: DataFrame, seed: int = 42) -> tuple[DataFrame, dict]:
         GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight", maxIter=20, maxDepth=4,
                       seed=seed),
     ])
-    train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
-    model = pipe.fit(train)
-    pred = model.transform(test)
-    metrics = {"n_train": int(n), "positive_weight": w_pos}
+    pred = pipe.fit(train).transform(test)
+    sizes = data.groupBy("is_test").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("label").alias("classes"), F.max("weight").alias("w")).collect()
+    of = {r["is_test"]: r for r in sizes}
+    metrics = {"n_train": of[False]["n"], "n_test": of[True]["n"]}
     for m in ("areaUnderROC", "areaUnderPR"):
-        try:
-            metrics[m] = float(BinaryClassificationEvaluator(labelCol="label", metricName=m).evaluate(pred))
-        except Exception:  # a single-class test month has no AUC
-            metrics[m] = float("nan")
+        metrics[m] = float(BinaryClassificationEvaluator(labelCol="label", metricName=m).evaluate(pred)) if of[True]["classes"] > 1 else None
     return pred.select(*ENTITY, "period_date", "label", vector_to_array("probability")[1].alias("p_meets"),
                        F.col("prediction")), metrics

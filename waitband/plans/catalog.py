@@ -22,11 +22,15 @@ from ..functions.calendar import month_code, parse_period
 from ..operators.fact import fact_performance
 from ..operators.pathways import incomplete_pathways
 from ..operators.staging import staging
+from ..functions.metrics import week_row_sum
+from ..operators import archive_load as AL
 from ..sources import archives as AR
 from ..sources import pages as PG
 from ..streaming import ingest as ING
+from ..sources.extract import SPECIALTY_CODES
 from ..sources.tables import table
 from ..operators.fact import KEY_COLUMNS
+from . import fixtures as FX
 from . import pipeline as P
 from . import published as Q
 
@@ -164,11 +168,27 @@ QUERIES.update({
 })
 
 
+#: Anchors as they turn up on release pages, one of them per page.
+RELEASE_ANCHORS = (
+    '<a href="https://files.example.org/rtt/Full-CSV-Aug25.zip">Full CSV data file Aug25 (ZIP, 3M)</a>',
+    "<A CLASS='x' HREF='/data/Full-CSV-Sep25-revised.zip'><b>FULL CSV</b> DATA FILE Sep25</A >",
+    "<a class=x href=//cdn.example.com/get?id=7&amp;v=2>Full CSV data file Oct25</a>",
+    '<a\nhref = "../files/./Full-CSV-Nov25.zip#top">Full CSV data file Nov25 &amp; notes</a>',
+    '<a href="mailto:rtt@example.org">Full CSV data file help</a>',
+)
+
+
+def _release_pages(spark, d):
+    """The pages with one more anchor each, its kind by page number."""
+    kinds = F.array(*[F.lit(a) for a in RELEASE_ANCHORS])
+    extra = F.get(kinds, F.pmod("page_id", F.lit(len(RELEASE_ANCHORS))).cast("int"))
+    return table(spark, d, "pages").withColumn("html", F.concat(F.coalesce("html", F.lit("")), extra))
+
+
 QUERIES.update({
-    "release_links": lambda spark, d: PG.release_links(table(spark, d, "pages")),
+    "release_links": lambda spark, d: PG.release_links(_release_pages(spark, d)).drop("anchor_pos"),
     "publication_status": lambda spark, d: CAL.publication_status(
-        CAL.spine_last_n(table(spark, d, "orders").agg(F.max("o_orderdate").alias("as_of")), 6),
-        PG.release_links(table(spark, d, "pages"))),
+        CAL.spine_last_n(spark.range(1).select(F.lit(P.AS_OF.date()).alias("as_of")), 6), PG.release_links(_release_pages(spark, d))),
 })
 
 
@@ -184,22 +204,58 @@ def _national_from_raw_strings(spark, raw_strings):
 
 def _make_archives(spark, d):
     base = scratch_path(spark, "archives")
-    made = AR.write_zip_archives(_raw_with_month(spark, d), f"{base}/rtt", "_month_code", f"{base}/csv")
-    made.write.format("noop").mode("overwrite").save()
+    FX.write_zip_archives(_raw_with_month(spark, d), f"{base}/rtt", "_month_code", f"{base}/csv")
     return f"{base}/rtt"
 
 
+def _mixed_archives(spark, d):
+    """Every month's original, a revised January without one commissioner, and
+    three files that can not be loaded."""
+    folder = _make_archives(spark, d)
+    raw = _raw_with_month(spark, d).filter((F.col("_month_code") == "Jan26") & (F.col("Commissioner Org Code") != "C40"))
+    FX.write_zip_archives(raw, folder, "_month_code", scratch_path(spark, "archives-csv"), name="{month}_revised.zip")
+    FX.add_bad_archives(folder, ("Dec25", "Nov25", "Oct25"))
+    return folder
+
+
 def _zip_scan(spark, d):
     return _national_from_raw_strings(spark, AR.zip_csv_scan(spark, _make_archives(spark, d), raw_columns()))
 
 
 def _file_manifest(spark, d):
-    m = AR.file_manifest(spark, _make_archives(spark, d), layout_regex=r"/rtt/([A-Za-z]{3}[0-9]{2})/()")
-    m = AR.revised_flags(AR.file_plausibility(m.withColumn("month_code", F.col("financial_year"))))
-    return AR.pick_month_file(m).drop("modificationTime")
+    m = AR.file_plausibility(AR.file_manifest(spark, _mixed_archives(spark, d)), min_bytes=1_000)
+    return AR.revised_flags(m).select(
+        "filename", "month_code", "financial_year", "raw_path", "is_zip", F.size("csv_files_inside_zip").cast("bigint").alias("csv_files"),
+        "error_message", "success", "is_revised")
 
 
-def _ingest(spark, d, revise: bool):
+def _pick_month_file(spark, d):
+    return AL.chosen_files(spark, _mixed_archives(spark, d), min_bytes=1_000).filter("chosen").select("month_code", "filename", "is_revised")
+
+
+def _archive_audit(spark, d):
+    return AL.load_archives(spark, _mixed_archives(spark, d), scratch_path(spark, "archive-table"), P.loaded_at_literal(), min_bytes=1_000)
+
+
+def _archive_load_audit(spark, d):
+    return _archive_audit(spark, d).select(
+        "month_code", "financial_year", "filename", "is_revised", "chosen", "rows_loaded", "rows_expected", "rows_quarantined", "success", "error_message")
+
+
+def _archive_load_summary(spark, d):
+    """Revised files and failures over the chosen files."""
+    return LD.load_summary(_archive_audit(spark, d).filter("chosen"), "month_code")
+
+
+def _load_quarantine(spark, d):
+    """The dirty extract, landed as if the files of providers ending in 0 all
+    said January: rows of other months and without a month are held back."""
+    raw = P.dirty(spark, d)
+    named = F.when(F.col("Provider Org Code").endswith("0"), F.lit("Jan26"))
+    return LD.load_months(raw, scratch_path(spark, "quarantine-load"), P.loaded_at_literal(), source_file="fixture", month=named)
+
+
+def _ingest_target(spark, d, revise: bool):
     base = scratch_path(spark, "ingest")
     landing, target, ckpt = f"{base}/landing", f"{base}/table", f"{base}/checkpoint"
     raw = _raw_with_month(spark, d)
@@ -210,17 +266,74 @@ def _ingest(spark, d, revise: bool):
         rev = raw.filter((F.col("_month_code") == "Jan26") & (F.col("Commissioner Org Code") != "C40"))
         ING.land_csv(rev, landing, 2)
         ING.ingest_available(spark, landing, target, ckpt, P.loaded_at_literal(), max_files_per_trigger=4)
-    return _national_from_raw_strings(spark, spark.read.parquet(target))
+    return spark.read.parquet(target)
+
+
+def _ingest(spark, d, revise: bool):
+    return _national_from_raw_strings(spark, _ingest_target(spark, d, revise))
+
+
+def _revision_flags(spark, d):
+    version = F.regexp_extract("_source_file", r"_landing_version=([0-9]+)/", 1)
+    return _ingest_target(spark, d, True).groupBy("_month_code", "_financial_year", "_is_revised", version.alias("landing_version")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows"))
+
+
+def _run_pipeline_months(spark, d):
+    """A run over all months of which one (November) has rows without a provider
+    code: it is blocked, the others load.  One row per month."""
+    raw = P.raw(spark, d)
+    lost = (F.col("Period") == "RTT-November-2025") & (F.col("RTT Part Type") == "Part_2")
+    raw = raw.withColumn("Provider Org Code", F.when(~lost, F.col("Provider Org Code")))
+    done = P.run_pipeline(raw, scratch_path(spark, "run"), source_file="fixture")
+    blocked = spark.createDataFrame([(m, "blocked") for m in done["months_blocked"]], "_month_code string, status string")
+    facts = spark.read.parquet(done["fact"]).groupBy(month_code(F.col("period_date")).alias("_month_code")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("fact_rows"))
+    audit = spark.read.parquet(done["load_audit"]).join(facts, "_month_code", "left").withColumn("status", F.lit("loaded"))
+    return audit.unionByName(blocked, allowMissingColumns=True)
+
+
+def _staging_rows(spark, d):
+    return staging(P.dirty(spark, d), loaded_at=P.loaded_at_literal())
 
 
 QUERIES.update({
     "zip_csv_scan": _zip_scan,
     "file_manifest": _file_manifest,
+    "pick_month_file": _pick_month_file,
+    "archive_load_audit": _archive_load_audit,
+    "archive_load_summary": _archive_load_summary,
     "incremental_ingest": lambda spark, d: _ingest(spark, d, False),
     "late_revision_replace": lambda spark, d: _ingest(spark, d, True),
+    "late_revision_flags": _revision_flags,
+    "load_quarantine": _load_quarantine,
+    "run_pipeline_months": _run_pipeline_months,
+    "staging_rows": _staging_rows,
+    "fact_performance_dirty": lambda spark, d: fact_performance(incomplete_pathways(_staging_rows(spark, d))),
+    "dq_suite_text_raw": lambda spark, d: DQ.run_suite(P.dirty(spark, d), DQ.raw_extract_rules()),
+    "dq_failing_values": lambda spark, d: DQ.failing_values(P.dirty(spark, d), DQ.raw_extract_rules() + [
+        DQ.ValuesInSet("known_specialties", column="Treatment Function Code", values=SPECIALTY_CODES),
+        DQ.RequiredValues("apostrophes_present", column="Treatment Function Code", values=("King's", "Queen's"))]),
+    "backfill_success": lambda spark, d: CAL.backfill_success(_backfill_results(spark, d)),
 })
 
 
+def _backfill_results(spark, d):
+    """The plan with download results: months on the shelf by order month, of
+    which those with fewer orders than average failed."""
+    sizes = table(spark, d, "orders").groupBy(F.trunc(F.to_date("o_orderdate"), "month").alias("period_date")).agg(
+        F.count(F.lit(1)).alias("file_size_bytes"))
+    mean = sizes.agg(F.avg("file_size_bytes").alias("mean"))
+    rows = sizes.join(F.broadcast(mean), F.col("file_size_bytes") >= 0)
+    short = F.col("file_size_bytes") < F.col("mean")
+    return CAL.backfill_summary(rows.select(
+        "period_date", month_code(F.col("period_date")).alias("month_code"), F.when(short, "failed").otherwise("success").alias("status"),
+        "file_size_bytes", (F.month("period_date") % 2 == 0).alias("is_revised"), F.when(short, "too small").alias("error_message")))
+
+
+QUERIES["backfill_results"] = lambda spark, d: _backfill_results(spark, d).withColumn("failures", F.array_join(F.sort_array("failures"), "; "))
+
+
 def _clusters(spark, d):
     out, _ = MD.trust_clusters(_panel(spark, d))
     return out
@@ -231,10 +344,22 @@ def _breach_model(spark, d):
     return pred
 
 
+def _breach_metrics(spark, d):
+    """The model's metrics as rows."""
+    _, metrics = MD.breach_model(FE.breach_features(_panel(spark, d)))
+    return spark.createDataFrame([(k, None if v is None else float(v)) for k, v in metrics.items()], "metric string, value double")
+
+
 QUERIES.update({
     "trend_forecast": lambda spark, d: MD.trend_forecast(_panel(spark, d)),
     "trust_clusters": _clusters,
+    "trust_features": lambda spark, d: MD.trust_features(_panel(spark, d)),
+    "cluster_scores": lambda spark, d: MD.compare_clusters(_panel(spark, d))[1],
     "breach_model": _breach_model,
+    "breach_training_rows": lambda spark, d: MD.breach_training_rows(FE.breach_features(_panel(spark, d))),
+    "breach_metrics": _breach_metrics,
+    "feature_order": lambda spark, d: FE.feature_order(FE.breach_features(_panel(spark, d))),
+    "trust_specialty_series": lambda spark, d: FE.entity_series(_panel(spark, d), "P00001", "C_110"),
 })
 
 
@@ -245,6 +370,14 @@ def _scorecard_from_table(spark, d):
     return Q.trust_scorecard(spark.read.parquet(paths["fact"]))
 
 
+def _scorecard_export(spark, d):
+    """The scorecard written as CSV and read back."""
+    path = scratch_path(spark, "scorecard-csv")
+    report = Q.trust_scorecard(P.fact(spark, d))
+    Q.export_csv(report, path)
+    return spark.read.option("header", True).schema(report.schema).csv(path)
+
+
 QUERIES.update({
     "fact_profile": lambda spark, d: DQ.profile(P.fact(spark, d)),
     "unexpected_part_types": lambda spark, d: DQ.unexpected_values(
@@ -252,6 +385,9 @@ QUERIES.update({
     "missing_core_specialties": lambda spark, d: DQ.missing_values(
         P.fact(spark, d), "treatment_function_code", list(CORE_SPECIALTIES), by=["period_date"]),
     "scorecard_from_table": _scorecard_from_table,
+    "scorecard_export": _scorecard_export,
+    "week_row_sums": lambda spark, d: P.raw(spark, d).select("Period", week_row_sum(raw_columns()).alias("n")).groupBy("Period").agg(
+        F.sum("n").cast("bigint").alias("patients"), F.max("n").cast("bigint").alias("largest_row")),
 })
 
 

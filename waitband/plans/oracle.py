@@ -21,14 +21,18 @@ def _bsum(lo: int, hi: int | None = None) -> str:
     return " + ".join(BANDS.names_between(lo, hi))
 
 
-def base_ctes() -> str:
+def _count(name: str) -> str:
+    """A raw count, typed or text, as bigint (no number: NULL)."""
+    return f"try_cast(try_cast(trim(cast({_q(name)} as varchar)) as double) as bigint)"
+
+
+def base_ctes(raw_sql: str | None = None) -> str:
     """raw -> stg -> int_ip -> seed -> fact, as DuckDB CTEs (no leading WITH)."""
     b = BANDS
-    bands_sel = ",\n  ".join(f"coalesce(cast({_q(b.raw_name(i))} as bigint), 0) as {b.name(i)}"
-                             for i in range(b.count))
+    bands_sel = ",\n  ".join(f"coalesce({_count(b.raw_name(i))}, 0) as {b.name(i)}" for i in range(b.count))
     pd = "try_strptime(replace(regexp_replace(\"Period\", '^RTT-', ''), '-', ' '), '%B %Y')::date"
     tok = SURROGATE_NULL_TOKEN
-    return f"""raw as ({raw_extract_sql('duckdb')}),
+    return f"""raw as ({raw_sql or raw_extract_sql('duckdb')}),
 stg as (
  select timestamp '2026-02-15 06:00:00' as _loaded_at,
   '{SOURCE_LABEL}' as _source,
@@ -41,15 +45,13 @@ stg as (
   coalesce("Commissioner Org Name", 'Unknown Commissioner') as commissioner_org_name,
   "RTT Part Type" as rtt_part_type, "RTT Part Description" as rtt_part_description,
   "Treatment Function Code" as treatment_function_code, "Treatment Function Name" as treatment_function_name,
-  cast("Total All" as bigint) as total_all, coalesce("Total", 0) as total_pathways,
-  coalesce("Patients with unknown clock start date", 0) as patients_unknown_clock_start,
+  {_count("Total All")} as total_all, coalesce({_count("Total")}, 0) as total_pathways,
+  coalesce({_count("Patients with unknown clock start date")}, 0) as patients_unknown_clock_start,
   {bands_sel}
  from raw),
 stg2 as (
- select *, case when month(period_date) >= 4
-   then cast(year(period_date) as varchar) || '-' || right(cast(year(period_date) + 1 as varchar), 2)
-   else cast(year(period_date) - 1 as varchar) || '-' || right(cast(year(period_date) as varchar), 2) end
-   as financial_year
+ select *, cast(year(period_date - interval 3 month) as varchar) || '-'
+   || lpad(cast((year(period_date - interval 3 month) + 1) % 100 as varchar), 2, '0') as financial_year
  from stg),
 int_ip as (
  select period_date, financial_year, provider_parent_org_code, provider_parent_name, provider_org_code,
@@ -95,9 +97,9 @@ fact as (
  from int_ip ip left join seed tf on ip.treatment_function_code = tf.treatment_function_code)"""
 
 
-def with_base(select_sql: str, extra_ctes: str = "") -> str:
+def with_base(select_sql: str, extra_ctes: str = "", raw_sql: str | None = None) -> str:
     extra = (",\n" + extra_ctes) if extra_ctes else ""
-    return f"with {base_ctes()}{extra}\n{select_sql}"
+    return f"with {base_ctes(raw_sql)}{extra}\n{select_sql}"
 
 
 def _ratio(num: str, den: str) -> str:
@@ -239,7 +241,8 @@ ORACLES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: f() for k, f in ORACLES.items()}
+    from .oracle_loads import ORACLES as loads
+    return {k: f() for k, f in (ORACLES | loads).items()}
 
 
 # ---------------------------------------------------------------------------
@@ -260,14 +263,15 @@ def _dq_union(checks, source: str, group: str | None = None) -> str:
     return "\nunion all\n".join(parts)
 
 
-def _raw_suite_sql(group: str | None) -> str:
+def _raw_suite_sql(group: str | None, raw_sql: str | None = None) -> str:
     b = BANDS
     parts = "'Part_1A', 'Part_1B', 'Part_2', 'Part_2A', 'Part_3'"
     numeric = [b.raw_name(i) for i in range(b.count)] + ["Total", "Patients with unknown clock start date",
                                                          "Total All"]
-    anyneg = " or ".join(f'{_q(c)} < 0' for c in numeric)
-    bsum = " + ".join(f"coalesce(try_cast({_q(c)} as double), 0)" for c in b.raw_names())
-    tot = 'coalesce(try_cast("Total All" as double), 0)'
+    anyneg = " or ".join(f'{_count(c)} < 0' for c in numeric)
+    cells = " + ".join(f"coalesce((trim(cast({_q(c)} as varchar)) <> '' and {_count(c)} is null)::int, 0)" for c in numeric)
+    bsum = " + ".join(f"coalesce(cast({_count(c)} as double), 0)" for c in b.raw_names())
+    tot = f'coalesce(cast({_count("Total All")} as double), 0)'
     core = ["C_110", "C_130", "C_100", "C_120", "C_999"]
     has_core = ",\n  ".join(f"max(case when \"Treatment Function Code\" = '{c}' then 1 else 0 end) as core_{i}"
                             for i, c in enumerate(core))
@@ -291,6 +295,7 @@ def _raw_suite_sql(group: str | None) -> str:
   count(distinct "Provider Parent Org Code") as parent_d,
   {has_core},
   sum(case when {anyneg} then 1 else 0 end) as neg_rows,
+  sum({cells}) as cells, sum(case when ({cells}) > 0 then 1 else 0 end) as cells_rows,
   sum(case when "RTT Part Type" = 'Part_2' and abs(({bsum}) - {tot}) / (case when {tot} = 0 then 1 else {tot} end) * 100 > 5.0 then 1 else 0 end) as band_bad,
   sum(case when "Provider Org Code" is not null and not regexp_matches("Provider Org Code", '^[A-Z0-9]{{3,6}}$') then 1 else 0 end) as code_bad
  from raw{grp})"""
@@ -298,26 +303,27 @@ def _raw_suite_sql(group: str | None) -> str:
     part_present = " + ".join(f"part_{i}" for i in range(5))
     core_present = " + ".join(f"core_{i}" for i in range(5))
     checks = [
-        ("row_count_in_expected_range", "error", "n between 50000 and 300000", "0", "n"),
+        ("row_count_in_expected_range", "warning", "n between 50000 and 300000", "0", "n"),
         ("column_count_equals_121", "error", "true", "0", "121"),
         ("period_not_null", "error", "period_nulls = 0", "period_nulls", "period_nulls"),
         ("period_matches_format", "error", "period_bad = 0", "period_bad", "period_bad"),
         ("part_types_equal_set", "error", f"({part_present}) = 5 and part_extra = 0", "part_extra", f"({part_present})"),
         ("rtt_part_types_are_known_values", "error", "part_unknown = 0", "part_unknown", "part_unknown"),
         ("provider_org_code_not_null", "error", "prov_nulls = 0", "prov_nulls", "prov_nulls"),
-        ("provider_org_code_unique_ratio", "error", f"coalesce({ratio} between 0.001 and 0.01, false)", "0", ratio),
+        ("provider_org_code_unique_ratio", "warning", f"coalesce({ratio} between 0.001 and 0.01, false)", "0", ratio),
         ("total_all_never_null", "error", "total_nulls = 0", "total_nulls", "total_nulls"),
-        ("total_all_between", "error", "total_out = 0", "total_out", "total_out"),
+        ("total_all_between", "warning", "total_out = 0", "total_out", "total_out"),
         ("treatment_function_code_not_null", "error", "tf_nulls = 0", "tf_nulls", "tf_nulls"),
-        ("single_period_per_file", "error", "period_d + period_z = 1", "0", "period_d + period_z"),
+        ("single_period_per_file", "error", "least(period_d, 2) + period_z = 1", "0", "least(period_d, 2) + period_z"),
         ("icb_count_equals_42", "warning", "parent_d = 42", "0", "parent_d"),
         ("core_specialties_present", "warning", f"5 - ({core_present}) = 0", "0", f"5 - ({core_present})"),
         ("no_negative_patient_counts", "error", "neg_rows = 0", "neg_rows", "neg_rows"),
+        ("suppressed_cells", "warning", "cells_rows = 0", "cells_rows", "cells"),
         ("week_band_sum_consistency", "warning", "band_bad = 0", "band_bad", "band_bad"),
         ("provider_code_format_valid", "warning", "code_bad = 0", "code_bad", "code_bad"),
     ]
     out_group = '"period" as "Period"' if group else None
-    return with_base(_dq_union(checks, "dq", out_group), agg)
+    return with_base(_dq_union(checks, "dq", out_group), agg, raw_sql)
 
 
 def q_dq_raw_suite() -> str:
@@ -597,11 +603,14 @@ def q_perf_anomalies() -> str:
  patients_within_18_weeks, patients_waiting_52_plus_weeks, is_surgical, pct_within_18_weeks, meets_18_week_standard,
  round(mean / 10.0, 4) as history_mean_pct, round(z, 4) as z_score, coalesce(abs(round(z, 4)) > 2.0, false) as is_anomaly
 from (select *, (cast(t as double) - mean) / case when var > 0 then sqrt(var) end as z
- from (select *, s / n as mean, (s2 - s * s / n) / nullif(n - 1.0, 0) as var
-  from (select *, cast(count(t) over e as double) as n, cast(sum(t) over e as double) as s,
-          cast(sum(t * t) over e as double) as s2
-        from (select *, cast(round(pct_within_18_weeks * 10) as bigint) as t from panel)
-        window e as (partition by provider_org_code, treatment_function_code))))""", _panel_cte())
+ from (select *, s / nullif(n, 0) as mean, case when n >= 3 then (s2 - s * s / n) / (n - 1.0) end as var
+  from (select p.provider_org_code, p.treatment_function_code, p.period_date, any_value(p.t) as t,
+          cast(count(o.t) as double) as n, cast(coalesce(sum(o.t), 0) as double) as s, cast(coalesce(sum(o.t * o.t), 0) as double) as s2
+        from pt p left join pt o on p.provider_org_code = o.provider_org_code
+         and p.treatment_function_code = o.treatment_function_code and p.period_date <> o.period_date
+        group by 1, 2, 3) q
+  join panel using (provider_org_code, treatment_function_code, period_date)))""",
+                     _panel_cte() + ",\npt as (select *, cast(round(pct_within_18_weeks * 10) as bigint) as t from panel)")
 
 
 def _gaps_ctes() -> str:
@@ -675,52 +684,6 @@ ORACLES.update({
 })
 
 
-# ---------------------------------------------------------------------------
-# Release pages
-# ---------------------------------------------------------------------------
-
-def _links_cte() -> str:
-    are = r'(?s)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
-    return f"""anch as (select page_id, url, cast(generate_subscripts(h, 1) - 1 as bigint) as anchor_pos,
-  unnest(h) as href, trim(regexp_replace(unnest(t), '<[^>]*>', '', 'g')) as anchor_text
- from (select page_id, url, regexp_extract_all(html, '{are}', 1) as h,
-              regexp_extract_all(html, '{are}', 2) as t from pages)),
-res as (select *, case
-   when regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://') then href
-   when starts_with(href, '//') then regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) || ':' || href
-   when starts_with(href, '/') then regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1) || href
-   else regexp_replace(regexp_replace(url, '[?#].*$', ''), '[^/]*$', '') || href end as link
- from anch),
-seg as (select *, string_split(regexp_replace(link, '[?#].*$', ''), '/')[-1] as s from res),
-links as (select page_id, anchor_pos, anchor_text, link,
-  case when s = '' then 'release.zip' else s end as filename,
-  (contains(lower(anchor_text), 'revised') or contains(lower(case when s = '' then 'release.zip' else s end), 'revised'))
-    as is_revised,
-  regexp_extract(anchor_text, '\\b((Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[0-9]{{2}})\\b', 1) as month_code
- from seg)"""
-
-
-def q_release_links() -> str:
-    return f"with {_links_cte()}\nselect * from links"
-
-
-def q_publication_status() -> str:
-    return f"""with {_links_cte()},
-spine as (select {_month_cols('cast(m as date)')}
- from (select date_trunc('month', max(o_orderdate)) as a from orders) b,
- generate_series(b.a - interval 6 month, b.a - interval 1 month, interval 1 month) g(m)),
-found as (select month_code, cast(count(*) as bigint) as links, cast(max(cast(is_revised as int)) as boolean) as rv
- from links group by month_code)
-select s.*, coalesce(f.links, 0) as links, coalesce(f.links, 0) > 0 as published, coalesce(f.rv, false) as has_revision
-from spine s left join found f on s.month_code = f.month_code"""
-
-
-ORACLES.update({
-    "release_links": q_release_links,
-    "publication_status": q_publication_status,
-})
-
-
 # ---------------------------------------------------------------------------
 # Archives and incremental ingestion: the national series must come out the
 # same after the CSV/ZIP round trip and the streaming ingest.

@@ -7,6 +7,7 @@ caller's DataFrames.  ``local_session`` is for tests, the bench and examples.
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,20 +45,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def apply_recommended_conf(spark: SparkSession) -> None:
-    """Set the runtime SQL confs above on an existing session."""
-    for k, v in RECOMMENDED_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static or locked conf on a managed cluster
-            pass
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) do we fall back to a folder under the system temp dir.
+    ``spark.checkpoint.dir`` is read from the session.  Only a local session
+    may go without: it gets a folder under the system temp dir.  On a cluster
+    such a folder would be another one on each machine, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -65,11 +58,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = os.path.join("/tmp", "waitband-checkpoints")
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        conf_dir = os.path.join(tempfile.gettempdir(), "waitband-checkpoints")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+#: Scratch folders of this process, in the order they were handed out.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path inside the shared checkpoint folder.
 
@@ -77,5 +76,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     derived from ``spark.checkpoint.dir`` so every executor sees it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    base = base.rstrip("/")
-    return f"{base}/waitband/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/waitband/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders this process was given; for the end of a job,
+    when no result that reads them is needed any more.  Returns how many."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n

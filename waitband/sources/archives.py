@@ -1,10 +1,11 @@
 """ZIP/CSV archives and file manifests.
 
-Reading: ``binaryFile`` lists and loads each archive (any Hadoop file
-system), then ``mapInArrow`` unzips it inside the task that loaded it and
-streams the first CSV member through pyarrow's CSV reader as Arrow batches
-of strings.  One archive = one task (ZIP is not splittable), so land the
-result to Parquet and repartition before heavy work.
+Reading: ``binaryFile`` lists and loads archives (any Hadoop file system), then
+``mapInArrow`` unzips each inside the task that loaded it and streams the first
+CSV member through pyarrow's CSV reader as Arrow batches of strings.  ZIP is not
+splittable; a task holds the archives that Spark packs into one partition, at
+most ``spark.sql.files.maxPartitionBytes`` or a single larger archive.  An
+archive that can not be read gives one row with the error, so it fails alone.
 
 Manifests: size, modification time, MD5 of the bytes, ZIP magic, CSV member
 names and the year/month encoded in the path - computed next to the bytes
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import FILE_MAX_BYTES, FILE_MIN_BYTES
+from ..functions.calendar import month_of_path, raw_path, year_of_month
 
 ZIP_MAGIC = bytes([0x50, 0x4B, 0x03, 0x04])
 
@@ -29,41 +31,51 @@ def _unzip_fn(columns: list[str], block_size: int):
     def fn(batches):
         import io
         import zipfile
+        import zlib
 
         import pyarrow as pa
         import pyarrow.csv as pcsv
-        out_schema = pa.schema([pa.field(c, pa.string()) for c in columns] +
-                               [pa.field("_source_file", pa.string()), pa.field("_csv_member", pa.string())])
+        extra = ["_source_file", "_csv_member", "_scan_error"]
+        out_schema = pa.schema([pa.field(c, pa.string()) for c in [*columns, *extra]])
+        # only an empty cell is NULL: "NA" or "null" is text
+        convert = pcsv.ConvertOptions(column_types={c: pa.string() for c in columns}, strings_can_be_null=True, null_values=[""])
+        broken = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, pa.ArrowInvalid)
+
+        def failed(path, member, why):
+            row = [None] * len(columns) + [path, member, why]
+            return pa.RecordBatch.from_arrays([pa.array([v], pa.string()) for v in row], schema=out_schema)
+
         for b in batches:
-            for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    members = sorted(n for n in z.namelist() if n.lower().endswith(".csv"))
-                if not members:
-                    raise ValueError(f"no CSV member in archive {path}")
-                member = members[0]  # deterministic choice; extra members are reported by the manifest
-                with zipfile.ZipFile(io.BytesIO(content)) as z, z.open(member) as f:
-                    reader = pcsv.open_csv(
-                        f, read_options=pcsv.ReadOptions(block_size=block_size),
-                        convert_options=pcsv.ConvertOptions(column_types={c: pa.string() for c in columns},
-                                                            strings_can_be_null=True))
-                    for rb in reader:
-                        n = rb.num_rows
-                        names = rb.schema.names
-                        arrays = [rb.column(names.index(c)).cast(pa.string()) if c in names
-                                  else pa.nulls(n, pa.string()) for c in columns]
-                        arrays += [pa.array([path] * n, pa.string()), pa.array([member] * n, pa.string())]
-                        yield pa.RecordBatch.from_arrays(arrays, schema=out_schema)
+            for path, content in zip(b.column("path"), b.column("content")):
+                path, member = path.as_py(), None
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content.as_py())) as z:
+                        members = sorted(n for n in z.namelist() if n.lower().endswith(".csv"))
+                        if not members:
+                            yield failed(path, None, "No CSV file inside archive")
+                            continue
+                        member = members[0]  # deterministic choice; the load audit names the others
+                        with z.open(member) as f:
+                            for rb in pcsv.open_csv(f, read_options=pcsv.ReadOptions(block_size=block_size), convert_options=convert):
+                                n, names = rb.num_rows, rb.schema.names
+                                arrays = [rb.column(names.index(c)).cast(pa.string()) if c in names
+                                          else pa.nulls(n, pa.string()) for c in columns]
+                                arrays += [pa.array([v] * n, pa.string()) for v in (path, member, None)]
+                                yield pa.RecordBatch.from_arrays(arrays, schema=out_schema)
+                except broken as e:
+                    yield failed(path, member, f"{type(e).__name__}: {e}")
     return fn
 
 
-def zip_csv_scan(spark: SparkSession, path: str, columns: list[str], glob: str = "*.zip",
+def zip_csv_scan(spark: SparkSession, path: str | list[str], columns: list[str], glob: str = "*.zip",
                  block_size: int = 1 << 22) -> DataFrame:
     """All declared ``columns`` as strings (missing ones NULL) plus
-    ``_source_file`` and ``_csv_member``; one task per archive."""
+    ``_source_file``, ``_csv_member`` and ``_scan_error``, of every archive below
+    ``path`` or of the given files.  An archive that can not be read (to its
+    end) gives a row that holds just its name and the error."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").load(path).select("path", "content"))
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns] +
-                          [T.StructField("_source_file", T.StringType()), T.StructField("_csv_member", T.StringType())])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "_source_file", "_csv_member", "_scan_error"]])
     return files.mapInArrow(_unzip_fn(list(columns), block_size), schema)
 
 
@@ -85,22 +97,29 @@ def _csv_members_udf():
 
 
 def file_manifest(spark: SparkSession, path: str, glob: str = "*.zip",
-                  layout_regex: str = r"/([0-9]{4}-[0-9]{2})/([A-Za-z]{3}[0-9]{2})/") -> DataFrame:
+                  year_regex: str = r"/([0-9]{4}-[0-9]{2})/", source_url: str | None = None, taken_at=None) -> DataFrame:
     """One row per file: name, size, modification time, MD5, ZIP magic, CSV
-    members and the financial year / month code found in the path."""
+    members, the month that its path names, the financial year (of the path or
+    else of the month), where it belongs in the raw layout, and, if given, the
+    URL prefix it came from and when it was taken."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").load(path))
-    return files.select(
+    name = F.element_at(F.split("path", "/"), -1)
+    month = month_of_path(F.col("path"))
+    rows = files.select(
         "path",
-        F.element_at(F.split("path", "/"), -1).alias("filename"),
+        name.alias("filename"),
         F.col("length").alias("file_size_bytes"),
         "modificationTime",
         F.md5("content").alias("md5_checksum"),
         (F.substring("content", 1, 4) == F.lit(ZIP_MAGIC)).alias("is_zip"),
         _csv_members_udf()("content").alias("csv_files_inside_zip"),
-        F.nullif(F.regexp_extract("path", layout_regex, 1), F.lit("")).alias("financial_year"),
-        F.nullif(F.regexp_extract("path", layout_regex, 2), F.lit("")).alias("month_code"),
+        F.coalesce(F.nullif(F.regexp_extract("path", year_regex, 1), F.lit("")), year_of_month(month)).alias("financial_year"),
+        month.alias("month_code"),
     )
+    url = F.lit(None).cast("string") if source_url is None else F.concat(F.lit(source_url), "filename")
+    return rows.select("*", raw_path("financial_year", "month_code", "filename").alias("raw_path"),
+                       url.alias("source_url"), F.lit(taken_at).cast("timestamp").alias("taken_at"))
 
 
 def file_plausibility(manifest: DataFrame, min_bytes: int = FILE_MIN_BYTES,
@@ -125,57 +144,22 @@ def file_plausibility(manifest: DataFrame, min_bytes: int = FILE_MIN_BYTES,
 
 
 def revised_flags(manifest: DataFrame, month_col: str = "month_code") -> DataFrame:
-    """A file is a revision when its name says so, or when an earlier file
+    """A file is a revision when its name says so, or when an earlier sound file
     of the same month had a different checksum.  The window holds the files
     of one month (a handful)."""
+    sound = F.col("success") if "success" in manifest.columns else F.lit(True)
     w = Window.partitionBy(month_col).orderBy("modificationTime", "path")
-    prev = F.lag("md5_checksum").over(w)
+    prev = F.last(F.when(sound, F.col("md5_checksum")), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     by_name = F.lower("filename").contains("revised")
     return manifest.select("*", (by_name | F.coalesce(prev != F.col("md5_checksum"), F.lit(False))).alias("is_revised"))
 
 
 def pick_month_file(manifest: DataFrame, month_col: str = "month_code") -> DataFrame:
-    """One file per month: revisions first, then the newest, then by path."""
+    """One file per month: revisions first, then the newest, then by path.
+    Files that failed their checks, or whose path names no month, are no choice."""
+    if "success" in manifest.columns:
+        manifest = manifest.filter("success")
+    manifest = manifest.filter(F.col(month_col).isNotNull())
     w = Window.partitionBy(month_col).orderBy(F.col("is_revised").desc(), F.col("modificationTime").desc(),
                                               F.col("path"))
     return manifest.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-
-
-def _zip_fn(out_dir: str, member_name: str):
-    def fn(batches):
-        import os
-        import zipfile
-
-        import pyarrow as pa
-        os.makedirs(out_dir, exist_ok=True)
-        for b in batches:
-            paths, months = [], []
-            for path, content, month in zip(b.column("path").to_pylist(), b.column("content").to_pylist(),
-                                            b.column("month").to_pylist()):
-                stem = os.path.basename(path).split(".")[0]
-                target_dir = os.path.join(out_dir, month)
-                os.makedirs(target_dir, exist_ok=True)
-                target = os.path.join(target_dir, f"{month}_{stem}.zip")
-                with zipfile.ZipFile(target, "w", compression=zipfile.ZIP_DEFLATED) as z:
-                    z.writestr(member_name.format(month=month), content)
-                paths.append(target)
-                months.append(month)
-            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(months, pa.string())],
-                                             names=["archive", "month"])
-    return fn
-
-
-def write_zip_archives(df: DataFrame, out_dir: str, month_col: str, staging_dir: str) -> DataFrame:
-    """Write ``df`` as CSV (header) per month, then wrap each CSV part in a
-    ZIP archive under ``out_dir/<month>/``, inside the tasks.  Returns the
-    archive list.  ``out_dir`` must be a mounted (POSIX) shared folder."""
-    if "://" in out_dir and not out_dir.startswith("file:"):
-        raise ValueError(f"write_zip_archives writes with Python file I/O inside tasks and needs a mounted "
-                         f"shared folder, not {out_dir.split('://')[0]}:// storage")
-    (df.withColumn("__m", F.col(f"`{month_col}`")).write.mode("overwrite").option("header", True)
-     .partitionBy("__m").csv(staging_dir))
-    parts = (df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-             .option("recursiveFileLookup", "true").load(staging_dir)
-             .select("path", "content", F.regexp_extract("path", r"__m=([^/]+)/", 1).alias("month")))
-    local = out_dir[len("file:"):] if out_dir.startswith("file:") else out_dir
-    return parts.mapInArrow(_zip_fn(local, "{month}.csv"), "archive string, month string")

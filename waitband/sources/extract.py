@@ -19,8 +19,8 @@ Some providers are renamed or move board in the last months (for SCD2).
 ``raw_extract`` is the distributed Spark build; ``raw_extract_sql`` renders the
 same definition as SQL (used by the DuckDB oracle).  Plan: orders ⋈ customer
 (shuffle on custkey, or broadcast if Spark's size estimate allows) ⋈ nation
-(broadcast: 25 rows by definition) → lineitem ⋈ that on orderkey (shuffled hash
-join, never broadcast) → one
+(broadcast: 25 rows by definition) → lineitem ⋈ that on orderkey (sort-merge,
+which can spill; never broadcast) → one
 aggregation per (group, band) with map-side partial sums (hot groups
 collapse before the shuffle), then a spread of the bands into columns.
 """
@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import BANDS, BandSpec
+from ..config import BANDS, RAW_TOTAL_COLUMNS, BandSpec, raw_columns
 from .tables import table
 
 # Fixed values of the derived extract layout.
@@ -68,10 +68,10 @@ def _line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
     days = F.abs(F.datediff(F.col("l_shipdate"), F.col("o_orderdate")))
     # Both sides grow with the data, so neither is broadcast (Spark's static
-    # estimate of a pruned lineitem can fall under the broadcast threshold):
-    # a shuffled hash join builds one small hash table per partition from the
-    # order side; AQE still splits a skewed order key.
-    line = li.join(order_dim.hint("shuffle_hash"), li.l_orderkey == order_dim.o_orderkey).select(
+    # estimate of a pruned lineitem can fall under the broadcast threshold).
+    # A sort-merge join spills where a partition outgrows memory, and AQE
+    # splits a skewed order key.
+    line = li.join(order_dim.hint("merge"), li.l_orderkey == order_dim.o_orderkey).select(
         _case(F.month("o_orderdate") % 6, MONTHS).alias("pm"),
         F.col("l_suppkey").alias("pk"),
         F.col("rk"),
@@ -134,6 +134,54 @@ def raw_extract(spark: SparkSession, sf_dir: str, bands: BandSpec = BANDS) -> Da
     )
 
 
+# ---------------------------------------------------------------------------
+# The same extract as dirty text: what monthly files hold besides clean counts.
+# Each case is a condition on codes, so both engines build the same rows.
+# ---------------------------------------------------------------------------
+def _dirty_cases(q: str) -> dict[str, str]:
+    """Raw column -> SQL expression (codes of the clean row, counts as text)."""
+    prov, comm, tf, period = (f"{q}{c}{q}" for c in ("Provider Org Code", "Commissioner Org Code", "Treatment Function Code", "Period"))
+    ends = lambda d: f"right({prov}, 1) = '{d}'"
+    text = lambda c: f"cast({q}{c}{q} as string)"
+    zero = f"{ends(5)} and {tf} = 'C_502'"
+    out = {
+        "Commissioner Org Code": f"case when {ends(3)} and {comm} = 'C20' then null else {comm} end",
+        "Provider Org Code": f"case when {ends(7)} and {tf} = 'X06' then null else {prov} end",
+        "Treatment Function Code": f"case when {ends(9)} and {tf} = 'X06' then 'King''s' else {tf} end",
+        "Period": f"case when {ends(6)} then concat(left({period}, length({period}) - 5), ' ', right({period}, 4)) "
+                  f"when {ends(8)} and {tf} = 'X02' then 'RTT-Smarch-2026' else {period} end",
+    }
+    for c in BANDS.raw_names():
+        out[c] = f"case when {zero} then null else {text(c)} end"
+    for c in ("Total", "Total All"):
+        out[c] = f"case when {zero} then '0' when {comm} = 'C30' then concat({text(c)}, '.0') else {text(c)} end"
+    first, second, third = BANDS.raw_names()[:3]
+    out[first] = f"case when {ends(2)} then '*' else {out[first]} end"
+    out[second] = f"case when {ends(4)} and {tf} = 'C_100' then '-5' else {out[second]} end"
+    out[third] = f"case when {ends(1)} and {tf} = 'C_130' then 'NaN' else {out[third]} end"
+    return out
+
+
+def dirty_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_extract`` as text with a null provider or commissioner code, zero
+    totals without bands, ``*``, ``NaN``, ``12.0`` and negative cells, space-form
+    and unparseable periods, and a code with an apostrophe."""
+    raw = raw_extract(spark, sf_dir)
+    return raw.selectExpr(*[f"{e} as `{c}`" for c, e in _dirty_exprs("`", raw.columns)])
+
+
+def _dirty_exprs(q: str, columns: list[str]) -> list[tuple[str, str]]:
+    cases = _dirty_cases(q)
+    plain = lambda c: f"cast({q}{c}{q} as string)" if c in RAW_TOTAL_COLUMNS else f"{q}{c}{q}"
+    return [(c, cases.get(c, plain(c))) for c in columns]
+
+
+def dirty_extract_sql() -> str:
+    """``dirty_extract`` for DuckDB."""
+    cols = ", ".join(f'{e} as "{c}"' for c, e in _dirty_exprs('"', raw_columns()))
+    return f"select {cols} from ({raw_extract_sql('duckdb')}) clean"
+
+
 def raw_extract_sql(dialect: str = "duckdb", bands: BandSpec = BANDS) -> str:
     """The same derived extract as one SQL query (``duckdb`` or ``spark``)."""
     q = '"' if dialect == "duckdb" else "`"
