@@ -3,8 +3,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from waitband.llm import encoding, packing
-from waitband.llm.bpe import tokenizer_path
+from waitband.llm import packing
 
 from . import cases
 
@@ -52,23 +51,23 @@ def test_capacity_search():
 
 def test_nothing_is_lost(spark):
     docs = cases.documents(spark).filter("doc_id is not null").dropDuplicates(["doc_id"])
-    packed = packing.pack(docs, tokenizer_path(), capacity=256)
+    packed = packing.pack(docs, packing.default_path(), capacity=256)
     for r in packed.collect():
         assert len(np.frombuffer(r.ids, "<u2")) == 256 and r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.n_tokens <= 256
         assert r.cu_seqlens[:-1] == r.position_resets and len(r.doc_ids) == len(r.piece_starts) == len(r.position_resets)
         assert set(np.frombuffer(r.ids, "<u2")[r.n_tokens:].tolist()) <= {packing.PAD}
     whole = packing.unpack(packed).groupBy("doc_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("start", "ids"))), lambda x: x["ids"])).alias("ids"))
-    want = {r.doc_id: r.ids for r in encoding.encode(docs, tokenizer_path()).collect() if r.ids}
-    assert {r.doc_id: r.ids for r in whole.collect()} == want
+    decode = packing.encoding(packing.default_path()).decode_bytes
+    assert {r.doc_id: decode(r.ids).decode() for r in whole.collect()} == {r.doc_id: r.text for r in docs.collect() if r.text}
 
 
 def test_repeated_rows_windows_and_empty(spark, monkeypatch):
     docs = cases.documents(spark)
-    total = sum(r.n_tokens for r in encoding.digests(docs, tokenizer_path()).collect())
+    total = sum(len(packing.encoding(packing.default_path()).encode_ordinary(r.text or "")) for r in docs.collect())
     for tokens in (1 << 20, 3000):
         monkeypatch.setattr(packing, "GROUP_TOKENS", tokens)
         monkeypatch.setattr(packing, "WINDOW_TOKENS", tokens // 2)
-        rows = packing.pack(docs, tokenizer_path(), capacity=512).collect()
+        rows = packing.pack(docs, packing.default_path(), capacity=512).collect()
         assert sum(r.n_tokens for r in rows) == total
         assert len({(r.group, r.row) for r in rows}) == len(rows)
-    assert packing.pack(cases.empty(spark), tokenizer_path()).count() == 0
+    assert packing.pack(cases.empty(spark), packing.default_path()).count() == 0

@@ -1,6 +1,7 @@
 """Token packing (operator 8): best-fit decreasing with a segment tree.
 
-Documents are encoded, documents longer than a row are split without loss into
+Documents are encoded with a byte-level rank file (so ids decode to the exact
+text), documents longer than a row are split without loss into
 full rows and a rest, and the rests are packed into rows of ``capacity`` tokens
 by best-fit decreasing: pieces from long to short, each into the fullest row
 that still takes it.  Open rows are counted by free capacity in the leaves of a
@@ -24,20 +25,24 @@ repeated rows are packed once each.  Other columns are ignored.
 
 from __future__ import annotations
 
+import base64
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import encoder
+from .bpe import tokenizer_path
 from .common import materialise, narrow
 
 CAPACITY = 2048
-PAD = 49407
-GROUP_TOKENS = 16 << 20
+#: The free id above the 50,256 ranks of the default file.
+PAD = 50256
+GROUP_TOKENS = 2 << 20
 WINDOW_TOKENS = 8 << 20
-#: Entries after which the memo of stretches starts afresh.
-MEMO = 500_000
+#: Partitions at most; a task packs its groups one after the other.
+PARTITIONS = 20_000
 SCHEMA = ("ids binary, n_tokens int, cu_seqlens array<int>, doc_ids array<bigint>, piece_starts array<bigint>, position_resets array<int>")
 
 
@@ -91,41 +96,42 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return rows
 
 
+@lru_cache(maxsize=2)
+def encoding(path: str):
+    """A rank file's encoding, one per Python worker."""
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def default_path() -> str:
+    return tokenizer_path("byte_bpe_50k.tiktoken")
+
+
+def id_type(path: str) -> str:
+    return "<u2" if encoding(path).n_vocab < 1 << 16 else "<u4"
+
+
 def tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, deal, n, ids): ids as little-endian 16-bit integers (32-bit if the
     vocabulary needs them)."""
     def run(batches):
-        enc = encoder(path)
-        kind = id_type(path)
-        memo: dict = {}
-
-        def part(p) -> bytes:
-            found = memo.get(p)
-            if found is None:
-                found = np.array([p] if isinstance(p, int) else enc.stretch(p), kind).tobytes()
-                if isinstance(p, int) or len(p) <= 64:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[p] = found
-            return found
-
-        width = np.dtype(kind).itemsize
+        enc, kind = encoding(path), id_type(path)
         for b in batches:
             for lo in range(0, b.num_rows, 512):
-                piece = b.slice(lo, 512)
-                ids = [b"".join(map(part, enc.parts(t.as_py()))) for t in piece.column(2)]
-                yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array([len(i) // width for i in ids], pa.int64()),
-                                                  pa.array(ids, pa.binary())], ["doc_id", "deal", "n", "ids"])
+                part = b.slice(lo, 512)
+                ids = [np.array(enc.encode_ordinary(t.as_py() or ""), kind) for t in part.column(2)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(i) for i in ids], pa.int64()),
+                                                  pa.array([i.tobytes() for i in ids], pa.binary())], ["doc_id", "deal", "n", "ids"])
 
     rows = narrow(docs, {id_col: "long", text_col: "string"}).toDF("doc_id", "text")
     rows = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("deal"), "text")
     return rows.mapInArrow(run, "doc_id long, deal long, n long, ids binary").filter("n > 0")
 
 
-def id_type(path: str) -> str:
-    return "<u2" if max(encoder(path).merges.strings) < 1 << 16 else "<u4"
-
-
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, pad: int = PAD) -> DataFrame:
     """Packed rows (SCHEMA, plus group and row, which name a row)."""
     kind = id_type(path)
@@ -133,7 +139,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, pad: int = PAD) -
     total = rows.agg(F.sum("n")).first()[0] or 0
     groups = max(1, -(-total // GROUP_TOKENS))
     dealt = rows.withColumn("group", F.pmod("deal", F.lit(groups)).cast("int"))
-    dealt = dealt.repartition(groups, "group").sortWithinPartitions("group", "deal", "doc_id")
+    dealt = dealt.repartitionByRange(min(groups, PARTITIONS), "group").sortWithinPartitions("group", "deal", "doc_id")
 
     def matrix_rows(docs_: list[tuple], group: int, start: int):
         """Rows of one window; docs_: (doc_id, ids as array)."""

@@ -51,7 +51,7 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(table(spark, sf_dir, "documents"), packing.default_path())
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
