@@ -13,8 +13,14 @@ runs them:
   month_reload  idempotent overwrite of one month of the raw layer
   scd2_step     provider history (SCD2 versions by month) from the raw layer
   distribution  median / Gini / quartile shares per trust x specialty x month
+  archive_load  month archives (one original each, a revised one beside): manifest,
+                checks, choice, scan, quarantine, load and per-file audit
   e2e_national  Q1 straight from the base tables (no materialised layers)
 
+After that the layers once more at the size of the published raw table: the
+extract is repeated to ``BENCH_ROWS`` rows (1,092,767 by default; 0 leaves it
+out) and landed, checked, built into the fact and queried (``million``).
+
 ``value`` is the sum of all stage times (seconds) of a warm pass: the whole
 stage list first runs once at the same scale (reported as ``cold_total`` /
 ``cold``), so JIT compilation and generated-code caches are warm, as in a
@@ -33,6 +39,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from waitband.operators import archive_load as AL  # noqa: E402
 from waitband.operators import distribution as DI  # noqa: E402
 from waitband.operators import load as LD  # noqa: E402
 from waitband.operators import quality as DQ  # noqa: E402
@@ -43,7 +50,8 @@ from waitband.operators.staging import staging  # noqa: E402
 from waitband.plans import catalog  # noqa: E402
 from waitband.plans import pipeline as P  # noqa: E402
 from waitband.plans import published as Q  # noqa: E402
-from waitband.session import local_session, scratch_path  # noqa: E402
+from waitband.plans import fixtures as FX  # noqa: E402
+from waitband.session import clear_scratch, local_session, scratch_path  # noqa: E402
 
 
 def run_stages(spark, sf_dir: str, times: dict, counts: dict) -> None:
@@ -75,9 +83,9 @@ def run_stages(spark, sf_dir: str, times: dict, counts: dict) -> None:
     published = [Q.national_monthly, Q.trust_league, Q.specialty_performance, Q.icb_monthly, Q.over_two_years,
                  Q.trust_trend, Q.rag_distribution, Q.surgical_vs_medical, Q.month_on_month, Q.trust_scorecard]
     for i, fn in enumerate(published, start=1):
-        run(f"q{i}", lambda fn=fn: len(fn(fact).collect()))
+        run(f"q{i}", lambda fn=fn: consume(fn(fact)))
 
-    run("dq_suite", lambda: len(DQ.run_suite(raw, DQ.raw_extract_rules(), by=["_month_code"]).collect()))
+    run("dq_suite", lambda: consume(DQ.run_suite(raw, DQ.raw_extract_rules(), by=["_month_code"])))
 
     def reload_month():
         src = spark.read.parquet(raw_path).filter(F.col("_month_code") == "Jan26")
@@ -88,14 +96,56 @@ def run_stages(spark, sf_dir: str, times: dict, counts: dict) -> None:
     run("month_reload", reload_month)
     raw = spark.read.parquet(raw_path)  # new file listing after the overwrite
 
-    run("scd2_step", lambda: SCD.scd2_from_history(staging(raw, loaded_at=P.loaded_at_literal()),
-                                                   "provider_org_code",
-                                                   ["provider_org_name", "provider_parent_org_code",
-                                                    "provider_parent_name"]).count())
-    run("distribution", lambda: DI.distribution_stats(
+    run("scd2_step", lambda: consume(SCD.scd2_from_history(staging(raw, loaded_at=P.loaded_at_literal()),
+                                                           "provider_org_code",
+                                                           ["provider_org_name", "provider_parent_org_code",
+                                                            "provider_parent_name"])))
+    run("distribution", lambda: consume(DI.distribution_stats(
         staging(raw, loaded_at=P.loaded_at_literal()).filter(F.col("rtt_part_type") == "Part_2"),
-        ["period_date", "provider_org_code", "treatment_function_code"]).count())
-    run("e2e_national", lambda: len(catalog.QUERIES["national_monthly"](spark, sf_dir).collect()))
+        ["period_date", "provider_org_code", "treatment_function_code"])))
+
+    folder = scratch_path(spark, "bench-archives")
+    columns = raw.columns[:121]
+    months = raw.select(*[F.col(f"`{c}`") for c in columns], "_month_code")
+    FX.write_zip_archives(months, folder, "_month_code", scratch_path(spark, "bench-csv"))   # not timed
+    FX.write_zip_archives(months.filter("_month_code = 'Jan26'"), folder, "_month_code", scratch_path(spark, "bench-csv"), name="{month}_revised.zip")
+    run("archive_load", lambda: consume(AL.load_archives(spark, folder, scratch_path(spark, "bench-archive-table"), P.loaded_at_literal())))
+    run("e2e_national", lambda: consume(catalog.QUERIES["national_monthly"](spark, sf_dir)))
+
+
+def run_million(spark, sf_dir: str, rows: int) -> dict:
+    """The layers over the extract repeated to ``rows`` rows."""
+    base = scratch_path(spark, "bench-base")
+    P.raw(spark, sf_dir).write.parquet(base)
+    one = spark.read.parquet(base)
+    n = one.count()
+    whole, rest = divmod(rows, n)
+    copies = F.sequence(F.lit(1), F.lit(whole) + F.when(F.pmod(F.xxhash64("Provider Org Code", "Commissioner Org Code", "Treatment Function Code",
+                                                                          "RTT Part Type", "Period"), F.lit(n)) < rest, 1).otherwise(0))
+    many = one.withColumn("__copy", F.explode(copies)).withColumn(
+        "Provider Org Code", F.concat(F.col("Provider Org Code"), F.lit("X"), F.col("__copy").cast("string"))).drop("__copy")
+    times: dict = {}
+    raw_path, fact_path = scratch_path(spark, "bench-raw"), scratch_path(spark, "bench-fact")
+
+    def timed(name, fn):
+        t0 = time.perf_counter()
+        fn()
+        times[name] = round(time.perf_counter() - t0, 3)
+
+    timed("land_raw", lambda: LD.month_overwrite(LD.with_audit(many, P.loaded_at_literal(), source_file="repeated"), raw_path))
+    raw = spark.read.parquet(raw_path)
+    times["rows"] = raw.count()
+    timed("dq_suite", lambda: consume(DQ.run_suite(raw, DQ.raw_extract_rules(), by=["_month_code"])))
+    timed("fact_build", lambda: write_fact(fact_performance(incomplete_pathways(staging(raw, loaded_at=P.loaded_at_literal()))), fact_path))
+    fact = spark.read.parquet(fact_path)
+    timed("q1", lambda: consume(Q.national_monthly(fact)))
+    timed("q10", lambda: consume(Q.trust_scorecard(fact)))
+    return times
+
+
+def consume(df) -> None:
+    """Run a query to its last row without bringing rows to the driver."""
+    df.write.format("noop").mode("overwrite").save()
 
 
 def main() -> None:
@@ -110,11 +160,15 @@ def main() -> None:
     counts: dict[str, int] = {}
     run_stages(spark, sf_dir, times, counts)
 
+    rows = int(os.environ.get("BENCH_ROWS", "1092767"))
+    million = run_million(spark, sf_dir, rows) if rows else {}
+
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({"metric": "pipeline_total_sec", "value": total, "unit": "sec", "queries": times,
-                      "cold_total": round(sum(cold.values()), 3), "cold": cold, "rows": counts, "sf": sf, "cpus": cpus, "spark": spark.version,
+                      "cold_total": round(sum(cold.values()), 3), "cold": cold, "million": million, "rows": counts, "sf": sf, "cpus": cpus, "spark": spark.version,
                       "codegen_max_fields": spark.conf.get("spark.sql.codegen.maxFields")}))
+    clear_scratch(spark)
     spark.stop()
 
 
