@@ -11,7 +11,8 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from waitband.session import local_session
+    from waitband.session import clear_scratch, local_session
     s = local_session("*", shuffle_partitions=8, app="waitband-tests")
     yield s
+    clear_scratch(s)
     s.stop()

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from waitband.functions.calendar import financial_year, month_code, parse_period, raw_path
 from waitband.operators import calendar_ops as CAL
 
-MONTH_CODES = [((2026, 1), "Jan26"), ((2025, 12), "Dec25"), ((2025, 4), "Apr25"), ((2026, 3), "Mar26"),
-               ((2025, 11), "Nov25"), ((2025, 9), "Sep25")]
-FIN_YEARS = [((2026, 1), "2025-26"), ((2025, 4), "2025-26"), ((2026, 3), "2025-26"), ((2024, 4), "2024-25"),
-             ((2025, 3), "2024-25"), ((1999, 12), "1999-00")]
+# a leap February, both sides of a century and of a decade, and of the year's start in April
+MONTH_CODES = [((2000, 2), "Feb00"), ((1999, 10), "Oct99"), ((2009, 7), "Jul09"), ((2010, 5), "May10"),
+               ((2048, 6), "Jun48"), ((2031, 8), "Aug31")]
+FIN_YEARS = [((2000, 2), "1999-00"), ((2000, 4), "2000-01"), ((2000, 3), "1999-00"), ((2009, 4), "2009-10"),
+             ((2010, 3), "2009-10"), ((2098, 12), "2098-99"), ((2099, 4), "2099-00")]
 
 
 def _eval(spark, col_fn, dates):

@@ -135,7 +135,8 @@ def breach_training_rows(features: DataFrame) -> DataFrame:
 
 def breach_model(features: DataFrame, seed: int = 42) -> tuple[DataFrame, dict]:
     """Train on all but the last labelled month, evaluate on the last.  The
-    training rows are written once and read from there.  ROC-AUC and PR-AUC are
+    features are written once, so the plan behind them runs once; the training
+    rows come from there.  ROC-AUC and PR-AUC are
     None where the test month holds one class."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier
@@ -143,7 +144,7 @@ def breach_model(features: DataFrame, seed: int = 42) -> tuple[DataFrame, dict]:
     from pyspark.ml.feature import Imputer, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    data = written(breach_training_rows(features), "breach-rows")
+    data = written(breach_training_rows(written(features, "breach-features")), "breach-rows")
     train, test = data.filter(~F.col("is_test")), data.filter(F.col("is_test"))
     imputed = [f"{c}_i" for c in MODEL_FEATURES]
     pipe = Pipeline(stages=[
