@@ -114,6 +114,32 @@ def test_classes_against_all_pairs(spark):
         assert sorted(r.doc_id for r in rows if r.first) == sorted(found)
 
 
+def test_prefix_filter_loses_no_pair(spark):
+    """Texts with a heavy common part of all shares: every similar pair of different components is proposed."""
+    rng = np.random.default_rng(4)
+    bags = []
+    for _ in range(120):
+        heavy = int(rng.integers(60, 140))
+        rare = rng.integers(100, 2000, int(rng.integers(0, 45)))
+        base = rng.integers(0, 6)
+        bags.append(np.sort(np.concatenate([np.full(heavy, 1), np.full(heavy // 2, 2), np.arange(3 + 20 * base, 3 + 20 * base + rng.integers(0, 15)), rare]).astype(np.uint32)))
+    nodes = spark.createDataFrame([(k, k % 50, bytearray(b.tobytes())) for k, b in enumerate(bags)], "node long, comp long, bag binary")
+    got = {(r.a, r.b) for r in neardup.prefix_pairs(nodes).collect()}
+    want = {(a, b) for b in range(120) for a in range(b) if a % 50 != b % 50 and neardup.overlap(bags[a], bags[b]) >= 0.8}
+    every = sum(a % 50 != b % 50 for b in range(120) for a in range(b))
+    assert want and want <= got and len(got) < every
+
+
+def test_classes_when_all_buckets_are_large(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SMALL", 1)
+    docs = list(enumerate(near_copies(random.Random(5))))
+    rows = neardup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r.class_id, set()).add(r.doc_id)
+    assert {frozenset(s) for s in found.values()} == brute(docs)
+
+
 def test_keep_first_and_edge_rows(spark):
     docs = cases.documents(spark)
     rows = neardup.classes(docs)

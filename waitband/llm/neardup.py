@@ -12,9 +12,13 @@ connected component of links.
    paired with the first and the last node of its buckets, not with everyone:
    the pair that most bands propose is verified first, on the multisets.
 4. Components of the verified links are contracted.  Buckets that still hold
-   several components are taken up again, component against component, until
-   every pair in a bucket is either inside one component or has been verified,
-   so no link that the bands propose is lost.
+   several components are taken up again so that no link the bands propose is
+   lost: in those of at most ``SMALL`` nodes every pair across components is
+   verified; the nodes of larger ones (texts that share one passage, say) meet by
+   an exact prefix filter instead.  Two texts that are similar enough must share
+   one of the rarest runs that make up a fifth of either, and what follows that
+   run must be large enough in both, so texts that share just the common part
+   are never paired.
 
 With 32 bands of 6 values a pair at similarity 0.8 shares a band with
 probability 0.99994, one at 0.85 with 0.9999997.
@@ -42,6 +46,8 @@ from .graph import components
 RUN = 5
 SIMILAR = 0.8
 BANDS, BAND_ROWS = 32, 6
+#: Nodes of a bucket up to which its pairs across components are verified directly.
+SMALL = 16
 #: Elements whose signatures are worked out together.
 BLOCK = 200_000
 WORD = re.compile(r"\w+")
@@ -154,17 +160,73 @@ def links(rows: DataFrame) -> DataFrame:
     accepted = tried.filter("linked").select("a", "b")
     comps = components(accepted)
 
-    # what is left: buckets of several components, node against node of another
+    # what is left: buckets of several components
     own = members.select("key", "node").join(comps, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-    split = own.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-    own = materialise(own.join(split, "key"), "neardup-split")
-    left = own.select("key", F.col("node").alias("a"), F.col("comp").alias("ca")).join(
-        own.select("key", F.col("node").alias("b"), F.col("comp").alias("cb")), "key").filter("a < b and ca <> cb").select("a", "b").distinct()
-    left = left.join(tried, ["a", "b"], "left_anti")
+    split = own.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter("lo <> hi")
+    own = materialise(own.join(split.select("key", "n"), "key"), "neardup-split")
+    few = own.filter(F.col("n") <= SMALL)
+    left = few.select("key", F.col("node").alias("a"), F.col("comp").alias("ca")).join(
+        few.select("key", F.col("node").alias("b"), F.col("comp").alias("cb")), "key").filter("a < b and ca <> cb").select("a", "b")
+    many = own.filter(F.col("n") > SMALL).select("node", "comp").distinct().join(bags, "node")
+    left = left.unionByName(prefix_pairs(many)).distinct().join(tried, ["a", "b"], "left_anti")
     more = materialise(verified(left, bags), "neardup-tried").filter("linked").select("a", "b")
     return components(accepted.unionByName(more)) if not more.isEmpty() else comps
 
 
+def prefix_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` (node, comp, bag) of different components that
+    may be similar enough: exact, by the prefix and position filters of
+    similarity joins.
+
+    Runs are ordered from rare to common.  If the runs that stand first in a and
+    make up more than a fifth of it have none in common with those of b, the
+    overlap is under four fifths of one of them.  At the first common run the
+    overlap is at most what is left of either from there on."""
+    def run(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                node, size, token, weight = [], [], [], []
+                for n, bag in zip(part.column(0), part.column(2)):
+                    v, c = np.unique(np.frombuffer(bag.as_py(), np.uint32), return_counts=True)
+                    node.append(np.full(len(v), n.as_py(), np.int64))
+                    size.append(np.full(len(v), c.sum(), np.int64))
+                    token.append(v.astype(np.int64))
+                    weight.append(c.astype(np.int64))
+                cols = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (node, size, token, weight)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["node", "size", "token", "weight"])
+
+    tokens = materialise(nodes.select("node", "comp", "bag").mapInArrow(run, "node long, size long, token long, weight long"), "neardup-tokens")
+    seen = tokens.groupBy("token").agg(F.count("*").alias("seen"))
+    # a node's runs in one row: an array as long as its text
+    ranked = tokens.join(seen, "token").groupBy("node", "size").agg(F.collect_list(F.struct("seen", "token", "weight")).alias("runs"))
+
+    def cut(batches):
+        """The runs that others have too among the rarest that make up a fifth, with what stands before each."""
+        for b in batches:
+            out = [[], [], [], []]
+            for n, size, runs in zip(b.column(0), b.column(1), b.column(2)):
+                own, token, weight = (runs.values.field(k).to_numpy() for k in range(3))
+                order = np.lexsort((token, own))
+                own, token, weight = own[order], token[order], weight[order]
+                at = np.cumsum(weight) - weight
+                keep = (at * 5 <= size.as_py()) & (own > 1)
+                for c, v in zip(out, (np.full(keep.sum(), n.as_py()), np.full(keep.sum(), size.as_py()), token[keep], at[keep])):
+                    c.append(v)
+            cols = [np.concatenate(c).astype(np.int64) if c else np.zeros(0, np.int64) for c in out]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["node", "size", "token", "at"])
+
+    prefix = ranked.mapInArrow(cut, "node long, size long, token long, at long")
+    prefix = materialise(prefix.join(nodes.select("node", "comp"), "node"), "neardup-prefix")
+    one = prefix.select("token", *[F.col(c).alias(f"{c}_a") for c in ("node", "comp", "size", "at")])
+    two = prefix.select("token", *[F.col(c).alias(f"{c}_b") for c in ("node", "comp", "size", "at")])
+    room = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
+    # overlap / (a + b - overlap) >= 4/5, in whole numbers
+    close = (one["token"] == two["token"]) & (F.col("node_a") < F.col("node_b")) & (F.col("comp_a") != F.col("comp_b")) & (
+        room * 9 >= (F.col("size_a") + F.col("size_b")) * 4) & (F.least("size_a", "size_b") * 5 >= F.greatest("size_a", "size_b") * 4)
+    return one.join(two, close).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
 def across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     """Pairs whose nodes are in different components."""
     a = comps.select(F.col("node").alias("a"), F.col("comp").alias("ca"))
