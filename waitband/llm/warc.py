@@ -33,8 +33,8 @@ VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 #: Fixed value: the RFC 4648 base32 alphabet.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-#: Bytes of an archive file, about.
-FILE_BYTES = 64 << 20
+#: Revisits up to which their table (under 100 bytes a row) is broadcast to the writers.
+BROADCAST_ROWS = 200_000
 
 
 def base32_sha1(data: Column) -> Column:
@@ -57,6 +57,9 @@ def write(pages: DataFrame, path: str, min_revisit: int = 0, id_col: str = "page
     moved = keyed.select("page_id", "digest").distinct().join(first, "digest").filter(
         F.col("response").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response"))).select(
         F.col("page_id").alias("m_id"), F.col("digest").alias("m_digest"), "response")
+    moved = materialise(moved, "warc-revisits")
+    if moved.count() <= BROADCAST_ROWS:  # else the pages are shuffled by id to meet it
+        moved = F.broadcast(moved)
     rows = rows.withColumn("digest", base32_sha1(F.encode("payload", "UTF-8")))
     rows = rows.join(moved, F.col("page_id").eqNullSafe(F.col("m_id")) & (F.col("digest") == F.col("m_digest")), "left")
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
