@@ -91,7 +91,7 @@ def run_stages(spark, sf_dir: str, times: dict, counts: dict) -> None:
         src = spark.read.parquet(raw_path).filter(F.col("_month_code") == "Jan26")
         tmp = scratch_path(spark, "bench-month")
         src.write.parquet(tmp)  # never overwrite the path being read: stage the month first
-        LD.month_overwrite(spark.read.parquet(tmp), raw_path)
+        LD.month_overwrite(spark.read.parquet(tmp), raw_path, rebalance=False)  # one month: nothing to deal out
         return spark.read.parquet(raw_path).filter(F.col("_month_code") == "Jan26").count()
     run("month_reload", reload_month)
     raw = spark.read.parquet(raw_path)  # new file listing after the overwrite
