@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+import sys
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,3 +58,42 @@ def text_blocks(texts: list, limit: int = BLOCK_BYTES):
         held += n
     if start < len(texts):
         yield start, len(texts)
+
+
+#: What a Python worker keeps between the tasks of one operator.
+_KEPT: dict = {}
+
+
+def kept(name: str, make: Callable):
+    """A worker's large tables, made once and held until it works on something else."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def drop_others(keep: str) -> None:
+    if keep not in _KEPT:
+        _KEPT.clear()
+
+
+def give_back() -> None:
+    """Freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator], keep: str = "") -> Callable[[Iterator], Iterator]:
+    """``run`` for mapInArrow.  Workers outlive tasks and operators: what another
+    operator kept goes before the task, and freed memory goes back to the system
+    after it, so that the stages of a long job do not add up."""
+    def tidied(batches):
+        # functions of this module, so that the worker's own table is meant and not a copy sent along
+        drop_others(keep)
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialise
+from .common import fresh, materialise, tidy
 
 LEAST_WORDS = 50
 SYMBOLS = "#*$%&|<>"
@@ -105,7 +105,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(c, t) for c, t in zip(cols, types[2:])]], names)
 
     return docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].cast("long").alias("doc_id"),
-                       docs[text_col].cast("string").alias("text"), docs[host_col].cast("string").alias("host")).mapInArrow(run, ROWS)
+                       docs[text_col].cast("string").alias("text"), docs[host_col].cast("string").alias("host")).mapInArrow(tidy(run), ROWS)
 
 
 def removed_lines(rows: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bagminhash import GOLD, mixed, signatures
-from .common import fresh, materialise
+from .common import fresh, materialise, tidy
 from .graph import components
 
 RUN = 5
@@ -120,7 +120,7 @@ def signed(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(hi), pa.array(lo_),
                                                   pa.array(bands, pa.list_(pa.int64())), pa.array(bag, pa.binary())], names)
 
-    return docs.mapInArrow(run, SCHEMA)
+    return docs.mapInArrow(tidy(run), SCHEMA)
 
 
 def verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
@@ -136,7 +136,7 @@ def verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "bag_a", "bag_b")
     # sizes alone bound the similarity
     close = F.least(n("bag_a"), n("bag_b")) >= F.greatest(n("bag_a"), n("bag_b")) * F.lit(SIMILAR - 1e-9)
-    return both.filter(close).mapInArrow(run, "a long, b long, linked boolean")
+    return both.filter(close).mapInArrow(tidy(run), "a long, b long, linked boolean")
 
 
 def links(rows: DataFrame) -> DataFrame:
@@ -196,7 +196,7 @@ def prefix_pairs(nodes: DataFrame) -> DataFrame:
                 cols = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (node, size, token, weight)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["node", "size", "token", "weight"])
 
-    tokens = materialise(nodes.select("node", "comp", "bag").mapInArrow(run, "node long, size long, token long, weight long"), "neardup-tokens")
+    tokens = materialise(nodes.select("node", "comp", "bag").mapInArrow(tidy(run), "node long, size long, token long, weight long"), "neardup-tokens")
     seen = tokens.groupBy("token").agg(F.count("*").alias("seen"))
     # a node's runs in one row: an array as long as its text
     ranked = tokens.join(seen, "token").groupBy("node", "size").agg(F.collect_list(F.struct("seen", "token", "weight")).alias("runs"))
@@ -216,7 +216,7 @@ def prefix_pairs(nodes: DataFrame) -> DataFrame:
             cols = [np.concatenate(c).astype(np.int64) if c else np.zeros(0, np.int64) for c in out]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["node", "size", "token", "at"])
 
-    prefix = ranked.mapInArrow(cut, "node long, size long, token long, at long")
+    prefix = ranked.mapInArrow(tidy(cut), "node long, size long, token long, at long")
     prefix = materialise(prefix.join(nodes.select("node", "comp"), "node"), "neardup-prefix")
     one = prefix.select("token", *[F.col(c).alias(f"{c}_a") for c in ("node", "comp", "size", "at")])
     two = prefix.select("token", *[F.col(c).alias(f"{c}_b") for c in ("node", "comp", "size", "at")])

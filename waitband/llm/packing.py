@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import tokenizer_path
-from .common import materialise, narrow
+from .common import materialise, narrow, tidy
 
 CAPACITY = 2048
 #: The free id above the 50,256 ranks of the default file.
@@ -129,7 +129,7 @@ def tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     rows = narrow(docs, {id_col: "long", text_col: "string"}).toDF("doc_id", "text")
     rows = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("deal"), "text")
-    return rows.mapInArrow(run, "doc_id long, deal long, n long, ids binary").filter("n > 0")
+    return rows.mapInArrow(tidy(run), "doc_id long, deal long, n long, ids binary").filter("n > 0")
 
 
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, pad: int = PAD) -> DataFrame:
@@ -184,7 +184,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, pad: int = PAD) -
                     yield from flush()
         yield from flush()
 
-    return dealt.select("group", "doc_id", "ids").mapInArrow(run, f"group int, row long, {SCHEMA}")
+    return dealt.select("group", "doc_id", "ids").mapInArrow(tidy(run), f"group int, row long, {SCHEMA}")
 
 
 def write_matrices(packed: DataFrame, path: str) -> None:
@@ -204,4 +204,4 @@ def unpack(packed: DataFrame, kind: str = "<u2") -> DataFrame:
             cols = list(zip(*out)) if out else [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int32()))], ["doc_id", "start", "ids"])
 
-    return packed.select("ids", "cu_seqlens", "doc_ids", "piece_starts").mapInArrow(run, "doc_id long, start long, ids array<int>")
+    return packed.select("ids", "cu_seqlens", "doc_ids", "piece_starts").mapInArrow(tidy(run), "doc_id long, start long, ids array<int>")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from .common import fresh, materialise
+from .common import fresh, materialise, tidy
 
 LEAST_WORDS = 25
 END = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -104,7 +104,7 @@ def spans(docs: DataFrame, least: int) -> DataFrame:
                     at += [a << 32 | e for _, a, e in once] + [a << 32 | e for a, e in again]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (ids, tags, keys, at)], ["doc_id", "tag", "key", "at"])
 
-    return docs.mapInArrow(run, "doc_id long, tag long, key long, at long")
+    return docs.mapInArrow(tidy(run), "doc_id long, tag long, key long, at long")
 
 
 def repeated(docs: DataFrame, least: int) -> DataFrame:
@@ -145,4 +145,4 @@ def dedup(docs: DataFrame, least: int = LEAST_WORDS, id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([*cols, pa.array(counts, pa.int64())], [*at, "n_sentences"])
 
     schema = StructType([*joined.schema.fields]).add("n_sentences", LongType())
-    return joined.mapInArrow(run, schema).withColumn("n_removed", F.size("removed").cast("long"))
+    return joined.mapInArrow(tidy(run), schema).withColumn("n_removed", F.size("removed").cast("long"))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import narrow
+from .common import narrow, tidy
 
 SAMPLE = 12_000
 FEATURES = 4_096
@@ -117,7 +117,7 @@ def telling(sample: DataFrame, most: int) -> list[int]:
     total, bad = sample.agg(F.count("*"), F.sum((F.col("label") > 0).cast("long"))).first()
     if not total or not bad or bad == total:
         return []
-    seen = sample.select("text", "label").mapInArrow(run, "f long, toxic long").groupBy("f").agg(F.sum("toxic").alias("a"), F.count("*").alias("n")).filter("n >= 5")
+    seen = sample.select("text", "label").mapInArrow(tidy(run), "f long, toxic long").groupBy("f").agg(F.sum("toxic").alias("a"), F.count("*").alias("n")).filter("n >= 5")
     base = bad / total
     part = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
     a, n = F.col("a"), F.col("n")
@@ -139,7 +139,7 @@ def columns_of(sample: DataFrame, columns: dict[int, int]) -> list[tuple]:
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.list_(pa.int32())),
                                               pa.array(cols[3], pa.int32())], ["doc_id", "label", "columns", "hot"])
 
-    rows = sample.select("doc_id", "text", "label").mapInArrow(run, "doc_id long, label int, columns array<int>, hot int")
+    rows = sample.select("doc_id", "text", "label").mapInArrow(tidy(run), "doc_id long, label int, columns array<int>, hot int")
     return sorted((tuple(r) for r in rows.collect()), key=lambda r: (r[0], r[3], r[2]))
 
 
@@ -166,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE, binary: bool
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, expected_severity, grade, p_toxic, toxic) of every row."""
     rows = narrow(docs, {id_col: "long", text_col: "string"}).mapInArrow(
-        scorer(model, 1, [0]), "doc_id long, expected_severity double, grade int, p_toxic double")
+        tidy(scorer(model, 1, [0])), "doc_id long, expected_severity double, grade int, p_toxic double")
     return rows.withColumn("toxic", F.col("p_toxic") >= 0.5)
 
 
@@ -180,7 +180,7 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
             (s,) = work([b])
             yield b.filter(pa.array(s.column(2).to_numpy() < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def scorer(model: Model, text_at: int, keep: list[int]):
