@@ -28,6 +28,7 @@ import json
 import os
 import unicodedata
 from functools import lru_cache
+from itertools import islice
 
 import regex
 
@@ -36,7 +37,7 @@ PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{
 SPACE = regex.compile(r"[\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 WORD_END = "</w>"
 #: Entries after which a memo table starts afresh; the one before is kept beside it.
-MEMO = 500_000
+MEMO = 200_000
 NEVER = 1 << 60
 
 
@@ -70,12 +71,12 @@ class Merges:
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.rank.setdefault((a, b), r)
             self.parts.setdefault(a + b, (r, a, b))
-        self.inner = {t for t in self.vocab if not t.endswith(WORD_END)}
-        self.final = {t.removesuffix(WORD_END) for t in self.vocab if t.endswith(WORD_END)}
-        self.max_len = max(map(len, self.inner | self.final))
+        inner = {t for t in self.vocab if not t.endswith(WORD_END)}
+        final = {t.removesuffix(WORD_END) for t in self.vocab if t.endswith(WORD_END)}
+        self.max_len = max(map(len, inner | final))
         # every tail of a token, and whether it is a token itself
-        self.inner_tails = {t[k:]: t[k:] in self.inner for t in self.inner for k in range(len(t))}
-        self.final_tails = {t[k:]: t[k:] in self.final for t in self.final for k in range(len(t))}
+        self.inner_tails = {t[k:]: t[k:] in inner for t in inner for k in range(len(t))}
+        self.final_tails = {t[k:]: t[k:] in final for t in final for k in range(len(t))}
         self._left: dict[str, list] = {}
         self._right: dict[str, list] = {}
         self.agreed: dict[tuple[str, str], bool] = {}
@@ -117,7 +118,7 @@ class Merges:
                 q = self.rank.get((x, y))
                 if q is not None and born < q < gone and born_y < q <= gone_y:
                     known = False
-        if len(self.agreed) >= MEMO:
+        if len(self.agreed) >= MEMO // 2:
             self.agreed.clear()
         self.agreed[a, b] = known
         return known
@@ -128,7 +129,8 @@ class Transducer:
 
     def __init__(self, merges: Merges):
         self.m = merges
-        self.stride = max(2 * merges.max_len, 256)
+        # stable borders are looked for after so many symbols; `lookahead` is when one must have come
+        self.stride = min(max(2 * merges.max_len, 256), merges.lookahead)
 
     def word(self, word: str):
         """Yield the tokens of ``word`` (in the byte alphabet, without word end)."""
@@ -282,62 +284,57 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class Digester:
-    """Ids and digests of whole texts, with a memo of bounded size on stretches."""
+    """Ids and digests of whole texts, with a memo of bounded size on stretches.
+
+    An entry is one byte string, the ids in decimal and their pieces with a zero
+    byte between (neither holds one): small, so the memo can be large.
+    Stretches without an entry go through the transducer and the decoder."""
 
     def __init__(self, path: str):
-        self.enc = encoder(path)
+        self.enc = Encoder(path)
         self.memo: dict = {}
         self.old: dict = {}
 
-    def entry(self, part) -> tuple[int, str, str]:
-        """(number of ids, the ids, their pieces) of a special id or a stretch;
-        a stretch of several words is put together from theirs."""
+    def entry(self, part) -> bytes:
+        """The entry of a special id or a stretch; a stretch of several words is
+        put together from theirs."""
         if isinstance(part, int):
-            return 1, str(part), ByteDecoder(self.enc.merges, "pieces").decode([part])
+            return self.of_ids([part])
         found = PRETOKEN.findall(part)
         if len(found) == 1:
             return self.word_entry(part)
-        of = [self.known(w, self.word_entry) for w in found]
-        return sum(e[0] for e in of), " ".join(e[1] for e in of), " ".join(e[2] for e in of)
+        ids, pieces = zip(*[self.known(w, self.word_entry).split(b"\0") for w in found])
+        return b" ".join(ids) + b"\0" + b" ".join(pieces)
+
+    def word_entry(self, word: str) -> bytes:
+        return self.of_ids(self.enc.word(word))
 
-    def word_entry(self, word: str) -> tuple[int, str, str]:
-        ids = self.enc.word(word)
-        return len(ids), " ".join(map(str, ids)), ByteDecoder(self.enc.merges, "pieces").decode(ids)
+    def of_ids(self, ids) -> bytes:
+        return (" ".join(map(str, ids)) + "\0" + ByteDecoder(self.enc.merges, "pieces").decode(ids)).encode()
 
-    def known(self, part, make) -> tuple[int, str, str]:
+    def known(self, part, make) -> bytes:
         e = self.memo.get(part)
         if e is None:
             e = self.old.get(part) or make(part)
             if isinstance(part, int) or len(part) <= 64:
                 if len(self.memo) >= MEMO:
-                    self.old = dict(self.memo)
-                    self.memo.clear()
+                    self.old = self.memo
+                    self.memo = {}
                 self.memo[part] = e
         return e
 
     def digest(self, text: str | None) -> tuple[int, str, str]:
         """(number of ids, SHA-256 of the ids, SHA-256 of the decoded text)."""
-        memo, n, first = self.memo, 0, True
-        ids_sha, text_sha = hashlib.sha256(), hashlib.sha256()
-        ids_run: list[str] = []
-        text_run: list[str] = []
-
-        def flush(first: bool) -> bool:
-            if not ids_run:
-                return first
-            lead = "" if first else " "
-            ids_sha.update((lead + " ".join(ids_run)).encode())
-            text_sha.update((lead + " ".join(text_run)).encode("utf-8"))
-            ids_run.clear()
-            text_run.clear()
-            return False
-
-        for part in self.enc.parts(text):
-            e = memo.get(part) or self.known(part, self.entry)
-            n += e[0]
-            ids_run.append(e[1])
-            text_run.append(e[2])
-            if len(ids_run) >= 50_000:
-                first = flush(first)
-        flush(first)
+        n, ids_sha, text_sha, lead = 0, hashlib.sha256(), hashlib.sha256(), b""
+        parts = self.enc.parts(text)
+        while run := list(islice(parts, 50_000)):  # so many stretches of a long text at a time
+            found = list(map(self.memo.get, run))
+            if None in found:
+                found = [self.known(p, self.entry) if e is None else e for p, e in zip(run, found)]
+            both = b"\0".join(found).split(b"\0")
+            ids = b" ".join(both[::2])
+            n += ids.count(b" ") + 1
+            ids_sha.update(lead + ids)
+            text_sha.update(lead + b" ".join(both[1::2]))
+            lead = b" "
         return n, ids_sha.hexdigest(), text_sha.hexdigest()
