@@ -42,16 +42,26 @@ def quartile_shares(df: DataFrame, bands: BandSpec = BANDS, cuts=(26, 52, 78)) -
     return df.select("*", *cols)
 
 
-def _fold_sql(bands: BandSpec, n_col: str) -> str:
+#: Patients in a group up to which the Gini numerator (at most 210 n^2) surely fits 64 bits.
+_SMALL = 100_000_000
+
+
+def _fold_sql(bands: BandSpec, n_col: str, wide: bool) -> str:
     """One pass over the band array with an accumulator of running patient
     count (cn), running doubled waiting time (cw), Gini numerator (g) and
-    the median band (first band where 2 * cn >= n)."""
+    the median band (first band where 2 * cn >= n).  ``wide`` keeps the
+    numerator in 38 digits, which costs several times as much."""
     arr = "array(" + ", ".join(bands.names()) + ")"
+    zero = "cast(0 as decimal(38,0))" if wide else "cast(0 as bigint)"
+    step = "e.p * (2 * acc.cw + e.p * (2 * e.i + 1))"
+    if wide:
+        step = "cast(e.p as decimal(18,0)) * cast(2 * acc.cw + e.p * (2 * e.i + 1) as decimal(19,0))"
+    g = f"cast(acc.g + {step} as decimal(38,0))" if wide else f"acc.g + {step}"
     return f"""aggregate(transform({arr}, (x, i) -> named_struct('p', x, 'i', i)),
- named_struct('cn', cast(0 as bigint), 'cw', cast(0 as bigint), 'g', cast(0 as decimal(38,0)), 'med', cast(null as int)),
- (acc, e) -> named_struct('cn', acc.cn + e.p, 'cw', acc.cw + e.p * (2 * e.i + 1),
-   'g', cast(acc.g + cast(e.p as decimal(18,0)) * cast(2 * acc.cw + e.p * (2 * e.i + 1) as decimal(19,0)) as decimal(38,0)),
-   'med', case when acc.med is null and {n_col} > 0 and 2 * (acc.cn + e.p) >= {n_col} then e.i else acc.med end))"""
+ named_struct('cn', cast(0 as bigint), 'cw', cast(0 as bigint), 'g', {zero}, 'med', cast(null as int)),
+ (acc, e) -> named_struct('cn', acc.cn + e.p, 'cw', acc.cw + e.p * (2 * e.i + 1), 'g', {g},
+   'med', case when acc.med is null and {n_col} > 0 and 2 * (acc.cn + e.p) >= {n_col} then e.i else acc.med end),
+ acc -> named_struct('cw', acc.cw, 'g', cast(acc.g as double), 'med', acc.med))"""
 
 
 def distribution_stats(df: DataFrame, grain, bands: BandSpec = BANDS) -> DataFrame:
@@ -70,7 +80,7 @@ def distribution_stats(df: DataFrame, grain, bands: BandSpec = BANDS) -> DataFra
     agg = agg.withColumn("n", F.expr(" + ".join(bands.names())))
     shares = quartile_shares(agg, bands)
     f = shares.select(*grain, "n", "share_q1", "share_q2", "share_q3", "share_q4",
-                      F.expr(_fold_sql(bands, "n")).alias("__f"))
+                      F.when(F.col("n") < _SMALL, F.expr(_fold_sql(bands, "n", False))).otherwise(F.expr(_fold_sql(bands, "n", True))).alias("__f"))
     return f.select(
         *grain, "share_q1", "share_q2", "share_q3", "share_q4", "n",
         (F.col("__f.med").cast("double") + F.lit(0.5)).alias("median_wait_weeks"),
