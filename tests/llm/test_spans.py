@@ -70,3 +70,30 @@ def test_edge_rows(spark):
     again = spark.createDataFrame([(1, "one two three. " * 30)] * 2 + [(2, "x")], "doc_id long, text string")
     a, b = [r.text for r in spans.dedup(again).filter("doc_id = 1").collect()]
     assert a == b != ""
+
+
+def test_short_runs_of_several_sentences(spark):
+    rng = random.Random(12)
+    two = "The ferry left the old harbour late. Nobody on the pier had seen it go."
+    pieces = [passage(rng, 9).rstrip(".") for _ in range(3)]  # one sentence of 27 words, or three lines
+    docs = [(1, f"{passage(rng, 30)} {two} {passage(rng, 30)}"), (2, f"Cut here so {two[4:]} {two} And {passage(rng, 30)}"),
+            (3, "Read more. Sign up. " + passage(rng, 30)), (4, "Read more. Sign up. " + passage(rng, 30)),
+            (5, " ".join(pieces) + "."), (6, "\n".join(pieces)), (7, "... A b. ! " * 3)]
+    rows = {r.doc_id: r for r in spans.dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert rows[1].n_removed == 0 and rows[1].text.count(two) == 1
+    assert two not in rows[2].text and rows[2].n_removed == 2 and rows[2].text.startswith("Cut here so")
+    assert rows[3].n_removed == rows[4].n_removed == 0  # a stock phrase under the floor
+    assert rows[5].n_removed == 0 and rows[6].text == ""  # the 25-word runs stand beside
+    # every run of several sentences over the floor that stands earlier is covered
+    some = [" ".join(rng.choice("abcdef") for _ in range(n)) + ". " for n in (0, 1, 2, 3, 4, 5, 6)]
+    text = "".join(rng.choice(some) for _ in range(120))
+    ws = [spans.WORD.findall(text[a:b]) for a, b in spans.sentences(text)]
+    _, again = spans.runs(text, 25)
+    got, want, seen = {k for a, b in again for k in range(a, b + 1)}, set(), set()
+    for a in range(len(ws)):
+        for b in range(a + 1, len(ws)):
+            run = tuple(map(tuple, filter(None, ws[a:b + 1])))
+            if ws[a] and ws[b] and sum(map(len, run)) >= spans.FLOOR_WORDS:
+                want |= set(range(a, b + 1)) if run in seen else set()
+                seen.add(run)
+    assert want <= got and want

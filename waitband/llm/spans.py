@@ -4,6 +4,9 @@ A text is cut into sentences (after . ! ? and white space, and at line breaks).
 From every sentence a span runs over as many consecutive sentences as it takes
 to reach ``LEAST_WORDS`` words, and to every sentence one runs backwards
 likewise, so that a passage of that size is covered whole wherever it stands.
+Beside them stand the spans that likewise reach two sentences with words and
+``FLOOR_WORDS`` words: every run of several sentences over that floor, which only
+keeps stock phrases out, is covered by such spans that lie inside it.
 The hashes of all spans are joined over the whole corpus; of equal spans the
 first (by doc_id, then place) stays, and every sentence that another one covers
 is removed.  Spans of one text may repeat as well.
@@ -32,6 +35,8 @@ from pyspark.sql.types import LongType, StructType
 from .common import fresh, materialise, tidy
 
 LEAST_WORDS = 25
+#: Runs of two or more sentences need only these.
+FLOOR_WORDS = 8
 END = re.compile(r"(?<=[.!?])\s+|\n+")
 WORD = re.compile(r"\w+")
 
@@ -44,41 +49,33 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return list(zip(edges, edges[1:])) if text else []
 
 
-def runs(text: str, least: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
+def runs(text: str, least: int, floor: int = FLOOR_WORDS) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
     """(hash, first sentence, last sentence) of each distinct span at its first
     place, and (first, last) of those that repeat one of this text."""
     words = [WORD.findall(text[a:b].lower()) for a, b in sentences(text)]
-    n, found = len(words), set()
     size = [len(w) for w in words]
     joined = [" ".join(w) for w in words]
-
-    def add(a: int, b: int) -> None:
-        while not size[a]:
-            a += 1
-        while not size[b]:
-            b -= 1
-        found.add((a, b))
-
-    end = held = 0
-    for a in range(n):  # the span that begins here: its end never moves back
-        while end < n and held < least:
-            held += size[end]
-            end += 1
-        if held < least:
-            break
-        if size[a]:
-            add(a, end - 1)
-        held -= size[a]
-    start, held = n - 1, 0
-    for b in range(n - 1, -1, -1):  # the span that ends here
-        while start >= 0 and held < least:
-            held += size[start]
-            start -= 1
-        if held < least:
-            break
-        if size[b]:
-            add(start + 1, b)
-        held -= size[b]
+    full = [k for k, n in enumerate(size) if n]  # a sentence without words begins and ends no span
+    found = set()
+    for several, need in ((1, least), (2, floor)):
+        end = held = 0
+        for a in range(len(full)):  # the span that begins here: its end never moves back
+            while end < len(full) and (held < need or end - a < several):
+                held += size[full[end]]
+                end += 1
+            if held < need or end - a < several:
+                break
+            found.add((full[a], full[end - 1]))
+            held -= size[full[a]]
+        start, held = len(full) - 1, 0
+        for b in range(len(full) - 1, -1, -1):  # the span that ends here
+            while start >= 0 and (held < need or b - start < several):
+                held += size[full[start]]
+                start -= 1
+            if held < need or b - start < several:
+                break
+            found.add((full[start + 1], full[b]))
+            held -= size[full[b]]
     once: dict[int, tuple[int, int]] = {}
     again = []
     for a, b in sorted(found):
@@ -88,7 +85,7 @@ def runs(text: str, least: int) -> tuple[list[tuple[int, int, int]], list[tuple[
     return [(k, a, b) for k, (a, b) in once.items()], again
 
 
-def spans(docs: DataFrame, least: int) -> DataFrame:
+def spans(docs: DataFrame, least: int, floor: int) -> DataFrame:
     """(doc_id, tag, key, at) of every span of the texts; ``at`` packs its first
     and last sentence, ``key`` is null where the span repeats one of its text."""
     def run(batches):
@@ -97,7 +94,7 @@ def spans(docs: DataFrame, least: int) -> DataFrame:
                 part = b.slice(lo, 256)
                 ids, tags, keys, at = [], [], [], []
                 for i, g, t in zip(*[c.to_pylist() for c in part.columns]):
-                    once, again = runs(t or "", least)
+                    once, again = runs(t or "", least, floor)
                     ids += [i] * (len(once) + len(again))
                     tags += [g] * (len(once) + len(again))
                     keys += [k for k, _, _ in once] + [None] * len(again)
@@ -107,10 +104,10 @@ def spans(docs: DataFrame, least: int) -> DataFrame:
     return docs.mapInArrow(tidy(run), "doc_id long, tag long, key long, at long")
 
 
-def repeated(docs: DataFrame, least: int) -> DataFrame:
+def repeated(docs: DataFrame, least: int, floor: int) -> DataFrame:
     """(g_id, g_tag, removed): the numbers of the sentences of each document
     (doc_id, text) that spans other than the first cover."""
-    all_ = materialise(spans(docs.select("doc_id", F.xxhash64("text").alias("tag"), "text"), least), "spans-all")
+    all_ = materialise(spans(docs.select("doc_id", F.xxhash64("text").alias("tag"), "text"), least, floor), "spans-all")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")
     first = all_.filter("key is not null").groupBy("key").agg(F.min(place).alias("p"), F.count("*").alias("n")).filter("n > 1").select(
         "key", F.col("p.doc_id").alias("first_id"), F.col("p.tag").alias("first_tag"))
@@ -121,14 +118,14 @@ def repeated(docs: DataFrame, least: int) -> DataFrame:
         F.sort_array(F.collect_set("s")).alias("removed"))
 
 
-def dedup(docs: DataFrame, least: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, least: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text", floor: int = FLOOR_WORDS) -> DataFrame:
     """``docs`` with repeated sentences removed from the text, and n_sentences,
     n_removed and removed (the sentences' numbers), which replace columns of
     these names."""
     docs = docs.drop("removed", "n_sentences", "n_removed")
     id_, tag = fresh(docs, "__id"), fresh(docs, "__tag")
     docs = docs.withColumn(text_col, docs[text_col].cast("string"))
-    gone = repeated(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), least).withColumnsRenamed({"g_id": id_, "g_tag": tag})
+    gone = repeated(docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")), least, floor).withColumnsRenamed({"g_id": id_, "g_tag": tag})
     same = docs[id_col].cast("long").eqNullSafe(F.col(id_)) & (F.xxhash64(docs[text_col]) == F.col(tag))
     joined = docs.join(gone, same, "left").drop(id_, tag).withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
 
