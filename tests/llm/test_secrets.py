@@ -87,3 +87,21 @@ def test_redaction_keeps_the_rest(spark):
     got = secrets.redact(docs)
     assert got.columns == docs.columns
     assert sorted((r.text for r in got.collect()), key=str) == sorted((redacted(r.text) for r in docs.collect()), key=str)
+
+
+def test_one_case_keys_and_hits_inside_a_candidate(spark):
+    rng = random.Random(21)
+    low = "k3j9x0q2m5v8b1n7z4w6t0r2y8p5s3d1"
+    up = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(32))
+    mixed = "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWabcdefghijkmnopqrstuvw23456789") for _ in range(40))
+    texts = [f"é {low} y", f"é {up} y", f"docs/example/{low} y", f"EXAMPLE_KEY={up} y", f"docs/Example/{mixed} y", f"{mixed}/example/{mixed} y",
+             "/docs/Example/Path12/ y", "thisplaceisaverylongrow y", "ABCDEFGH0123456789abcdefgh0123456789 y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("entropy")] for r in secrets.scan(docs).collect()}
+    masked = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert spans[0] == [(2, 34)] and spans[1] == [(2, 34)] and masked[0] == masked[1] == "é [SECRET] y"
+    assert masked[2] == "docs/example/[SECRET] y" and up not in masked[3] and masked[3].startswith("EXAMPLE")
+    assert mixed not in masked[4] + masked[5] and "Example" in masked[4] and "example" in masked[5]
+    assert spans[6] == spans[7] == spans[8] == []
+    for k, text in enumerate(texts):  # no span overlaps a hit
+        assert not any(a < m.end() and m.start() < b for a, b in spans[k] for p in secrets.ALLOW[2:] for m in re.finditer(p, text))

@@ -9,8 +9,10 @@ Four kinds of spans, all ``kind:start:end`` in code points, end exclusive:
   date (one comes in, one goes out) and with them the sum of c*log2(c), whose
   distance from the window's log2 is its Shannon entropy; the span runs from
   the first window that reaches the class's threshold to the end of the last.
-  Candidates that an allow-list pattern matches are passed over; the
-  fixed patterns' spans never are.
+  Candidates that an allow-list pattern anchored at the start matches are passed
+  over.  A hit of another allow-list pattern only stops the windows that overlap
+  it: what lies between the hits is gone through piece by piece, each with a span
+  of its own.  The fixed patterns' spans are never passed over.
 
 The sums are whole numbers (c*log2(c) in billionths), so that no rounding
 drifts along a long candidate.  All of a text is scanned, in one pass per
@@ -22,6 +24,7 @@ give equal rows; columns beside id and text are ignored by ``scan`` and kept by
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -54,6 +57,9 @@ CLASSES = (
     CharClass("hex", "0123456789abcdefABCDEF", r"[0-9A-Fa-f]{20,}", ("[0-9]", "[A-Fa-f]"), 3.05),
     CharClass("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-",
               r"[A-Za-z0-9+/_=-]{20,}", ("[0-9]", "[A-Z]", "[a-z]"), 3.65),
+    # base36 and base32 keys; without a letter after f a candidate is the hex class's
+    CharClass("lower", "abcdefghijklmnopqrstuvwxyz0123456789", r"[a-z0-9]{20,}", ("[0-9]", "[g-z]"), 3.4),
+    CharClass("upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", r"[A-Z0-9]{20,}", ("[0-9]", "[G-Z]"), 3.35),
 )
 #: Candidates that are known not to be secrets: UUIDs, subresource digests, the alphabet or digits in order, placeholders.
 ALLOW = (
@@ -62,6 +68,7 @@ ALLOW = (
     r"(?i)abcdefgh|0123456789",
     r"(?i)example|placeholder|changeme|x{6,}",
 )
+FROM_START = re.compile(r"(\(\?\w+\))?\^")
 
 
 def weights(window: int) -> list[int]:
@@ -134,17 +141,32 @@ def windows(candidate: Column, cls: CharClass, window: int) -> Column:
     return F.aggregate(moves, start, step, lambda a: F.struct(a["first"].alias("first"), a["last"].alias("last")))
 
 
+def pieces(candidate: Column, hits: tuple[str, ...]) -> Column:
+    """What lies between the hits of the patterns: array of (start, piece)."""
+    if not hits:
+        return F.array(F.struct(F.lit(0).cast("long").alias("start"), candidate.alias("piece")))
+    pattern = "|".join(f"(?:{p})" for p in hits)
+    long = lambda xs: F.transform(xs, lambda x: F.char_length(x).cast("long"))
+    return let(F.split(candidate, pattern, -1), lambda ps: let(
+        F.concat(F.regexp_extract_all(candidate, F.lit(pattern), F.lit(0)), F.array(F.lit(""))),
+        lambda hs: F.zip_with(running(F.zip_with(long(ps), long(hs), lambda p, h: p + h)), ps, lambda s, p: F.struct(s.alias("start"), p.alias("piece")))))
+
+
 def entropy_spans(text: Column, cls: CharClass, allow: tuple[str, ...], window: int) -> Column:
+    anchored = [p for p in allow if FROM_START.match(p)]
+    inside = tuple(p for p in allow if p not in anchored)
+
     def asked(m: Column) -> Column:
         ok = F.lit(True)
         for need in cls.needs:
             ok = ok & m["hit"].rlike(need)
-        for pattern in allow:
+        for pattern in anchored:
             ok = ok & ~m["hit"].rlike(pattern)
         return ok
 
     # a candidate's windows are gone through once: the filter below looks at their outcome
-    seen = F.transform(F.filter(found(text, cls.pattern), asked), lambda m: F.struct(m["start"].alias("at"), windows(m["hit"], cls, window).alias("w")))
+    seen = F.flatten(F.transform(F.filter(found(text, cls.pattern), asked), lambda m: F.transform(
+        pieces(m["hit"], inside), lambda p: F.struct((m["start"] + p["start"]).alias("at"), windows(p["piece"], cls, window).alias("w")))))
     return F.transform(F.filter(seen, lambda m: m["w"]["first"] >= 0), lambda m: F.struct(
         (m["at"] + m["w"]["first"]).alias("start"), F.lit(KINDS.index("entropy")).alias("kind"),
         (m["at"] + m["w"]["last"] + window).alias("end")))
