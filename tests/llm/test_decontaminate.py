@@ -73,3 +73,13 @@ def test_edge_rows(spark):
     assert {r.n_hit for r in decontaminate.contamination(docs, none).collect()} == {0}
     assert decontaminate.clean(docs, none).count() == docs.count()
     assert decontaminate.contamination(cases.empty(spark), items).count() == 0
+
+
+def test_keys_of_a_long_item_carry_only_the_words_around(spark):
+    words = [f"w{k * 7919 % 3001}" for k in range(3000)]
+    items = spark.createDataFrame([("long", " ".join(words))], "item_id string, text string")
+    keys = decontaminate.item_keys(items, []).collect()
+    assert len(keys) > 100 and max(len(v) for r in keys for v in r if isinstance(v, list)) <= decontaminate.SPAN + 2 * (decontaminate.SPAN - decontaminate.GRAM)
+    texts = [" ".join(words[:10]), " ".join(words[-10:]), "a " + " ".join(words[1500:1530]) + " b", " ".join(words[700:709])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.n_hit for r in decontaminate.contamination(docs, items).collect()} == {0: 10, 1: 10, 2: 30, 3: 0}

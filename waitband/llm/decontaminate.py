@@ -89,17 +89,22 @@ def short_lengths(items: DataFrame) -> list[int]:
 
 
 def item_keys(items: DataFrame, lengths: list[int]) -> DataFrame:
-    """(key, len, item_id, at, words): every kept hash of every item with its
-    places; a short item is one key."""
+    """(key, len, item_id, at, size, from, around): every kept hash of every item
+    with its places, the item's number of words and those around the place from
+    ``from`` on, so that a row stays small however long the item; a short item is
+    one key."""
     rows = items.select("item_id", words_of(F.col("text")).alias("words")).withColumn("h", hashed(F.col("words")))
     runs = rows.filter(F.size("words") >= SPAN).withColumn("runs", grams(F.col("h"), GRAM))
     runs = runs.withColumn("keep", kept(F.col("runs")))
     places = F.transform(F.col("runs"), lambda g, i: F.struct(g.alias("key"), i.alias("at")))
-    long = runs.select("item_id", "words", F.explode(F.filter(places, lambda p: F.array_contains("keep", p["key"]))).alias("p")).select(
-        F.col("p.key").alias("key"), F.lit(SPAN).alias("len"), "item_id", F.col("p.at").alias("at"), "words")
+    lead = lambda p: F.greatest(p["at"] - (SPAN - GRAM), F.lit(0))
+    near = F.transform(F.filter(places, lambda p: F.array_contains("keep", p["key"])), lambda p: F.struct(
+        p["key"].alias("key"), p["at"].alias("at"), lead(p).alias("from"), F.slice(F.col("words"), lead(p) + 1, F.lit(SPAN + (SPAN - GRAM))).alias("around")))
+    long = runs.select("item_id", F.size("words").alias("size"), F.explode(near).alias("p")).select(
+        F.col("p.key").alias("key"), F.lit(SPAN).alias("len"), "item_id", F.col("p.at").alias("at"), "size", F.col("p.from").alias("from"), F.col("p.around").alias("around"))
     for k in lengths:
         one = rows.filter(F.size("words") == k).select(
-            F.element_at(grams(F.col("h"), k), 1).alias("key"), F.lit(k).alias("len"), "item_id", F.lit(0).alias("at"), "words")
+            F.element_at(grams(F.col("h"), k), 1).alias("key"), F.lit(k).alias("len"), "item_id", F.lit(0).alias("at"), F.lit(k).alias("size"), F.lit(0).alias("from"), F.col("words").alias("around"))
         long = long.unionByName(one)
     return long
 
@@ -138,15 +143,16 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     found = F.concat(places(GRAM, SPAN), *[places(k, k) for k in lengths])
     hit = full.select("doc_id", "tag", F.size("words").alias("n"), F.explode(found).alias("p")).select("doc_id", "tag", "n", "p.*")
-    side = keys.select("key", "len", "item_id", F.col("at").alias("item_at"), F.col("words").alias("item_words"))
+    side = keys.select("key", "len", "item_id", F.col("at").alias("item_at"), F.col("size").alias("item_size"),
+                       F.col("from").alias("item_from"), F.col("around").alias("item_around"))
     both = hit.join(fit(side), ["key", "len"])
     # a stretch may begin up to `back` words before the hit: shift 0..back (short items: 0 alone)
     start = lambda s: F.col("at") - s
     shifts = F.sequence(F.lit(0), F.when(F.col("len") == SPAN, back).otherwise(0))
     equal = F.filter(shifts, lambda s: (start(s) >= 0) & (F.col("item_at") >= s) & (start(s) + F.col("len") <= F.col("n"))
-                     & (F.col("item_at") - s + F.col("len") <= F.size("item_words"))
+                     & (F.col("item_at") - s + F.col("len") <= F.col("item_size"))
                      & (F.slice(F.col("around"), start(s) - F.col("from") + 1, F.col("len"))
-                        == F.slice(F.col("item_words"), F.col("item_at") - s + 1, F.col("len"))))
+                        == F.slice(F.col("item_around"), F.col("item_at") - s - F.col("item_from") + 1, F.col("len"))))
     cover = both.select("doc_id", "tag", "item_id", "len", F.explode(F.transform(equal, start)).alias("start")).groupBy("doc_id", "tag").agg(
         F.collect_set(F.struct("start", (F.col("start") + F.col("len")).alias("end"))).alias("cover"),
         F.collect_set(F.col("item_id").cast("string")).alias("items")).withColumnsRenamed({"doc_id": "c_id", "tag": "c_tag"})
