@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: each reads its whole table,
+"""The registered queries of the operators: each reads its whole table,
 applies its operator with production parameters and returns one row per row
 (or per packed row) of the result."""
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import decontaminate, encoding, lines, neardup, packing, secrets, sharding, spans, toxicity, warc
+from . import decontaminate, encoding, lines, neardup, packing, secrets, sharding, simhash, spans, toxicity, warc
 from .bpe import tokenizer_path
 from .oracle import ORACLE  # noqa: F401
 
@@ -65,6 +65,10 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.dedup(docs)
 
 
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_kd_sharding": op1_kd_sharding,
     "op2_bpe": op2_bpe,
@@ -76,4 +80,5 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_sentence_spans": op10_sentence_spans,
+    "op12_simhash": op12_simhash,
 }
