@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import decontaminate, encoding, lines, neardup, packing, secrets, sharding, simhash, spans, toxicity, warc
+from . import decontaminate, encoding, lines, neardup, packing, runs, secrets, sharding, simhash, spans, toxicity, warc
 from .bpe import tokenizer_path
 from .oracle import ORACLE  # noqa: F401
 
@@ -69,6 +69,10 @@ def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op13_repair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_kd_sharding": op1_kd_sharding,
     "op2_bpe": op2_bpe,
@@ -81,4 +85,5 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_sentence_spans": op10_sentence_spans,
     "op12_simhash": op12_simhash,
+    "op13_repair_runs": op13_repair_runs,
 }
