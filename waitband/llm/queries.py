@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import table
-from . import decontaminate, encoding, lines, neardup, packing, runs, secrets, sharding, simhash, spans, toxicity, warc
+from . import decontaminate, encoding, lines, neardup, packing, runs, secrets, sharding, simhash, spans, toxicity, warc, whitening
 from .bpe import tokenizer_path
 from .oracle import ORACLE  # noqa: F401
 
@@ -65,6 +65,10 @@ def op10_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.dedup(docs)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(table(spark, sf_dir, "documents"))
 
@@ -84,6 +88,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_warc": op9_warc,
     "op10_sentence_spans": op10_sentence_spans,
+    "op11_whitening": op11_whitening,
     "op12_simhash": op12_simhash,
     "op13_repair_runs": op13_repair_runs,
 }
