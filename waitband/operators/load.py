@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import PIPELINE_VERSION, raw_columns
 from ..functions.calendar import financial_year, month_code, parse_period, year_of_month
+from ..session import scratch_path
 
 STRAY, UNPARSED = "period of another month", "period does not parse"
 AUDIT_COLUMNS = ("_pipeline_loaded_at", "_source_file", "_financial_year", "_month_code", "_is_revised", "_pipeline_version")
@@ -112,33 +113,102 @@ def load_summary(audit: DataFrame, month_col: str = "_month_code") -> DataFrame:
     )
 
 
+def _folder(spark, path: str):
+    """Hadoop path class and the file system that ``path`` is in."""
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.fs.Path, jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+QUARANTINE_PARTITIONS = ("_month_code", "_source_file")
+_NO_MONTH = "_month_code=__HIVE_DEFAULT_PARTITION__"
+
+
+def replace_quarantine(held: DataFrame, path: str, months: list[str], files: DataFrame) -> None:
+    """Rows held back, in a table partitioned by month and source file.
+
+    A load answers for its own months and files: what earlier loads held back of
+    ``months`` goes, whether or not this load holds rows of them, and so do rows
+    without a month that came from ``files`` (one column).  Rows of all other
+    months and files stay."""
+    spark = held.sparkSession
+    hpath, fs = _folder(spark, path)
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for m in months:
+        fs.delete(hpath(f"{path}/_month_code={escape.escapePathName(m)}"), True)
+    loose = hpath(f"{path}/{_NO_MONTH}")
+    if fs.exists(loose):
+        # files that left rows without a month: as many values as folders here
+        names = [s.getPath().getName() for s in fs.listStatus(loose)]
+        known = spark.createDataFrame([(escape.unescapePathName(n.split("=", 1)[1]), n) for n in names if "=" in n], "file string, folder string")
+        own = files.toDF("f").distinct()
+        for (folder,) in known.join(own, known["file"] == own["f"], "left_semi").select("folder").collect():
+            fs.delete(hpath(f"{path}/{_NO_MONTH}/{folder}"), True)
+    held.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*QUARANTINE_PARTITIONS).parquet(path)
+
+
 def load_months(raw: DataFrame, path: str, loaded_at, months: list[str] | None = None,
                 source_file=None, is_revised=False, month: Column | str | None = None,
                 quarantine_path: str | None = None, rebalance: bool = True) -> DataFrame:
     """Audit -> quarantine -> optional month filter -> month overwrite -> reconcile.
 
+    The source is evaluated once: its marked rows are landed in the shared
+    scratch folder, already apart by month, and the table, the quarantine and the
+    counts are taken from there.  Rows held back replace those of the same months
+    and files in the quarantine table, if given; other months keep theirs.
+
     Returns the per-month audit rows: expected rows, rows in the written table
     and the rows held back, of which those without any month stand in a row of
-    their own (month NULL).  The source is read once for the write and, if
-    given a path, once for the quarantine table; the months' counts come from
-    one narrow aggregation."""
+    their own (month NULL).  A month that was asked for and has no row fails with
+    a row of zeros."""
     a = with_audit(raw, loaded_at, source_file, is_revised, month=month)
     if months:
         wanted = F.lower(F.col("_month_code")).isin([m.lower() for m in months])
         a = a.filter(wanted | F.col("_month_code").isNull())
     spark = a.sparkSession
-    good, held = split_quarantine(a)
-    month_overwrite(good, path, rebalance=rebalance)
+    marked = a.withColumn("_quarantine_reason", quarantine_reason())
+    marked = marked.withColumn("_held", F.col("_quarantine_reason").isNotNull())
+    landed = scratch_path(spark, "month-rows")
+    (marked.hint("rebalance", "_month_code") if rebalance else marked).write.partitionBy("_held", "_month_code").parquet(landed)
+    marked = spark.read.schema(marked.schema).parquet(landed)
+    good, held = marked.filter("not _held").drop("_held", "_quarantine_reason"), marked.filter("_held").drop("_held")
+    month_overwrite(good, path, rebalance=False)  # the landed files hold one month each
+    counts = marked.groupBy("_month_code").agg(
+        F.count(F.lit(1)).cast("bigint").alias("rows_read"), F.sum(F.col("_held").cast("int")).cast("bigint").alias("rows_quarantined"))
     if quarantine_path:
-        held.write.mode("overwrite").parquet(quarantine_path)
-    counts = a.select("_month_code", quarantine_reason().isNotNull().cast("int").alias("held")).groupBy("_month_code").agg(
-        F.count(F.lit(1)).cast("bigint").alias("rows_read"), F.sum("held").cast("bigint").alias("rows_quarantined"))
+        # months of one load: a handful
+        loaded_months = [r[0] for r in counts.filter("_month_code is not null").select("_month_code").collect()]
+        replace_quarantine(held, quarantine_path, loaded_months, marked.select("_source_file"))
     t = spark.read.parquet(path).groupBy("_month_code").agg(F.count(F.lit(1)).cast("bigint").alias("rows_loaded"))
     e = F.col("rows_read") - F.col("rows_quarantined")
-    loaded = F.when(e > 0, F.coalesce("rows_loaded", F.lit(0).cast("bigint"))).otherwise(F.lit(0).cast("bigint"))
+    zero = F.lit(0).cast("bigint")
+    loaded = F.when(e > 0, F.coalesce("rows_loaded", zero)).otherwise(zero)
     # months with nothing to load keep what the table has: that is not this load's count
-    return counts.join(t, "_month_code", "left").select(
+    audit = counts.join(t, "_month_code", "left").select(
         "_month_code", e.alias("rows_expected"), loaded.alias("rows_loaded"), (e == loaded).alias("success"), "rows_quarantined")
+    if not months:
+        return audit
+    found = counts.select(F.lower("_month_code").alias("m"))
+    asked = spark.createDataFrame([(m,) for m in dict.fromkeys(months)], "_month_code string")
+    absent = asked.join(found, F.lower("_month_code") == F.col("m"), "left_anti")
+    return audit.unionByName(absent.select("_month_code", zero.alias("rows_expected"), zero.alias("rows_loaded"), F.lit(False).alias("success"),
+                                           zero.alias("rows_quarantined")))
+
+
+def run_name(run_at) -> Column:
+    """The run that started at ``run_at``, as text that no reader takes for a number."""
+    return F.date_format(F.lit(run_at).cast("timestamp_ntz"), "yyyyMMdd'T'HHmmss")
+
+
+def append_run(rows: DataFrame, path: str, run_at, run_col: str = "_run_at") -> None:
+    """Keep ``rows`` of one run beside those of all earlier runs; a run that is
+    repeated replaces its own."""
+    (rows.withColumn(run_col, run_name(run_at))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run_col).parquet(path))
+
+
+def this_run(kept: DataFrame, run_at, run_col: str = "_run_at") -> DataFrame:
+    """The rows of one run of a table kept by ``append_run``."""
+    return kept.filter(F.col(run_col) == run_name(run_at)).drop(run_col)
 
 
 def exclude_revised(df: DataFrame, flag_col: str = "_is_revised") -> DataFrame:

@@ -289,7 +289,7 @@ def _run_pipeline_months(spark, d):
     blocked = spark.createDataFrame([(m, "blocked") for m in done["months_blocked"]], "_month_code string, status string")
     facts = spark.read.parquet(done["fact"]).groupBy(month_code(F.col("period_date")).alias("_month_code")).agg(
         F.count(F.lit(1)).cast("bigint").alias("fact_rows"))
-    audit = spark.read.parquet(done["load_audit"]).join(facts, "_month_code", "left").withColumn("status", F.lit("loaded"))
+    audit = LD.this_run(spark.read.parquet(done["load_audit"]), P.loaded_at_literal()).join(facts, "_month_code", "left").withColumn("status", F.lit("loaded"))
     return audit.unionByName(blocked, allowMissingColumns=True)
 
 

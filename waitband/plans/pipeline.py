@@ -70,7 +70,8 @@ def run_pipeline(raw_df: DataFrame, out_dir: str, loaded_at=None, rules=None, bl
     idempotent load of the months that pass -> intermediate and fact partitions
     of those months -> SCD2 provider history and snapshot.  Every step writes a
     table under ``out_dir`` (a shared folder), so a failed run restarts from
-    written state.
+    written state.  Results of the suite and the load audit are kept per run
+    (``_run_at``, from ``loaded_at``); a repeated run replaces its own rows.
 
     ``month`` is the month code that the file names (text or column); without
     it a row's own period decides.  Rows without a month, or whose period is of
@@ -79,7 +80,7 @@ def run_pipeline(raw_df: DataFrame, out_dir: str, loaded_at=None, rules=None, bl
     Returns the table paths and the months loaded / blocked."""
     from ..functions.calendar import month_code, parse_period
     from ..operators import quality as DQ
-    from ..operators.load import load_months
+    from ..operators.load import append_run, load_months, this_run
     from ..operators.scd2 import scd2_from_history, write_snapshot
 
     spark = raw_df.sparkSession
@@ -90,8 +91,8 @@ def run_pipeline(raw_df: DataFrame, out_dir: str, loaded_at=None, rules=None, bl
     keyed = raw_df.withColumn("_dq_month", named)
     dq_path, raw_path, held_path = f"{out_dir}/dq_results", f"{out_dir}/raw", f"{out_dir}/quarantine"
     # the rules see the raw columns only (the month key is a grouping column)
-    DQ.run_suite(keyed, rules, by=["_dq_month"]).write.mode("overwrite").parquet(dq_path)
-    gates = DQ.gate(spark.read.parquet(dq_path), by=["_dq_month"]).filter("_dq_month is not null").collect()   # one row per month
+    append_run(DQ.run_suite(keyed, rules, by=["_dq_month"]), dq_path, ts)
+    gates = DQ.gate(this_run(spark.read.parquet(dq_path), ts), by=["_dq_month"]).filter("_dq_month is not null").collect()   # one row per month
     passed = sorted(r["_dq_month"] for r in gates if r["passed"] or not block_on_error)
     blocked = sorted(r["_dq_month"] for r in gates if not (r["passed"] or not block_on_error))
     out = {"dq_results": dq_path, "months_loaded": passed, "months_blocked": blocked}
@@ -99,7 +100,7 @@ def run_pipeline(raw_df: DataFrame, out_dir: str, loaded_at=None, rules=None, bl
         return out
     audit = load_months(raw_df, raw_path, ts, months=passed, source_file=source_file, is_revised=is_revised, month=month,
                         quarantine_path=held_path)
-    audit.write.mode("overwrite").parquet(f"{out_dir}/load_audit")
+    append_run(audit, f"{out_dir}/load_audit", ts)
     landed = spark.read.parquet(raw_path)
     periods = [dt.datetime.strptime(f"01{m}", "%d%b%y").date() for m in passed]
     out.update(materialise(landed, out_dir, ts, months=periods))
