@@ -31,6 +31,7 @@ from ..sources.extract import SPECIALTY_CODES
 from ..sources.tables import table
 from ..operators.fact import KEY_COLUMNS
 from . import fixtures as FX
+from . import history as HI
 from . import pipeline as P
 from . import published as Q
 
@@ -408,5 +409,8 @@ def _supplier_scd2(spark, d):
 QUERIES["scd2_supplier"] = _supplier_scd2
 
 
+QUERIES.update(HI.QUERIES)
+
+
 def queries() -> dict:
     return dict(QUERIES)

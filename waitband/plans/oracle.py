@@ -241,8 +241,9 @@ ORACLES = {
 
 
 def oracle_sql() -> dict[str, str]:
+    from .oracle_history import ORACLES as history
     from .oracle_loads import ORACLES as loads
-    return {k: f() for k, f in (ORACLES | loads).items()}
+    return {k: f() for k, f in (ORACLES | loads | history).items()}
 
 
 # ---------------------------------------------------------------------------
