@@ -75,6 +75,28 @@ def test_transducer_equals_the_definition_and_holds_little(ours):
     assert max(held) <= 2 * ours.transducer.stride < ours.merges.lookahead
 
 
+def test_every_code_point_is_classed_and_lowered_as_by_the_library(theirs, ours):
+    pre = theirs.pre_tokenizer.pre_tokenize_str
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for ch in points:
+        probe = f"a{ch}!"
+        if [*ours.parts(ch)]:  # no white space
+            assert ours.words(probe) == [probe[a:b] for _, (a, b) in pre(probe)], hex(ord(ch))
+    for lo in range(0, len(points), 5000):
+        text = " ".join(f"x{ch}x" for ch in points[lo:lo + 5000])
+        assert [p for p in ours.parts(text) if isinstance(p, str)] == theirs.normalizer.normalize_str(text).split(" ")
+
+
+def test_byte_machine_decodes_every_token(ours):
+    text, pieces = ByteDecoder(ours.merges), ByteDecoder(ours.merges, "pieces")
+    for token, i in ours.merges.vocab.items():
+        if token not in ours.merges.special:
+            assert pieces.piece(i) == token
+    word = "größe🙂"
+    ids = ours.encode(word)
+    assert text.feed_all(ids[:2]) + text.feed_all(ids[2:]) + text.finish() == "größe 🙂 "
+
+
 def test_digests(theirs):
     work = Digester(tokenizer_path())
     for text in samples():
