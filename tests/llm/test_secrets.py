@@ -105,3 +105,25 @@ def test_one_case_keys_and_hits_inside_a_candidate(spark):
     assert spans[6] == spans[7] == spans[8] == []
     for k, text in enumerate(texts):  # no span overlaps a hit
         assert not any(a < m.end() and m.start() < b for a, b in spans[k] for p in secrets.ALLOW[2:] for m in re.finditer(p, text))
+
+
+def test_sql_says_the_same_on_allow_listed_candidates(spark):
+    import duckdb
+    import pyarrow as pa
+
+    from waitband.llm.oracle import ORACLE
+    rng = random.Random(4)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+    key = lambda n: "".join(rng.choice(b64) for _ in range(n))
+    words = ["example", "EXAMPLE_KEY=", "placeholder", "changeme", "xxxxxxxX", "0123456789", "abcdefgh", "docs/", "-", "A1a", "sha256-", "é ", " "]
+    rows = texts() + ["docs/example/k3j9x0q2m5v8b1n7z4w6t0r2y8p5s3d1", "EXAMPLE_KEY=" + key(32), f"{key(40)}/example/{key(40)}", "xxxxxxxxxxxx", None]
+    rows += ["".join(rng.choice(words) if rng.random() < 0.4 else key(rng.randint(5, 40)) for _ in range(rng.randint(1, 7))) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": range(len(rows)), "text": pa.array(rows, pa.string())}))
+    columns = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+    want = sorted(con.sql(f"SELECT {', '.join(columns)} FROM ({ORACLE['op7_secrets']})").fetchall())
+    got = sorted(tuple(r) for r in secrets.scan(df).select(*columns).collect())
+    assert got == want
+    # the case is there: a candidate with a hit inside has spans beside it
+    assert sum("entropy" in r[5] and "example" in (rows[r[0]] or "").lower() for r in got) > 5

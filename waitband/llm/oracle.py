@@ -69,12 +69,19 @@ def secret_scan() -> str:
         found.append(f"SELECT rid, {secrets.KINDS.index(kind)} AS kind, s, s + length(hit) AS e FROM ({places(pattern)}) WHERE {keep}")
     w = secrets.WINDOW
     table = "[" + ", ".join(map(str, secrets.weights(w))) + "]"
+    anchored = [a for a in secrets.ALLOW if secrets.FROM_START.match(a)]
+    inside = quoted("|".join(f"(?:{a})" for a in secrets.ALLOW if a not in anchored))
+    before = lambda xs: f"coalesce(list_sum([length(x) for x in {xs}[1:k-1]]), 0)"
     for cls in secrets.CLASSES:
-        asked = " AND ".join([f"regexp_matches(hit, {quoted(n)})" for n in cls.needs] + [f"NOT regexp_matches(hit, {quoted(a)})" for a in secrets.ALLOW])
+        asked = " AND ".join([f"regexp_matches(hit, {quoted(n)})" for n in cls.needs] + [f"NOT regexp_matches(hit, {quoted(a)})" for a in anchored])
+        # what lies between the hits of the other allow-list patterns, each piece by itself
+        pieces = f"""SELECT rid, (s + {before('g')} + {before('h')})::BIGINT AS s, g[k] AS hit FROM (
+  SELECT rid, s, string_split_regex(hit, {inside}) AS g, regexp_extract_all(hit, {inside}, 0) AS h FROM ({places(cls.pattern)}) WHERE {asked}),
+  unnest(generate_series(1, len(g))) AS v(k)"""
         found.append(f"""
 SELECT rid, {secrets.KINDS.index('entropy')} AS kind, s + min(i) AS s, s + max(i) + {w} AS e FROM (
   SELECT rid, s, i, map_values(list_histogram(string_split(substr(hit, i + 1, {w}), ''))) AS n
-  FROM (SELECT * FROM ({places(cls.pattern)}) WHERE {asked}), unnest(generate_series(0, length(hit) - {w})) AS u(i))
+  FROM ({pieces}), unnest(generate_series(0, length(hit) - {w})) AS u(i))
 WHERE list_sum([({table})[(c + 1)::BIGINT] for c in n]) <= {secrets.most(w, cls.bits)} GROUP BY rid, s""")
     name = "(" + quoted("") + "".join(f" || CASE WHEN kind = {k} THEN '{n}' ELSE '' END" for k, n in enumerate(secrets.KINDS)) + ")"
     text = f"string_agg({name} || ':' || s || ':' || e, ',' ORDER BY s, kind, e)"
