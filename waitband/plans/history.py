@@ -9,7 +9,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import BANDS
+from ..config import BANDS, raw_columns
+from ..functions.calendar import month_code, parse_period
 from ..operators import quality as DQ
 from ..operators import rollup as RU
 from ..operators import sketches as SK
@@ -18,6 +19,7 @@ from ..operators.fact import fact_performance
 from ..operators.pathways import incomplete_pathways
 from ..operators.staging import staging
 from ..session import scratch_path
+from ..streaming import completeness as CO
 from . import pipeline as P
 from . import published as Q
 
@@ -167,7 +169,38 @@ def _rolled_up(spark: SparkSession, d: str) -> str:
     return base
 
 
+def _landed_in_parts(spark: SparkSession, d: str) -> str:
+    """Every month in three parts over two runs (a third of January is late), then
+    January once more as a complete revision, whose first part had come early."""
+    base = scratch_path(spark, "parts")
+    where = (f"{base}/landing", f"{base}/table", f"{base}/checkpoint")
+    keyed = P.raw(spark, d).withColumn("_month_code", month_code(parse_period(F.col("Period"))))
+    base_rows = scratch_path(spark, "parts-rows")
+    keyed.withColumn("__part", F.pmod(F.xxhash64("Provider Org Code"), F.lit(3)).cast("int") + 1).write.parquet(base_rows)
+    rows = spark.read.parquet(base_rows)
+    months = [r[0] for r in rows.select("_month_code").distinct().collect()]  # six
+    part = lambda df, k: df.filter(F.col("__part") == k).drop("__part")
+    revised = rows.filter((F.col("_month_code") == "Jan26") & ~F.coalesce(F.col("Commissioner Org Code") == LEFT_OUT, F.lit(False)))
+    CO.land_part(part(rows, 1), where[0], 1, 1, 3, months=months)
+    CO.land_part(part(rows, 2), where[0], 1, 2, 3, months=months)
+    CO.land_part(part(revised, 1), where[0], 2, 1, 3, months=["Jan26"])
+    CO.publish_available(spark, *where, P.loaded_at_literal())
+    CO.land_part(part(rows, 3), where[0], 1, 3, 3, months=months)
+    CO.publish_available(spark, *where, P.loaded_at_literal())
+    CO.land_part(part(revised, 3), where[0], 2, 3, 3, months=["Jan26"])
+    CO.land_part(part(revised, 2), where[0], 2, 2, 3, months=["Jan26"])
+    CO.publish_available(spark, *where, P.loaded_at_literal())
+    return where[1]
+
+
+def stateful_publication(spark: SparkSession, d: str) -> DataFrame:
+    """All rows of the published table, every source column as landed."""
+    cols = [F.col(f"`{c}`") for c in raw_columns()]
+    return spark.read.parquet(_landed_in_parts(spark, d)).select(*cols, "_month_code", "_is_revised")
+
+
 QUERIES = {
+    "stateful_publication": stateful_publication,
     "wait_sketch_rollups": wait_sketch_rollups,
     "profile_from_sketches": profile_from_sketches,
     "providers_across_months": providers_across_months,

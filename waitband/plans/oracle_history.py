@@ -3,7 +3,7 @@ the revised extract, so a match says that the state lost nothing."""
 
 from __future__ import annotations
 
-from ..config import BANDS
+from ..config import BANDS, raw_columns
 from ..sources.extract import raw_extract_sql
 from . import oracle as O
 
@@ -57,7 +57,14 @@ def over_revised(query) -> str:
     return text.replace(plain, REVISED_RAW)
 
 
+def q_stateful_publication() -> str:
+    cols = ", ".join(f'cast("{c}" as varchar) as "{c}"' for c in raw_columns())
+    day = "strptime(replace(replace(\"Period\", 'RTT-', ''), '-', ' '), '%B %Y')"
+    return f"select {cols}, strftime({day}, '%b%y') as _month_code, \"Period\" = 'RTT-January-2026' as _is_revised from ({REVISED_RAW})"
+
+
 ORACLES = {
+    "stateful_publication": q_stateful_publication,
     "wait_sketch_rollups": q_wait_sketch_rollups,
     "profile_from_sketches": q_profile_from_sketches,
     "providers_across_months": q_providers_across_months,
