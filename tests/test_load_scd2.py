@@ -185,3 +185,35 @@ def test_run_pipeline_gates_months(spark):
     report_only = run_pipeline(raw, scratch_path(spark, "test-run"), dt.datetime(2026, 2, 1), rules=rules,
                                block_on_error=False)
     assert report_only["months_loaded"] == ["Dec25", "Jan26"]
+
+
+def test_sorted_asof_equals_the_range_join(spark):
+    import random
+    rng = random.Random(4)
+    day = lambda k: dt.date(2024, 1, 1) + dt.timedelta(days=k)
+    versions, facts = [], [("a", None, -1), (None, day(3), -2), ("ghost", day(5), -3)]
+    for key in ("a", "b", "c"):
+        starts = sorted(rng.sample(range(900), 40 if key == "a" else 5))
+        for s, e in zip(starts, [*starts[1:], None]):
+            closed = e if e is None or rng.random() < 0.7 else rng.randint(s + 1, e)  # some versions end before the next
+            versions.append((key, day(s), None if closed is None else day(closed), f"{key}{s}"))
+        facts += [(key, day(rng.randint(-20, 1000)), i) for i in range(300)]
+    v = spark.createDataFrame(versions, "k string, valid_from date, valid_to date, name string")
+    f = spark.createDataFrame(facts, "k string, t date, i int").repartition(7)
+    want = sorted(map(tuple, SCD.asof_join(f, v, "k", "t", ["name"]).collect()), key=str)
+    for unit in ("month", "year", "day"):
+        assert sorted(map(tuple, SCD.asof_sorted(f, v, "k", "t", ["name"], slice_unit=unit).collect()), key=str) == want
+
+
+def test_sorted_asof_splits_a_hot_key_by_time(spark):
+    """10,000 versions and 50,000 facts of one key: every window sees a slice."""
+    v = spark.range(10_000).select(F.lit("hot").alias("k"), F.expr("timestamp_ntz'2020-01-01 00:00:00' + make_interval(0, 0, 0, 0, id, 0, 0)").alias("valid_from"),
+                                   F.lit(None).cast("timestamp_ntz").alias("valid_to"), F.col("id").alias("n"))
+    f = spark.range(50_000).select(F.lit("hot").alias("k"), F.expr("timestamp_ntz'2020-01-01 00:30:00' + make_interval(0, 0, 0, 0, id div 5, id % 5, 0)").alias("t"),
+                                   F.col("id"))
+    out = SCD.asof_sorted(f, v, "k", "t", ["n"])
+    assert out.filter("asof_n <> id div 5").count() == 0 and out.count() == 50_000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "Join" not in plan
+    slices = f.groupBy(F.date_trunc("month", "t")).count().agg(F.max("count")).first()[0]
+    assert slices < 4_000

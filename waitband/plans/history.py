@@ -13,12 +13,14 @@ from ..config import BANDS, raw_columns
 from ..functions.calendar import month_code, parse_period
 from ..operators import quality as DQ
 from ..operators import rollup as RU
+from ..operators import scd2 as SCD
 from ..operators import sketches as SK
 from ..operators.distribution import aggregate_bands
 from ..operators.fact import fact_performance
 from ..operators.pathways import incomplete_pathways
 from ..operators.staging import staging
 from ..session import scratch_path
+from ..sources.tables import table
 from ..streaming import completeness as CO
 from . import pipeline as P
 from . import published as Q
@@ -199,7 +201,30 @@ def stateful_publication(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(_landed_in_parts(spark, d)).select(*cols, "_month_code", "_is_revised")
 
 
+def asof_latest_order(spark: SparkSession, d: str) -> DataFrame:
+    """Each line's latest order of the same customer at its ship date; a third of
+    all customers count as one, a hot key with thousands of versions."""
+    hot = lambda c: F.when(F.col(c) % 3 == 0, F.lit(0)).otherwise(F.col(c)).cast("bigint").alias("customer")
+    day = lambda c: F.to_date(c)
+    orders = table(spark, d, "orders").select("o_orderkey", hot("o_custkey"), day("o_orderdate").alias("valid_from"))
+    versions = orders.groupBy("customer", "valid_from").agg(F.min("o_orderkey").alias("order_key"))
+    versions = versions.withColumn("valid_to", F.lit(None).cast("date"))
+    lines = table(spark, d, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), day("l_shipdate").alias("shipped"))
+    facts = lines.join(orders.select("o_orderkey", "customer"), F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+    return SCD.asof_sorted(facts, versions, "customer", "shipped", ["order_key"])
+
+
+def asof_provider_sorted(spark: SparkSession, d: str) -> DataFrame:
+    """The providers' names at each fact's month, by the sorted pass."""
+    attrs = ["provider_org_name", "provider_parent_org_code", "provider_parent_name"]
+    history = SCD.scd2_from_history(P.stg(spark, d), "provider_org_code", attrs)
+    fact = P.fact(spark, d).select("rtt_performance_id", "period_date", "provider_org_code", "provider_org_name")
+    return SCD.asof_sorted(fact, history, "provider_org_code", "period_date", attrs[:2])
+
+
 QUERIES = {
+    "asof_latest_order": asof_latest_order,
+    "asof_provider_sorted": asof_provider_sorted,
     "stateful_publication": stateful_publication,
     "wait_sketch_rollups": wait_sketch_rollups,
     "profile_from_sketches": profile_from_sketches,

@@ -63,7 +63,22 @@ def q_stateful_publication() -> str:
     return f"select {cols}, strftime({day}, '%b%y') as _month_code, \"Period\" = 'RTT-January-2026' as _is_revised from ({REVISED_RAW})"
 
 
+def q_asof_latest_order() -> str:
+    hot = "cast(case when o_custkey % 3 = 0 then 0 else o_custkey end as bigint)"
+    return f"""with o as (select o_orderkey, {hot} as customer, cast(o_orderdate as date) as day from orders),
+v as (select customer, day, min(o_orderkey) as order_key from o group by customer, day),
+f as (select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, cast(l_shipdate as date) as shipped, customer from lineitem join o on l_orderkey = o_orderkey)
+select f.l_orderkey, f.l_linenumber, f.shipped, f.customer, v.order_key as asof_order_key
+from f asof left join v on f.customer = v.customer and f.shipped >= v.day"""
+
+
+def _asof_provider() -> str:
+    return O.ORACLES["asof_provider_name"]()
+
+
 ORACLES = {
+    "asof_latest_order": q_asof_latest_order,
+    "asof_provider_sorted": _asof_provider,
     "stateful_publication": q_stateful_publication,
     "wait_sketch_rollups": q_wait_sketch_rollups,
     "profile_from_sketches": q_profile_from_sketches,
