@@ -10,6 +10,7 @@ from ..functions.calendar import calendar_attrs
 from ..functions.keys import surrogate_key
 from ..functions.metrics import breach_severity, rag_status
 from ..sources.seed import treatment_functions
+from .pathways import CARRIED
 
 KEY_COLUMNS = ("period_date", "provider_org_code", "commissioner_org_code", "treatment_function_code")
 FACT_COLUMNS = (
@@ -61,7 +62,7 @@ def fact_performance(int_df: DataFrame, seed: DataFrame | None = None,
         rag_status("pct_within_18_weeks", th).alias("rag_status"),
         breach_severity("patients_waiting_over_104_weeks", "patients_waiting_52_plus_weeks",
                         "patients_beyond_18_weeks").alias("breach_severity"),
-        "_loaded_at", "_source",
+        "_loaded_at", "_source", *[c for c in CARRIED if c in int_df.columns],
     )
     return out
 

@@ -16,12 +16,14 @@ ENTITY = ("provider_org_code", "treatment_function_code")
 def entity_month_panel(fact: DataFrame, entity=ENTITY, th: Thresholds = THRESHOLDS) -> DataFrame:
     """One row per entity (trust x specialty) per month: summed counts,
     weighted percentage and standard flag.  The fact grain also carries the
-    commissioner; summing first gives each window partition one row per month."""
+    commissioner; summing first gives each window partition one row per month.
+    Where the fact marks revised rows, a month with any is marked."""
+    marks = [F.max("_is_revised").alias("_is_revised")] if "_is_revised" in fact.columns else []
     g = fact.groupBy(*entity, "period_date").agg(
         F.sum("total_incomplete").cast("bigint").alias("total_incomplete"),
         F.sum("patients_within_18_weeks").cast("bigint").alias("patients_within_18_weeks"),
         F.sum("patients_waiting_52_plus_weeks").cast("bigint").alias("patients_waiting_52_plus_weeks"),
-        F.max(F.col("is_surgical").cast("int")).cast("boolean").alias("is_surgical"))
+        F.max(F.col("is_surgical").cast("int")).cast("boolean").alias("is_surgical"), *marks)
     ratio = safe_ratio("patients_within_18_weeks", "total_incomplete")
     return g.select("*", F.round(ratio, 1).alias("pct_within_18_weeks"),
                     (ratio >= th.standard_pct).alias("meets_18_week_standard"))

@@ -14,6 +14,8 @@ DIMENSIONS = (
     "commissioner_parent_org_code", "commissioner_parent_name", "commissioner_org_code",
     "commissioner_org_name", "treatment_function_code", "treatment_function_name",
 )
+#: Loader columns that go on to the mart where the rows have them.
+CARRIED = ("_is_revised",)
 METRICS = ("total_incomplete", "patients_within_18_weeks", "patients_beyond_18_weeks",
            "patients_waiting_52_plus_weeks", "patients_waiting_over_104_weeks",
            "pct_within_18_weeks", "meets_18_week_standard")
@@ -47,5 +49,5 @@ def incomplete_pathways(stg: DataFrame, th: Thresholds = THRESHOLDS, bands: Band
         *DIMENSIONS,
         F.col("total_all").alias("total_incomplete"),
         *METRICS[1:],
-        "_loaded_at", "_source",
+        "_loaded_at", "_source", *[c for c in CARRIED if c in m.columns],
     )

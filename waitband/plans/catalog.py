@@ -300,6 +300,7 @@ def _staging_rows(spark, d):
 
 QUERIES.update({
     "zip_csv_scan": _zip_scan,
+    "zip_csv_rows": lambda spark, d: AR.zip_csv_scan(spark, _make_archives(spark, d), raw_columns()).drop("_source_file", "_scan_error"),
     "file_manifest": _file_manifest,
     "pick_month_file": _pick_month_file,
     "archive_load_audit": _archive_load_audit,

@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 
 from ..config import BANDS, raw_columns
 from ..functions.calendar import month_code, parse_period
+from ..operators import features as FE
+from ..operators import load as LD
+from ..operators import models as MD
 from ..operators import quality as DQ
 from ..operators import rollup as RU
 from ..operators import scd2 as SCD
+from ..operators import series as SE
 from ..operators import sketches as SK
 from ..operators.distribution import aggregate_bands
 from ..operators.fact import fact_performance
@@ -222,7 +226,26 @@ def asof_provider_sorted(spark: SparkSession, d: str) -> DataFrame:
     return SCD.asof_sorted(fact, history, "provider_org_code", "period_date", attrs[:2])
 
 
+def breach_training_unrevised(spark: SparkSession, d: str) -> DataFrame:
+    """The training rows where October's publication was a revision: the flag goes
+    from the loaded rows through every layer, and October is left out."""
+    raw = P.raw(spark, d).withColumn("_is_revised", F.col("Period") == "RTT-October-2025")
+    return MD.breach_training_rows(FE.breach_features(FE.entity_month_panel(_fact(raw))))
+
+
+def raw_csv_typed(spark: SparkSession, d: str) -> DataFrame:
+    """The extract written as CSV, read back as text and typed by staging: every
+    row and column."""
+    path = scratch_path(spark, "raw-csv")
+    P.raw(spark, d).write.option("header", True).csv(path)
+    return staging(LD.read_raw_csv(spark, path), loaded_at=P.loaded_at_literal())
+
+
 QUERIES = {
+    "breach_training_unrevised": breach_training_unrevised,
+    "raw_csv_typed": raw_csv_typed,
+    "change_points": lambda spark, d: SE.change_points(FE.entity_month_panel(P.fact(spark, d))),
+    "smoothing_forecast": lambda spark, d: SE.smoothing_forecast(FE.entity_month_panel(P.fact(spark, d))),
     "asof_latest_order": asof_latest_order,
     "asof_provider_sorted": asof_provider_sorted,
     "stateful_publication": stateful_publication,

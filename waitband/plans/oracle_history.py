@@ -76,7 +76,67 @@ def _asof_provider() -> str:
     return O.ORACLES["asof_provider_name"]()
 
 
+def _raw_text(more: str) -> str:
+    cols = ", ".join(f'cast("{c}" as varchar) as "{c}"' for c in raw_columns())
+    return f"select {cols}, {more} from ({raw_extract_sql('duckdb')})"
+
+
+def q_zip_csv_rows() -> str:
+    return _raw_text("strftime(strptime(replace(replace(\"Period\", 'RTT-', ''), '-', ' '), '%B %Y'), '%b%y') || '.csv' as _csv_member")
+
+
+def q_breach_training_unrevised() -> str:
+    from .oracle_loads import q_breach_training_rows
+    text, labelled = q_breach_training_rows(), "where target_meets_next_month is not null"
+    if labelled not in text:
+        raise ValueError("the training rows are not where they were")
+    return text.replace(labelled, f"{labelled} and period_date <> date '2025-10-01'")
+
+
+def q_change_points() -> str:
+    """Every way to cut every series: a bit of ``m`` for each month after the first
+    says that a segment begins there."""
+    return O.with_base("""select provider_org_code, treatment_function_code, ps[starts[k] + 1] as period_date, round(means[k - 1], 4) as mean_before,
+ round(means[k], 4) as mean_after, round(means[k] - means[k - 1], 4) as shift
+from (select * from scored qualify row_number() over (partition by provider_org_code, treatment_function_code
+  order by round(total, 6), list_reverse(starts)) = 1) best, unnest(generate_series(2, len(starts))) as u(k)""", O._panel_cte() + """,
+ser as (select provider_org_code, treatment_function_code, list(period_date order by period_date) as ps, list(pct_within_18_weeks order by period_date) as vs
+ from panel where pct_within_18_weeks is not null group by all having count(*) >= 4),
+cut as (select ser.*, m, len(vs) as n, list_prepend(0, [i for i in generate_series(1, len(vs) - 1) if (m >> (i - 1)) & 1 = 1]) as starts
+ from ser, unnest(generate_series(0, (1 << (len(vs) - 1)) - 1)) as u(m)),
+part as (select *, [starts[k + 1] - starts[k] for k in generate_series(1, len(starts) - 1)] as own, n - starts[len(starts)] as tail from cut),
+fit as (select * from part where tail >= 2 and len([x for x in own if x < 2]) = 0),
+scored as (select *, [list_sum(vs[starts[k] + 1 : case when k < len(starts) then starts[k + 1] else n end])
+    / (case when k < len(starts) then starts[k + 1] else n end - starts[k]) for k in generate_series(1, len(starts))] as means,
+  25.0 * (len(starts) - 1) + list_sum([list_sum([v * v for v in vs[starts[k] + 1 : case when k < len(starts) then starts[k + 1] else n end]])
+    - list_sum(vs[starts[k] + 1 : case when k < len(starts) then starts[k + 1] else n end])
+      * list_sum(vs[starts[k] + 1 : case when k < len(starts) then starts[k + 1] else n end])
+      / (case when k < len(starts) then starts[k + 1] else n end - starts[k]) for k in generate_series(1, len(starts))]) as total from fit)""")
+
+
+def q_smoothing_forecast() -> str:
+    return O.with_base("""select provider_org_code, treatment_function_code, cast(last + to_months(h::int) as date) as period_date, alpha, mae, forecast
+from (select provider_org_code, treatment_function_code, max(period_date) as last, alpha, round(sum(abs(v - before)) / (count(*) - 1), 6) as mae,
+   round(max(case when k = n then level end), 6) as forecast
+  from steps group by provider_org_code, treatment_function_code, alpha
+  qualify row_number() over (partition by provider_org_code, treatment_function_code order by mae, alpha) = 1) b, unnest([1, 2, 3]) as u(h)""",
+                       O._panel_cte() + """,
+pts as (select provider_org_code, treatment_function_code, period_date, cast(total_incomplete as double) as v,
+  row_number() over w as k, count(*) over (partition by provider_org_code, treatment_function_code) as n
+ from panel where total_incomplete is not null window w as (partition by provider_org_code, treatment_function_code order by period_date)),
+steps as (select p.*, a.alpha, l.level, lag(l.level) over (partition by p.provider_org_code, p.treatment_function_code, a.alpha order by p.k) as before
+ from pts p, (select x / 10.0::double as alpha from generate_series(1, 9) as g(x)) a,
+ lateral (select list_reduce(list_prepend(min(q.v) filter (q.k = 1), list(q.v order by q.k) filter (q.k between 2 and p.k)), lambda x, y: x + a.alpha * (y - x)) as level
+  from pts q where q.provider_org_code = p.provider_org_code and q.treatment_function_code = p.treatment_function_code) l
+ where p.n >= 4)""")
+
+
 ORACLES = {
+    "zip_csv_rows": q_zip_csv_rows,
+    "raw_csv_typed": lambda: O.with_base("select * from stg2"),
+    "breach_training_unrevised": q_breach_training_unrevised,
+    "change_points": q_change_points,
+    "smoothing_forecast": q_smoothing_forecast,
     "asof_latest_order": q_asof_latest_order,
     "asof_provider_sorted": _asof_provider,
     "stateful_publication": q_stateful_publication,
