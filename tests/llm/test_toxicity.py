@@ -79,3 +79,46 @@ def test_edge_rows(spark):
     assert toxicity.keep_clean(docs, model).columns == docs.columns
     assert toxicity.keep_clean(docs, model).count() == docs.count()
     assert toxicity.score(cases.empty(spark), toxicity.train(cases.empty(spark), none.limit(0))).count() == 0
+
+
+def test_a_labelled_id_in_many_rows_does_not_break_the_bound(spark):
+    docs = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("text "), (F.col("id") % 30_000).cast("string")).alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(i, f"other {i}") for i in range(50)], "doc_id long, text string"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, label int")
+    sample = toxicity.sampled(docs, labels, 12_000)
+    assert sample.count() == 12_000 and sample.select("doc_id", "text").distinct().count() == 12_000
+    few = toxicity.sampled(docs, labels, 10).collect()
+    assert len(few) == 10
+    # one row per text where there is room
+    once = docs.filter("text < 'text 100'").unionByName(docs.filter("text < 'text 100'"))
+    assert toxicity.sampled(once, labels, 12_000).count() == once.select("doc_id", "text").distinct().count()
+
+
+def test_grades_are_out_of_fold_and_severity_ranks_held_out_documents(spark):
+    rng = random.Random(12)
+    words = ["".join(rng.choice("aeiourstnlm") for _ in range(rng.randint(2, 8))) for _ in range(400)]
+    bad = [f"vile{c}" for c in "abcdefghijklmnopqrst"]
+    rows = []
+    for i in range(2400):
+        n = rng.randint(20, 200)
+        strength = rng.choice([0, 0, 0, 0.03, 0.1, 0.25])
+        rows.append((i, " ".join(rng.choice(bad) if rng.random() < strength else rng.choice(words) for _ in range(n)), strength))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(s > 0)) for i, _, s in rows if i % 2], "doc_id long, label int")
+    sample = toxicity.sampled(docs, labels, toxicity.SAMPLE)
+    grades = toxicity.graded(sample)
+    toxic = {i: s for i, _, s in rows if i % 2 and s > 0}
+    assert set(grades) == set(toxic) and set(grades.values()) == {1, 2, 3}
+    # the grade follows how dense the words are, not how many there are: short texts are not graded down
+    lengths = {i: len(t.split()) for i, t, _ in rows}
+    order = lambda xs: np.argsort(np.argsort(xs))
+    ids = sorted(toxic)
+    by_strength = np.corrcoef(order([grades[i] for i in ids]), order([toxic[i] for i in ids]))[0, 1]
+    by_length = np.corrcoef(order([grades[i] for i in ids]), order([lengths[i] for i in ids]))[0, 1]
+    assert by_strength > 0.6 and by_length < 0.3
+    # a document's own label does not reach its grade
+    half = {r.doc_id: r.half for r in sample.collect()}
+    assert 0.4 < np.mean(list(half.values())) < 0.6
+    out = {r.doc_id: r.expected_severity for r in toxicity.score(docs, toxicity.train(docs, labels)).collect()}
+    held = [(out[i], s) for i, _, s in rows if i % 2 == 0 and s > 0]
+    assert np.corrcoef(order([h[0] for h in held]), order([h[1] for h in held]))[0, 1] > 0.5

@@ -6,16 +6,20 @@ vector for all thresholds, which stay in order because their distances are
 exponentials.  The output is the expected grade, the likeliest grade and
 P(grade >= 1), the verdict.
 
-Fitting uses a bounded sample: at most ``SAMPLE`` labelled documents, those of
-least id hash.  They are joined by broadcast (the bound makes that safe), their
+Fitting uses a bounded sample: at most ``SAMPLE`` distinct pairs of a labelled id
+and a text, those of least id hash; an id that stands in any number of rows
+counts once per text.  Ids are joined by broadcast (the bound makes that safe), their
 features counted per class in Spark, and only the at most ``FEATURES`` that tell
 the classes apart beyond chance (G2 of at least ``LEAST_G2``, and found in toxic
 documents most of the time) reach the driver, with the sample's rows in sparse form.  Scoring runs over every document, whole
 texts, without a shuffle.
 
 Grades.  ``fit`` takes whole-number grades from 0.  Where labels only say toxic
-or not, ``graded`` makes them: 0 for clean, and 1 to 3 for toxic by thirds of
-how many distinct words of the document carry a feature of the toxic class.
+or not, ``graded`` makes them out of fold: the sample is dealt into two halves,
+each half's telling features are found, and a toxic document gets 1 to 3 by
+thirds of its *density*, the share of its distinct words that carry a telling
+feature of the other half.  So neither a document's own label nor its length
+makes its grade, and the regression is not given its own regressors as grades.
 
 A null or empty text scores by the thresholds alone.  Documents without a label,
 labels without a document and null labels are not fitted on; a document labelled
@@ -34,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import narrow, tidy
+from .common import materialise, narrow, tidy
 
 SAMPLE = 12_000
 FEATURES = 4_096
@@ -95,10 +99,15 @@ def fit(rows: list[tuple[list[int], int]], width: int, grades: int, rounds: int
 
 
 def sampled(docs: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
-    """(doc_id, text, label) of the sample."""
+    """(doc_id, text, label, half) of the sample: at most ``limit`` rows."""
+    order = F.xxhash64("doc_id"), F.col("doc_id")
     marked = narrow(labels, {"doc_id": "long", "label": "int"}).filter("doc_id is not null and label is not null").groupBy(
-        "doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return narrow(docs, {"doc_id": "long", "text": "string"}).join(F.broadcast(marked), "doc_id")
+        "doc_id").agg(F.max("label").alias("label")).orderBy(*order).limit(limit)
+    rows = narrow(docs, {"doc_id": "long", "text": "string"}).join(F.broadcast(marked), "doc_id").withColumn("tag", F.xxhash64("text"))
+    # an id in many rows: which of its texts count is settled on ids and hashes, before any text moves
+    taken = rows.select("doc_id", "tag").distinct().orderBy(*order, "tag").limit(limit)
+    one = rows.join(F.broadcast(taken), ["doc_id", "tag"]).groupBy("doc_id", "tag", "label").agg(F.min("text").alias("text"))
+    return one.select("doc_id", "text", "label", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int").alias("half"))
 
 
 def telling(sample: DataFrame, most: int) -> list[int]:
@@ -128,39 +137,62 @@ def telling(sample: DataFrame, most: int) -> list[int]:
 
 
 def columns_of(sample: DataFrame, columns: dict[int, int]) -> list[tuple]:
-    """(doc_id, label, columns present, distinct words that carry one) of the sample's rows, in id order."""
+    """(doc_id, label, columns present) of the sample's rows, in id order."""
     def run(batches):
         for b in batches:
             out = []
             for i, t, label in zip(b.column(0), b.column(1), b.column(2)):
-                own = [[columns[f] for f in features(w) if f in columns] for w in set(WORD.findall((t.as_py() or "").lower()))]
-                out.append((i.as_py(), label.as_py(), sorted({c for cs in own for c in cs}), sum(map(bool, own))))
-            cols = list(zip(*out)) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.list_(pa.int32())),
-                                              pa.array(cols[3], pa.int32())], ["doc_id", "label", "columns", "hot"])
+                words = set(WORD.findall((t.as_py() or "").lower()))
+                out.append((i.as_py(), label.as_py(), sorted({columns[f] for w in words for f in features(w) if f in columns})))
+            cols = list(zip(*out)) if out else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.list_(pa.int32()))],
+                                             ["doc_id", "label", "columns"])
 
-    rows = sample.select("doc_id", "text", "label").mapInArrow(tidy(run), "doc_id long, label int, columns array<int>, hot int")
-    return sorted((tuple(r) for r in rows.collect()), key=lambda r: (r[0], r[3], r[2]))
+    rows = sample.select("doc_id", "text", "label").mapInArrow(tidy(run), "doc_id long, label int, columns array<int>")
+    return sorted((tuple(r) for r in rows.collect()), key=lambda r: (r[0], r[2]))
 
 
-def graded(rows: list[tuple]) -> list[tuple[list[int], int]]:
-    """Grades for 0/1 labels: toxic documents by thirds of their number of telling words."""
-    counts = sorted(r[3] for r in rows if r[1] > 0)
-    cuts = [counts[len(counts) * k // LEVELS] for k in range(1, LEVELS)] if counts else []
-    return [(r[2], 0 if r[1] <= 0 else 1 + sum(r[3] >= c for c in cuts)) for r in rows]
+def densities(sample: DataFrame, found: set[int]) -> dict[int, float]:
+    """doc_id -> share of its distinct words that carry a feature of ``found``, the
+    largest over its texts."""
+    def run(batches):
+        for b in batches:
+            share = []
+            for t in b.column(1):
+                words = set(WORD.findall((t.as_py() or "").lower()))
+                share.append(sum(not found.isdisjoint(features(w)) for w in words) / len(words) if words else 0.0)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(share, pa.float64())], ["doc_id", "share"])
+
+    out: dict[int, float] = {}
+    for i, share in sample.select("doc_id", "text").mapInArrow(tidy(run), "doc_id long, share double").collect():
+        out[i] = max(share, out.get(i, 0.0))
+    return out
+
+
+def graded(sample: DataFrame) -> dict[int, int]:
+    """Grades 1 to ``LEVELS`` of the sample's toxic documents: thirds of their
+    density under the telling features of the half that they are not in."""
+    grades: dict[int, int] = {}
+    for half in (0, 1):
+        other = set(telling(sample.filter(F.col("half") != half), FEATURES))
+        dense = densities(sample.filter((F.col("half") == half) & (F.col("label") > 0)), other)
+        ranked = sorted(dense.values())
+        cuts = [ranked[len(ranked) * k // LEVELS] for k in range(1, LEVELS)] if ranked else []
+        grades |= {i: 1 + sum(d >= c for c in cuts) for i, d in dense.items()}
+    return grades
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE, binary: bool = True) -> Model:
     """Fit on ``labels`` (doc_id, label).  ``binary``: labels are 0 or 1 and get
     grades from ``graded``; otherwise they are the grades."""
-    sample = sampled(docs, labels, limit)
+    sample = materialise(sampled(docs, labels, limit), "toxicity-sample")
     columns = {f: k for k, f in enumerate(telling(sample, FEATURES))}
     if not columns:
         return Model()
     found = columns_of(sample, columns)
-    rows = graded(found) if binary else [(r[2], max(0, r[1])) for r in found]
-    grades = max(g for _, g in rows) + 1
-    return Model(columns, *fit(rows, len(columns), grades))
+    grade = graded(sample) if binary else {}
+    rows = [(c, grade.get(i, 1) if binary and label > 0 else max(0, label)) for i, label, c in found]
+    return Model(columns, *fit(rows, len(columns), max(g for _, g in rows) + 1))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
