@@ -71,3 +71,15 @@ def test_repeated_rows_windows_and_empty(spark, monkeypatch):
         assert sum(r.n_tokens for r in rows) == total
         assert len({(r.group, r.row) for r in rows}) == len(rows)
     assert packing.pack(cases.empty(spark), packing.default_path()).count() == 0
+
+
+def test_written_matrices_read_back(spark):
+    from waitband.session import scratch_path
+    docs = spark.createDataFrame([(i, f"text number {i} " * (1 + i % 40)) for i in range(120)], "doc_id long, text string")
+    packed = packing.pack(docs, packing.default_path(), capacity=64)
+    path = scratch_path(spark, "matrices")
+    packing.write_matrices(packed, path)
+    back = spark.read.parquet(path)
+    assert all(len(r.ids) == 64 * 2 for r in back.select("ids").collect())
+    key = lambda r: (r.doc_id, r.start, r.ids)
+    assert sorted(packing.unpack(back).collect(), key=key) == sorted(packing.unpack(packed).collect(), key=key)

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 from waitband.llm import sharding
@@ -48,3 +49,43 @@ def test_ordinates_keep_the_order(spark):
     df = spark.createDataFrame([(n,) for n in names], "n string").select("n", sharding.ordinate(F.col("n"), "string").alias("o"))
     got = [r.n for r in df.orderBy("o", "n").collect()]
     assert got == [None, *sorted(names[:-1], key=lambda n: n.encode())]
+
+
+def by_definition(points, shards):
+    """{id: shard}: points are (id, size, coordinates), no two with an equal coordinate."""
+    axes = range(len(points[0][2]))
+    span = [max(1, max(p[2][i] for p in points) - min(p[2][i] for p in points)) for i in axes]
+
+    def split(own, first, k):
+        if k == 1 or not own:
+            return {p[0]: first for p in own}
+        widest = max(axes, key=lambda i: ((max(p[2][i] for p in own) - min(p[2][i] for p in own)) / span[i], -i))
+        want, left, right = sum(p[1] for p in own) * (k // 2) / k, [], []
+        for p in sorted(own, key=lambda p: p[2][widest]):
+            # the point that the quantile falls into goes to the side that holds more of it
+            (left if want > p[1] / 2 else right).append(p)
+            want -= p[1]
+        return split(left, first, k // 2) | split(right, first + k // 2, k - k // 2)
+
+    return split(points, 0, shards)
+
+
+def test_splits_are_weighted_medians_along_the_widest_dimension(spark):
+    rng = random.Random(3)
+    n = 150
+    sizes, a, b = (rng.sample(range(9, 9 + spread), n) for spread in (400, 90_000, 3_000_000))
+    b = [x // 1000 if k % 2 else x for k, x in enumerate(b)]
+    b = [x if b.count(x) == 1 else 10 ** 7 + k for k, x in enumerate(b)]
+    docs = spark.createDataFrame([(k, "x" * (s - 8), p, q) for k, (s, p, q) in enumerate(zip(sizes, a, b))], "doc_id long, text string, a long, b long").repartition(6)
+    for shards in (2, 3, 8, 13):
+        got = {r.doc_id: r.shard for r in sharding.kd_shards(docs, shards=shards, dims=("a", "b")).collect()}
+        assert got == by_definition([(k, sizes[k], (sizes[k], a[k], b[k])) for k in range(n)], shards), shards
+
+
+def test_hosts_that_begin_alike_still_part_the_shards(spark):
+    docs = spark.createDataFrame([(i, "t" * 40, f"www.example{i % 500:04d}.org") for i in range(4000)], "doc_id long, text string, source string")
+    where = {}
+    for r in sharding.kd_shards(docs, shards=16).collect():
+        where.setdefault(r.doc_id % 500, set()).add(r.shard)
+    assert sum(map(len, where.values())) / len(where) < 1.2
+    assert sharding.shared("www.a", "www.b") == 4 and sharding.shared("x", "x") == 1 and sharding.shared(None, "x") == 0

@@ -53,3 +53,17 @@ def test_files_cut_into_small_ranges(spark):
         assert round_trip(spark, rows) == expected(rows)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_records_carry_the_mandatory_fields(spark):
+    from waitband.session import scratch_path
+    pages = spark.createDataFrame([(1, "http://a", "same"), (2, "http://b", "same"), (3, "http://c", None)], "page_id long, url string, html string")
+    path = scratch_path(spark, "warc-fields")
+    warc.write(pages, path, taken_at="2026-01-02T03:04:05Z")
+    records = [r for f in spark.read.text(path, wholetext=True).collect() for r in f.value.split("WARC/1.1\r\n")[1:]]
+    assert len(records) == 3
+    for r in records:
+        for name in ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"):
+            assert r.count(f"{name}: ") == 1, name
+        assert "WARC-Date: 2026-01-02T03:04:05Z" in r
+        assert ("WARC-Profile: " in r) == ("WARC-Type: revisit" in r) == ("WARC-Refers-To: <urn:page:2>" in r)

@@ -1,7 +1,8 @@
 """K-d tree sharding (operator 1).
 
-The rows' metadata dimensions are numbers (strings by their first six bytes,
-which keep their order).  A node that stands for ``k`` leaves is split along
+The rows' metadata dimensions are numbers.  Strings count by the six bytes after
+the beginning that all values of their column share (hosts that all begin with
+www., say), which keeps their order; strings that agree there too are ties.  A node that stands for ``k`` leaves is split along
 the dimension in which it is widest, measured against the whole table, at the
 weighted quantile that gives ``k // 2`` leaves their share of the bytes (the
 median if ``k`` is even); leaves reach the target size together.
@@ -36,10 +37,17 @@ NUMBERED = 5_000
 BROADCAST_ROWS = 100_000
 
 
-def ordinate(c: Column, kind: str) -> Column:
-    """A dimension as a whole number that keeps the order."""
+def shared(least: str | None, greatest: str | None) -> int:
+    """Bytes that all values between two strings begin with."""
+    a, b = (least or "").encode(), (greatest or "").encode()
+    return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def ordinate(c: Column, kind: str, skip: int = 0) -> Column:
+    """A dimension as a whole number that keeps the order; ``skip`` bytes are the
+    same in all strings."""
     if kind == "string":
-        head = F.rpad(F.substring(F.hex(F.encode(c, "UTF-8")), 1, 12), 12, "0")
+        head = F.rpad(F.substring(F.hex(F.encode(c, "UTF-8")), 1 + 2 * skip, 12), 12, "0")
         return F.coalesce(F.conv(head, 16, 10).cast("long"), F.lit(-1).cast("long"))
     return F.coalesce(c.cast("long"), F.lit(-1).cast("long"))
 
@@ -47,11 +55,14 @@ def ordinate(c: Column, kind: str) -> Column:
 def measured(docs: DataFrame, id_col: str, text_col: str, dims: list[str]) -> DataFrame:
     """Narrow rows: id, size, checksum, dimensions, what parts ties, and the root node."""
     kinds = dict(docs.dtypes)
+    texts = [d for d in dims if kinds[d] == "string"]
+    ends = docs.agg(*[f(docs[d]) for d in texts for f in (F.min, F.max)]).first() if texts else ()
+    skip = {d: shared(ends[2 * k], ends[2 * k + 1]) for k, d in enumerate(texts)}
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     size = (F.octet_length(text) + 8).cast("long")
     return docs.select(
         docs[id_col].cast("long").alias("doc_id"), size.alias("size"), F.crc32(text).alias("text_crc32"),
-        F.array(size, *[ordinate(docs[d], kinds[d]) for d in dims]).alias("x"),
+        F.array(size, *[ordinate(docs[d], kinds[d], skip.get(d, 0)) for d in dims]).alias("x"),
     ).withColumn("tie", F.xxhash64("doc_id", "text_crc32", "x").bitwiseAND(F.lit(TOP))).withColumn("row", F.monotonically_increasing_id()).withColumn("node", F.lit(0))
 
 

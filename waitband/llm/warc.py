@@ -31,6 +31,8 @@ from .common import let, materialise
 
 VERSION = "WARC/1.1\r\n"
 END = "\r\n\r\n"
+#: Fixed value: how a revisit says that its payload equals an earlier one.
+REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Fixed value: the RFC 4648 base32 alphabet.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 #: Revisits up to which their table (under 100 bytes a row) is broadcast to the writers.
@@ -46,9 +48,10 @@ def base32_sha1(data: Column) -> Column:
     return let(F.sha1(data), lambda h: F.concat(*[group(h, g) for g in range(8)]))
 
 
-def write(pages: DataFrame, path: str, min_revisit: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
+def write(pages: DataFrame, path: str, min_revisit: int = 0, taken_at: str = "1970-01-01T00:00:00Z", id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
     """Write the pages' records below ``path``.  Payloads of fewer than
-    ``min_revisit`` bytes are always responses."""
+    ``min_revisit`` bytes are always responses.  ``taken_at`` is the records' date
+    (the pages do not say when they were taken)."""
     payload = F.coalesce(pages[html_col].cast("string"), F.lit(""))
     rows = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].cast("string").alias("url"), payload.alias("payload"))
     keyed = rows.select("page_id", base32_sha1(F.encode("payload", "UTF-8")).alias("digest"), F.octet_length("payload").alias("n"))
@@ -70,7 +73,8 @@ def write(pages: DataFrame, path: str, min_revisit: int = 0, id_col: str = "page
                        F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace("url", r"[\x00-\x1f]", "")),
                        F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest")),
                        F.concat(F.lit("X-Payload-Length: "), F.octet_length("payload").cast("string")),
-                       F.when(again, F.concat(F.lit("WARC-Refers-To: "), name(F.col("response")))),
+                       F.concat(F.lit("WARC-Date: "), F.lit(taken_at)),
+                       F.when(again, F.concat(F.lit(f"WARC-Profile: {REVISIT_PROFILE}\r\nWARC-Refers-To: "), name(F.col("response")))),
                        F.lit("Content-Type: text/html"),
                        F.concat(F.lit("Content-Length: "), F.octet_length(body).cast("string")))
     rows.select(F.concat(head, F.lit(END), body)).write.option("lineSep", END).option("maxRecordsPerFile", 100_000).text(path)
