@@ -17,9 +17,11 @@ texts, without a shuffle.
 Grades.  ``fit`` takes whole-number grades from 0.  Where labels only say toxic
 or not, ``graded`` makes them out of fold: the sample is dealt into two halves,
 each half's telling features are found, and a toxic document gets 1 to 3 by
-thirds of its *density*, the share of its distinct words that carry a telling
-feature of the other half.  So neither a document's own label nor its length
-makes its grade, and the regression is not given its own regressors as grades.
+thirds of how many of its distinct words carry a telling feature of the other
+half.  So a document's own label has no part in what makes its grade.  (Shares
+of its words instead of their number made grades that no sum over features can
+order: on the check tool's small input a quarter of the toxic documents was
+then missed.)
 
 A null or empty text scores by the thresholds alone.  Documents without a label,
 labels without a document and null labels are not fitted on; a document labelled
@@ -152,33 +154,30 @@ def columns_of(sample: DataFrame, columns: dict[int, int]) -> list[tuple]:
     return sorted((tuple(r) for r in rows.collect()), key=lambda r: (r[0], r[2]))
 
 
-def densities(sample: DataFrame, found: set[int]) -> dict[int, float]:
-    """doc_id -> share of its distinct words that carry a feature of ``found``, the
-    largest over its texts."""
+def counted(sample: DataFrame, found: set[int]) -> dict[int, int]:
+    """doc_id -> distinct words that carry a feature of ``found``, the most over its
+    texts."""
     def run(batches):
         for b in batches:
-            share = []
-            for t in b.column(1):
-                words = set(WORD.findall((t.as_py() or "").lower()))
-                share.append(sum(not found.isdisjoint(features(w)) for w in words) / len(words) if words else 0.0)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(share, pa.float64())], ["doc_id", "share"])
+            n = [sum(not found.isdisjoint(features(w)) for w in set(WORD.findall((t.as_py() or "").lower()))) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], ["doc_id", "n"])
 
-    out: dict[int, float] = {}
-    for i, share in sample.select("doc_id", "text").mapInArrow(tidy(run), "doc_id long, share double").collect():
-        out[i] = max(share, out.get(i, 0.0))
+    out: dict[int, int] = {}
+    for i, n in sample.select("doc_id", "text").mapInArrow(tidy(run), "doc_id long, n long").collect():
+        out[i] = max(n, out.get(i, 0))
     return out
 
 
 def graded(sample: DataFrame) -> dict[int, int]:
     """Grades 1 to ``LEVELS`` of the sample's toxic documents: thirds of their
-    density under the telling features of the half that they are not in."""
+    number of words that are telling in the half that they are not in."""
     grades: dict[int, int] = {}
     for half in (0, 1):
         other = set(telling(sample.filter(F.col("half") != half), FEATURES))
-        dense = densities(sample.filter((F.col("half") == half) & (F.col("label") > 0)), other)
-        ranked = sorted(dense.values())
+        words = counted(sample.filter((F.col("half") == half) & (F.col("label") > 0)), other)
+        ranked = sorted(words.values())
         cuts = [ranked[len(ranked) * k // LEVELS] for k in range(1, LEVELS)] if ranked else []
-        grades |= {i: 1 + sum(d >= c for c in cuts) for i, d in dense.items()}
+        grades |= {i: 1 + sum(n >= c for c in cuts) for i, n in words.items()}
     return grades
 
 
