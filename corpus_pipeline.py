@@ -5,6 +5,12 @@ passages go, secrets are masked, and what is left is encoded.
 Each stage takes the documents that the one before it kept and returns their
 columns (the last one ids and digests), so a stage can be run again from the
 table its predecessor wrote.
+
+Null and empty texts are not toxic, are no near copies, hold nothing and are
+encoded to no ids; they stay.  Very long texts are worked on whole.  Rows that
+are repeated with equal id and text are one near-duplicate class, of which one
+stays; a null doc_id stays null.  Further columns, whatever their names, are
+carried to the last stage but one.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
