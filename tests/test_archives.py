@@ -123,3 +123,41 @@ def test_both_csv_readers_read_the_same(spark):
     zipped = AR.zip_csv_scan(spark, base, raw_columns()).select(*[F.col(f"`{c}`") for c in raw_columns()])
     assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, zipped.collect()), key=str)
     assert {r[0] for r in plain.select("Provider Org Code").collect()} == {"NA", "ABC", "null"}
+
+
+def test_mounted_archives_are_never_loaded_whole(spark):
+    import contextlib
+    base = scratch_path(spark, "test-piecewise")
+    local = base[len("file:"):] if base.startswith("file:") else base
+    os.makedirs(local)
+    data = {"a b%20c#1.zip": _zip_bytes({"a.csv": _csv([("RTT-January-2026", "ABC", "7")])}), "no.zip": b"nothing"}
+    for name, content in data.items():
+        with open(os.path.join(local, name), "wb") as f:
+            f.write(content)
+    scan, manifest = AR.zip_csv_scan(spark, base, ["Total All"]), AR.file_manifest(spark, base)
+    for df in (scan, manifest):
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain("formatted")
+        read = [line for line in out.getvalue().splitlines() if line.startswith("ReadSchema")]
+        assert len(read) == 1 and "path" in read[0] and "content" not in read[0]
+    assert [r[0] for r in scan.filter("_scan_error is null").collect()] == ["7"]
+    listed = spark.read.format("binaryFile").load(base).select("path", "modificationTime", "length", "content").toArrow()
+    for make in (AR._probe_fn, lambda mounted: AR._unzip_fn(["Total All"], 1 << 20, mounted)):
+        by_name, by_bytes = ([r for b in make(mounted)(listed.combine_chunks().to_batches()) for r in b.to_pylist()] for mounted in (True, False))
+        assert by_name == by_bytes and len(by_name) == 2
+    assert {r.filename: r.is_zip for r in manifest.collect()} == {"a b%20c#1.zip": True, "no.zip": False}
+
+
+def test_archive_holds_every_part_once_under_one_header(spark):
+    from waitband.plans import fixtures as FX
+    base = scratch_path(spark, "test-packing")
+    rows = spark.range(0, 40, 1, 5).selectExpr("cast(id as string) x", "case when id % 2 = 0 then 'Jan26' else 'Dec25' end m")
+    FX.write_zip_archives(rows, f"{base}/out", "m", f"{base}/csv")
+    local = FX.local_folder(base)
+    assert len([f for f in os.listdir(f"{local}/csv/__m=Jan26") if f.endswith(".csv")]) == 5   # each task writes its own rows
+    for month, first in (("Jan26", 0), ("Dec25", 1)):
+        with zipfile.ZipFile(f"{local}/out/{month}/{month}_full.zip") as z:
+            assert z.namelist() == [f"{month}.csv"]
+            header, *body = z.read(f"{month}.csv").decode().splitlines()
+        assert header == "x" and sorted(map(int, body)) == list(range(first, 40, 2))

@@ -9,20 +9,31 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import unsorted_write
 
-def _zip_fn(out_dir: str, name: str):
+
+def _zip_fn(staging_dir: str, out_dir: str, name: str, folders: list[str]):
+    """One archive per folder ``__m=<month>`` of CSV files, named by its place in
+    ``folders``; the files pass through in pieces, the header comes once."""
     def fn(batches):
+        import shutil
         import zipfile
 
         import pyarrow as pa
         for b in batches:
             done = []
-            for content, month in zip(b.column("content").to_pylist(), b.column("month").to_pylist()):
+            for i in b.column("id").to_pylist():
+                source = os.path.join(staging_dir, folders[i])
+                month = folders[i].split("=", 1)[1]
                 folder = os.path.join(out_dir, month)
                 os.makedirs(folder, exist_ok=True)
                 target = os.path.join(folder, name.format(month=month))
-                with zipfile.ZipFile(target, "w", compression=zipfile.ZIP_DEFLATED) as z:
-                    z.writestr(f"{month}.csv", content)
+                with zipfile.ZipFile(target, "w", compression=zipfile.ZIP_DEFLATED) as z, z.open(f"{month}.csv", "w", force_zip64=True) as out:
+                    for k, part in enumerate(sorted(p for p in os.listdir(source) if p.endswith(".csv"))):
+                        with open(os.path.join(source, part), "rb") as f:
+                            if k:
+                                f.readline()
+                            shutil.copyfileobj(f, out, 1 << 20)
                 done.append(target)
             yield pa.RecordBatch.from_arrays([pa.array(done, pa.string())], names=["archive"])
     return fn
@@ -36,14 +47,17 @@ def local_folder(path: str) -> str:
 
 
 def write_zip_archives(df: DataFrame, out_dir: str, month_col: str, staging_dir: str, name: str = "{month}_full.zip") -> None:
-    """One ZIP with one CSV per month under ``out_dir/<month>/``."""
-    target = local_folder(out_dir)
-    (df.withColumn("__m", F.col(f"`{month_col}`")).drop(month_col).repartition("__m").write.mode("overwrite")
-     .option("header", True).partitionBy("__m").csv(staging_dir))
-    parts = (df.sparkSession.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-             .option("recursiveFileLookup", "true").load(staging_dir)
-             .select("content", F.regexp_extract("path", r"__m=([^/]+)/", 1).alias("month")))
-    parts.mapInArrow(_zip_fn(target, name), "archive string").write.format("noop").mode("overwrite").save()
+    """One ZIP with one CSV per month under ``out_dir/<month>/``.  Every task
+    writes its rows as CSV by month; then a task per month packs the month's files."""
+    target, staged = local_folder(out_dir), local_folder(staging_dir)
+    spark = df.sparkSession
+    with unsorted_write(spark):
+        (df.withColumn("__m", F.col(f"`{month_col}`")).drop(month_col).write.mode("overwrite")
+         .option("header", True).partitionBy("__m").csv(staging_dir))
+    folders = sorted(f for f in os.listdir(staged) if f.startswith("__m="))  # months of one extract: a handful
+    if folders:
+        (spark.range(0, len(folders), 1, len(folders)).mapInArrow(_zip_fn(staged, target, name, folders), "archive string")
+         .write.format("noop").mode("overwrite").save())
 
 
 def add_bad_archives(out_dir: str, months: tuple[str, str, str]) -> None:

@@ -1,15 +1,16 @@
 """ZIP/CSV archives and file manifests.
 
-Reading: ``binaryFile`` lists and loads archives (any Hadoop file system), then
-``mapInArrow`` unzips each inside the task that loaded it and streams the first
-CSV member through pyarrow's CSV reader as Arrow batches of strings.  ZIP is not
-splittable; a task holds the archives that Spark packs into one partition, at
-most ``spark.sql.files.maxPartitionBytes`` or a single larger archive.  An
-archive that can not be read gives one row with the error, so it fails alone.
+Reading: ``binaryFile`` lists the archives, then ``mapInArrow`` opens each by
+its name inside a task and streams the first CSV member through pyarrow's CSV
+reader as Arrow batches of strings, so a task holds a block of an archive, never
+the whole.  That needs a mounted folder; from other storage ``binaryFile`` also
+loads the bytes, and a task holds one archive at a time.  ZIP is not splittable:
+an archive is one task's work.  An archive that can not be read gives one row
+with the error, so it fails alone.
 
 Manifests: size, modification time, MD5 of the bytes, ZIP magic, CSV member
-names and the year/month encoded in the path - computed next to the bytes
-and the content column dropped right after.
+names and the year/month encoded in the path, all in the task that reads the
+file, piece by piece where it is mounted.
 """
 
 from __future__ import annotations
@@ -27,9 +28,28 @@ ZIP_MAGIC = bytes([0x50, 0x4B, 0x03, 0x04])
 # Task-side functions are closures that reference only the standard
 # library and pyarrow, so executors do not need this package installed.
 
-def _unzip_fn(columns: list[str], block_size: int):
-    def fn(batches):
+def _listed(spark: SparkSession, path: str | list[str], glob: str) -> tuple[DataFrame, bool]:
+    """(a row per archive, are they on a mounted folder).  Archives elsewhere come
+    with their bytes as ``content``; those of a mounted folder are opened by name."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", "true").load(path))
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    first = path if isinstance(path, str) else path[0]
+    return files, jvm.org.apache.hadoop.fs.Path(first).getFileSystem(conf).getUri().getScheme() == "file"
+
+
+def _archive_opener(mounted: bool):
+    """How a task opens the archive of a listed row."""
+    def opened(path: str, content):
         import io
+        return open("/" + path.removeprefix("file:").lstrip("/"), "rb") if mounted else io.BytesIO(content)
+    return opened
+
+
+def _unzip_fn(columns: list[str], block_size: int, mounted: bool):
+    opened = _archive_opener(mounted)
+
+    def fn(batches):
         import zipfile
         import zlib
 
@@ -46,10 +66,10 @@ def _unzip_fn(columns: list[str], block_size: int):
             return pa.RecordBatch.from_arrays([pa.array([v], pa.string()) for v in row], schema=out_schema)
 
         for b in batches:
-            for path, content in zip(b.column("path"), b.column("content")):
-                path, member = path.as_py(), None
+            for i, path in enumerate(b.column("path").to_pylist()):
+                member = None
                 try:
-                    with zipfile.ZipFile(io.BytesIO(content.as_py())) as z:
+                    with opened(path, None if mounted else b.column("content")[i].as_py()) as raw, zipfile.ZipFile(raw) as z:
                         members = sorted(n for n in z.namelist() if n.lower().endswith(".csv"))
                         if not members:
                             yield failed(path, None, "No CSV file inside archive")
@@ -73,27 +93,43 @@ def zip_csv_scan(spark: SparkSession, path: str | list[str], columns: list[str],
     ``_source_file``, ``_csv_member`` and ``_scan_error``, of every archive below
     ``path`` or of the given files.  An archive that can not be read (to its
     end) gives a row that holds just its name and the error."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", "true").load(path).select("path", "content"))
+    files, mounted = _listed(spark, path, glob)
+    files = files.select("path", *([] if mounted else ["content"]))
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "_source_file", "_csv_member", "_scan_error"]])
-    return files.mapInArrow(_unzip_fn(list(columns), block_size), schema)
+    return files.mapInArrow(_unzip_fn(list(columns), block_size, mounted), schema)
 
 
-def _csv_members_udf():
-    def members(content):  # pandas Series of bytes -> Series of lists
-        import io
+def _probe_fn(mounted: bool):
+    opened = _archive_opener(mounted)
+
+    def fn(batches):
+        import hashlib
         import zipfile
 
-        import pandas as pd
+        import pyarrow as pa
+
+        def probe(path, content):
+            with opened(path, content) as f:
+                md5, head = hashlib.md5(), f.read(4)
+                md5.update(head)
+                while piece := f.read(1 << 20):
+                    md5.update(piece)
+                f.seek(0)
+                try:
+                    with zipfile.ZipFile(f) as z:
+                        members = sorted(n for n in z.namelist() if n.lower().endswith(".csv"))
+                except zipfile.BadZipFile:
+                    members = []
+            return md5.hexdigest(), head, members
 
-        def one(b):
-            try:
-                with zipfile.ZipFile(io.BytesIO(b)) as z:
-                    return sorted(n for n in z.namelist() if n.lower().endswith(".csv"))
-            except zipfile.BadZipFile:
-                return []
-        return pd.Series([one(b) for b in content])
-    return F.pandas_udf(members, T.ArrayType(T.StringType()))
+        for b in batches:
+            found = [probe(p, None if mounted else b.column("content")[i].as_py()) for i, p in enumerate(b.column("path").to_pylist())]
+            md5s, heads, members = ([r[k] for r in found] for k in range(3))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("path"), b.column("modificationTime"), b.column("length"), pa.array(md5s, pa.string()), pa.array(heads, pa.binary()),
+                 pa.array(members, pa.list_(pa.string()))],
+                names=["path", "modificationTime", "length", "md5_checksum", "head", "csv_files_inside_zip"])
+    return fn
 
 
 def file_manifest(spark: SparkSession, path: str, glob: str = "*.zip",
@@ -102,8 +138,9 @@ def file_manifest(spark: SparkSession, path: str, glob: str = "*.zip",
     members, the month that its path names, the financial year (of the path or
     else of the month), where it belongs in the raw layout, and, if given, the
     URL prefix it came from and when it was taken."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", "true").load(path))
+    files, mounted = _listed(spark, path, glob)
+    files = files.select("path", "modificationTime", "length", *([] if mounted else ["content"])).mapInArrow(
+        _probe_fn(mounted), "path string, modificationTime timestamp, length long, md5_checksum string, head binary, csv_files_inside_zip array<string>")
     name = F.element_at(F.split("path", "/"), -1)
     month = month_of_path(F.col("path"))
     rows = files.select(
@@ -111,9 +148,9 @@ def file_manifest(spark: SparkSession, path: str, glob: str = "*.zip",
         name.alias("filename"),
         F.col("length").alias("file_size_bytes"),
         "modificationTime",
-        F.md5("content").alias("md5_checksum"),
-        (F.substring("content", 1, 4) == F.lit(ZIP_MAGIC)).alias("is_zip"),
-        _csv_members_udf()("content").alias("csv_files_inside_zip"),
+        "md5_checksum",
+        (F.col("head") == F.lit(ZIP_MAGIC)).alias("is_zip"),
+        "csv_files_inside_zip",
         F.coalesce(F.nullif(F.regexp_extract("path", year_regex, 1), F.lit("")), year_of_month(month)).alias("financial_year"),
         month.alias("month_code"),
     )
