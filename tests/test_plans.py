@@ -105,3 +105,34 @@ def test_gaps_read_the_rows_once(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
+
+
+def test_spread_is_dealt_by_rows(spark, monkeypatch):
+    from waitband.sources import extract as EX
+    assert [EX.spread_partitions(n, 1) for n in (0, 1, EX.SPREAD_ROWS, EX.SPREAD_ROWS + 1, 40 * EX.SPREAD_ROWS)] == [1, 1, 1, 2, 40]
+    assert [EX.spread_partitions(n, 8) for n in (1, EX.SPREAD_ROWS // 2, EX.SPREAD_ROWS)] == [1, 5, 8]
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    monkeypatch.setattr(EX, "SPREAD_ROWS", -(-lines // 17))   # more than there are cores
+    assert P.raw(spark, SF_SMALL).rdd.getNumPartitions() == EX.spread_partitions(lines, spark.sparkContext.defaultParallelism) >= 17   # not merged by bytes
+
+
+def test_month_writes_do_not_sort_the_rows(spark, tmp_path, monkeypatch):
+    """Many months in each task: no sort of the wide rows before the files."""
+    from waitband import session as SE
+    from waitband.streaming import ingest as ING
+    rows = spark.range(0, 600, 1, 3).selectExpr("cast(id as string) x", "concat('M', id % 6) _month_code")
+    seen = []
+    before = SE.unsorted_write
+
+    def watched(s, *args):
+        seen.append(True)
+        return before(s, *args)
+
+    monkeypatch.setattr(ING, "unsorted_write", watched)
+    ING.land_csv(rows, str(tmp_path / "landing"), 1)
+    month_overwrite(rows, str(tmp_path / "table"))
+    month_overwrite(rows.filter("_month_code = 'M1'").limit(7), str(tmp_path / "table"))
+    got = {r[0]: r[1] for r in spark.read.parquet(str(tmp_path / "table")).groupBy("_month_code").count().collect()}
+    assert seen and got == {f"M{i}": 7 if i == 1 else 100 for i in range(6)}
+    assert spark.conf.get(SE._WRITERS, "0") == "0"   # as it was
+    assert len(list((tmp_path / "landing" / "_month_code=M1" / "_landing_version=1").glob("*.csv"))) <= 1
