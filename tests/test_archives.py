@@ -161,3 +161,27 @@ def test_archive_holds_every_part_once_under_one_header(spark):
             assert z.namelist() == [f"{month}.csv"]
             header, *body = z.read(f"{month}.csv").decode().splitlines()
         assert header == "x" and sorted(map(int, body)) == list(range(first, 40, 2))
+
+
+def test_reader_holds_a_part_of_an_archive(tmp_path, monkeypatch):
+    import inspect
+
+    import pyarrow as pa
+    rows = "".join(f"RTT-January-2026,P{i:05d},{i}\n" for i in range(100_000))
+    text = "Period,Provider Org Code,Total All\n" + rows * 22   # 62 MB
+    (tmp_path / "a.zip").write_bytes(_zip_bytes({"a.csv": text}))
+    taken, read = [0], zipfile.ZipExtFile.read
+
+    def counted(self, n=-1):
+        out = read(self, n)
+        taken[0] += len(out)
+        return out
+
+    monkeypatch.setattr(zipfile.ZipExtFile, "read", counted)
+    listed = pa.RecordBatch.from_pydict({"path": [f"file:{tmp_path}/a.zip"]})
+    block = inspect.signature(AR.zip_csv_scan).parameters["block_size"].default
+    batches = AR._unzip_fn(["Total All"], block, True)([listed])
+    n = next(batches).num_rows
+    time.sleep(1)
+    assert n and taken[0] < 40 << 20   # what is read ahead while the first batch is worked on
+    assert n + sum(b.num_rows for b in batches) == 2_200_000 and taken[0] == len(text)

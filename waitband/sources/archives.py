@@ -76,7 +76,10 @@ def _unzip_fn(columns: list[str], block_size: int, mounted: bool):
                             continue
                         member = members[0]  # deterministic choice; the load audit names the others
                         with z.open(member) as f:
-                            for rb in pcsv.open_csv(f, read_options=pcsv.ReadOptions(block_size=block_size), convert_options=convert):
+                            # every task has its core; threads would hold parsed blocks for each core
+                            blocks = pcsv.open_csv(f, read_options=pcsv.ReadOptions(block_size=block_size, use_threads=False),
+                                                   convert_options=convert)
+                            for rb in blocks:
                                 n, names = rb.num_rows, rb.schema.names
                                 arrays = [rb.column(names.index(c)).cast(pa.string()) if c in names
                                           else pa.nulls(n, pa.string()) for c in columns]
@@ -88,11 +91,12 @@ def _unzip_fn(columns: list[str], block_size: int, mounted: bool):
 
 
 def zip_csv_scan(spark: SparkSession, path: str | list[str], columns: list[str], glob: str = "*.zip",
-                 block_size: int = 1 << 22) -> DataFrame:
+                 block_size: int = 1 << 20) -> DataFrame:
     """All declared ``columns`` as strings (missing ones NULL) plus
     ``_source_file``, ``_csv_member`` and ``_scan_error``, of every archive below
     ``path`` or of the given files.  An archive that can not be read (to its
-    end) gives a row that holds just its name and the error."""
+    end) gives a row that holds just its name and the error.  A CSV row must fit
+    into ``block_size`` bytes; the reader takes some 32 blocks ahead."""
     files, mounted = _listed(spark, path, glob)
     files = files.select("path", *([] if mounted else ["content"]))
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "_source_file", "_csv_member", "_scan_error"]])
