@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from waitband.llm import bagminhash, graph, neardup
 
@@ -150,3 +151,22 @@ def test_keep_first_and_edge_rows(spark):
     texts = [r.text for r in kept.collect() if r.text and neardup.WORD.search(r.text)]
     assert len(texts) == len(set(texts)) == len({r.text for r in docs.collect() if r.text and neardup.WORD.search(r.text)})
     assert neardup.classes(cases.empty(spark)).count() == 0 and neardup.keep_first(cases.empty(spark)).count() == 0
+
+
+def test_texts_pass_to_python_in_small_batches(spark, monkeypatch):
+    from waitband.session import BATCH_ROWS
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    def first_job(df, name):
+        raise RuntimeError(f"{name} {spark.conf.get(key)}")
+
+    monkeypatch.setattr(neardup, "materialise", first_job)
+    try:
+        for own, want in ((10_000, BATCH_ROWS), (0, BATCH_ROWS), (7, 7)):   # a caller's smaller batches stay
+            spark.conf.set(key, str(own))
+            with pytest.raises(RuntimeError, match=f"^neardup-rows {want}$"):
+                neardup.classified(cases.documents(spark))
+            assert spark.conf.get(key) == str(own)
+    finally:
+        spark.conf.set(key, before)

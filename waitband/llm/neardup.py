@@ -39,6 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import small_batches
 from .bagminhash import GOLD, mixed, signatures
 from .common import fresh, materialise, tidy
 from .graph import components
@@ -48,8 +49,8 @@ SIMILAR = 0.8
 BANDS, BAND_ROWS = 32, 6
 #: Nodes of a bucket up to which its pairs across components are verified directly.
 SMALL = 16
-#: Elements whose signatures are worked out together.
-BLOCK = 200_000
+#: Elements whose signatures are worked out together, and documents cut into runs together.
+BLOCK, ROWS = 50_000, 256
 WORD = re.compile(r"\w+")
 SCHEMA = "row long, doc_id long, tag long, hi long, lo long, bands array<long>, bag binary"
 
@@ -95,8 +96,8 @@ def signed(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for lo in range(0, b.num_rows, 2048):
-                part = b.slice(lo, 2048)
+            for lo in range(0, b.num_rows, ROWS):
+                part = b.slice(lo, ROWS)
                 texts = part.column(3).to_pylist()
                 runs = [shingles(t or "") for t in texts]
                 digests = [xxhash.xxh3_128_digest(r.tobytes()) for r in runs]
@@ -237,11 +238,12 @@ def across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 def classified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, doc_id, tag, class): one row per document."""
     text = docs[text_col].cast("string")
-    rows = materialise(signed(docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].cast("long").alias("doc_id"),
-                                          F.xxhash64(text).alias("tag"), text.alias("text"))), "neardup-rows")
-    some = F.size("bands") > 0
-    nodes = materialise(rows.filter(some).groupBy("hi", "lo").agg(F.min("row").alias("node")), "neardup-nodes")
-    comps = links(rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "bands", "bag"))
+    with small_batches(docs.sparkSession):
+        rows = materialise(signed(docs.select(F.monotonically_increasing_id().alias("row"), docs[id_col].cast("long").alias("doc_id"),
+                                              F.xxhash64(text).alias("tag"), text.alias("text"))), "neardup-rows")
+        some = F.size("bands") > 0
+        nodes = materialise(rows.filter(some).groupBy("hi", "lo").agg(F.min("row").alias("node")), "neardup-nodes")
+        comps = links(rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "bands", "bag"))
     named = nodes.join(comps, "node", "left").select(F.col("hi").alias("h"), F.col("lo").alias("l"), F.coalesce("comp", "node").alias("comp"))
     narrow = rows.select("row", "doc_id", "tag", "hi", "lo", some.alias("some"))
     return narrow.join(named, F.col("some") & (F.col("hi") == F.col("h")) & (F.col("lo") == F.col("l")), "left").select(
