@@ -116,6 +116,19 @@ def test_spread_is_dealt_by_rows(spark, monkeypatch):
     assert P.raw(spark, SF_SMALL).rdd.getNumPartitions() == EX.spread_partitions(lines, spark.sparkContext.defaultParallelism) >= 17   # not merged by bytes
 
 
+def test_a_provider_month_stays_in_one_task(spark, monkeypatch):
+    """So that the suite's states are a row per provider and month, not one per task as well."""
+    from pyspark.sql import functions as F
+
+    from waitband.sources import extract as EX
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    monkeypatch.setattr(EX, "SPREAD_ROWS", -(-lines // 17))
+    rows = P.raw(spark, SF_SMALL).select(F.spark_partition_id().alias("task"), "Period", "Provider Org Code")
+    placed = {tuple(r) for r in rows.distinct().collect()}
+    assert len({r[0] for r in placed}) > 1
+    assert len(placed) == len({r[1:] for r in placed}) > 17
+
+
 def test_month_writes_do_not_sort_the_rows(spark, tmp_path, monkeypatch):
     """Many months in each task: no sort of the wide rows before the files."""
     from waitband import session as SE
