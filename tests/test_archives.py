@@ -185,3 +185,26 @@ def test_reader_holds_a_part_of_an_archive(tmp_path, monkeypatch):
     time.sleep(1)
     assert n and taken[0] < 40 << 20   # what is read ahead while the first batch is worked on
     assert n + sum(b.num_rows for b in batches) == 2_200_000 and taken[0] == len(text)
+
+
+def test_a_load_without_one_sound_file_is_audited(spark):
+    from waitband.operators.archive_load import load_archives
+    from waitband.operators.load import load_summary
+    base = scratch_path(spark, "test-nothing-sound")
+    local = base[len("file:"):] if base.startswith("file:") else base
+    torn = bytearray(_zip_bytes({"a.csv": _csv([("RTT-October-2025", f"P{i}", "1") for i in range(4000)])}))
+    torn[5000:5004] = b"####"
+    large = _zip_bytes({"a.csv": _csv([("RTT-January-2026", f"P{i}", "1") for i in range(9000)])})
+    for month, data in (("Oct25", bytes(torn)), ("Jan26", large)):
+        os.makedirs(os.path.join(local, "in", month))
+        with open(os.path.join(local, "in", month, f"{month}.zip"), "wb") as f:
+            f.write(data)
+    audit = load_archives(spark, f"{base}/in", f"{base}/table", "2026-02-01", min_bytes=1_000, max_bytes=len(large) - 1)
+    rows = {r.month_code: r for r in audit.collect()}
+    assert {m: (r.chosen, r.success, r.rows_loaded) for m, r in rows.items()} == {"Oct25": (True, False, 0), "Jan26": (False, False, 0)}
+    assert rows["Oct25"].error_message.startswith("BadZipFile") and rows["Jan26"].error_message.startswith("File too large")
+    summary = load_summary(audit.filter("chosen"), "month_code").first()
+    assert (summary.months, summary.failed, summary.total_rows) == (1, 1, 0)
+    # the next load, within the limit, fills the same table
+    again = load_archives(spark, f"{base}/in", f"{base}/table", "2026-02-01", min_bytes=1_000)
+    assert {r.month_code: (r.success, r.rows_loaded) for r in again.collect()} == {"Oct25": (False, 0), "Jan26": (True, 9000)}

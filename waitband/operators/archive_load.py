@@ -61,7 +61,8 @@ def load_archives(spark: SparkSession, folder: str, table_path: str, loaded_at,
         whole = {r["f"] for r in read.filter("scan_error is null").select("f").collect()}
         replace_quarantine(held, f"{table_path}_quarantine", [r["month_code"] for r in picked if r["path"] in whole], flags.select("path"))
         kept = held.groupBy(F.col("_source_file").alias("q")).agg(F.count(F.lit(1)).cast("bigint").alias("rows_held"))
-        loaded = spark.read.parquet(table_path).groupBy(F.col("_source_file").alias("t")).agg(F.count(F.lit(1)).cast("bigint").alias("rows_in_table"))
+        # declared, not inferred: where no chosen file was sound the table may hold no file yet
+        loaded = spark.read.schema("_source_file string").parquet(table_path).groupBy(F.col("_source_file").alias("t")).agg(F.count(F.lit(1)).cast("bigint").alias("rows_in_table"))
         read = read.join(kept, F.col("f") == F.col("q"), "left").join(loaded, F.col("f") == F.col("t"), "left").drop("q", "t")
     else:
         read = spark.createDataFrame([], "f string, rows_read bigint, scan_error string, rows_held bigint, rows_in_table bigint")
