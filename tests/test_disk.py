@@ -40,3 +40,12 @@ def test_a_line_is_narrow_until_its_group_is_whole(spark):
     assert {c for c, t in kinds.items() if t == "string"} == set()
     codes = spark.createDataFrame([(k,) for k in (-3, -1, 0, 7, 8, None)], "k bigint").select(EX._code(F.col("k"), EX.SPECIALTY_CODES)).collect()
     assert [r[0] for r in codes] == [None, None, 0, 7, None, None]
+
+
+def test_a_run_without_rebalance_loads_the_same(spark, tmp_path):
+    raw = P.raw(spark, SF_SMALL)
+    done = [P.run_pipeline(raw, scratch_path(spark, "test-run"), source_file="f", rebalance=r) for r in (True, False)]
+    assert done[0]["months_loaded"] == done[1]["months_loaded"] and len(done[0]["months_loaded"]) == 6
+    for t in ("raw", "fact"):
+        a, b = (spark.read.parquet(x[t]) for x in done)
+        assert a.count() and not a.exceptAll(b.select(a.columns)).count() and not b.exceptAll(a.select(b.columns)).count()
