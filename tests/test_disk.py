@@ -42,6 +42,18 @@ def test_a_line_is_narrow_until_its_group_is_whole(spark):
     assert [r[0] for r in codes] == [None, None, 0, 7, None, None]
 
 
+def test_gzipped_staging_makes_the_same_archive(spark, tmp_path):
+    rows = spark.range(0, 4000, 1, 4).selectExpr("cast(id as string) x", "repeat(',', 50) y", "'Jan26' m")
+    held, staged = {}, {}
+    for kind in (None, "gzip"):
+        FX.write_zip_archives(rows, f"{tmp_path}/{kind}", "m", f"{tmp_path}/csv-{kind}", compression=kind)
+        with zipfile.ZipFile(f"{tmp_path}/{kind}/Jan26/Jan26_full.zip") as z:
+            held[kind] = z.read("Jan26.csv")
+        staged[kind] = sum(os.path.getsize(f"{tmp_path}/csv-{kind}/__m=Jan26/{f}") for f in os.listdir(f"{tmp_path}/csv-{kind}/__m=Jan26") if ".csv" in f)
+    assert held[None] == held["gzip"] and held[None].count(b"\n") == 4001
+    assert staged["gzip"] * 5 < staged[None]
+
+
 def test_a_run_without_rebalance_loads_the_same(spark, tmp_path):
     raw = P.raw(spark, SF_SMALL)
     done = [P.run_pipeline(raw, scratch_path(spark, "test-run"), source_file="f", rebalance=r) for r in (True, False)]

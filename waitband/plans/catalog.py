@@ -205,7 +205,7 @@ def _national_from_raw_strings(spark, raw_strings):
 
 def _make_archives(spark, d):
     base = scratch_path(spark, "archives")
-    FX.write_zip_archives(_raw_with_month(spark, d), f"{base}/rtt", "_month_code", f"{base}/csv")
+    FX.write_zip_archives(_raw_with_month(spark, d), f"{base}/rtt", "_month_code", f"{base}/csv", compression="gzip")
     return f"{base}/rtt"
 
 
@@ -214,7 +214,7 @@ def _mixed_archives(spark, d):
     three files that can not be loaded."""
     folder = _make_archives(spark, d)
     raw = _raw_with_month(spark, d).filter((F.col("_month_code") == "Jan26") & (F.col("Commissioner Org Code") != "C40"))
-    FX.write_zip_archives(raw, folder, "_month_code", scratch_path(spark, "archives-csv"), name="{month}_revised.zip")
+    FX.write_zip_archives(raw, folder, "_month_code", scratch_path(spark, "archives-csv"), name="{month}_revised.zip", compression="gzip")
     FX.add_bad_archives(folder, ("Dec25", "Nov25", "Oct25"))
     return folder
 

@@ -9,13 +9,15 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import unsorted_write
+from ..session import freed_shuffles, unsorted_write
 
 
 def _zip_fn(staging_dir: str, out_dir: str, name: str, folders: list[str]):
     """One archive per folder ``__m=<month>`` of CSV files, named by its place in
-    ``folders``; the files pass through in pieces, the header comes once."""
+    ``folders``; the files, plain or gzipped, pass through in pieces, the header
+    comes once."""
     def fn(batches):
+        import gzip
         import shutil
         import zipfile
 
@@ -29,8 +31,8 @@ def _zip_fn(staging_dir: str, out_dir: str, name: str, folders: list[str]):
                 os.makedirs(folder, exist_ok=True)
                 target = os.path.join(folder, name.format(month=month))
                 with zipfile.ZipFile(target, "w", compression=zipfile.ZIP_DEFLATED) as z, z.open(f"{month}.csv", "w", force_zip64=True) as out:
-                    for k, part in enumerate(sorted(p for p in os.listdir(source) if p.endswith(".csv"))):
-                        with open(os.path.join(source, part), "rb") as f:
+                    for k, part in enumerate(sorted(p for p in os.listdir(source) if p.endswith((".csv", ".csv.gz")))):
+                        with (gzip.open if part.endswith(".gz") else open)(os.path.join(source, part), "rb") as f:
                             if k:
                                 f.readline()
                             shutil.copyfileobj(f, out, 1 << 20)
@@ -46,14 +48,16 @@ def local_folder(path: str) -> str:
     return "/" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path
 
 
-def write_zip_archives(df: DataFrame, out_dir: str, month_col: str, staging_dir: str, name: str = "{month}_full.zip") -> None:
+def write_zip_archives(df: DataFrame, out_dir: str, month_col: str, staging_dir: str, name: str = "{month}_full.zip",
+                       compression: str | None = None) -> None:
     """One ZIP with one CSV per month under ``out_dir/<month>/``.  Every task
-    writes its rows as CSV by month; then a task per month packs the month's files."""
+    writes its rows as CSV by month (``compression="gzip"``: gzipped, a tenth of the
+    disk); then a task per month packs the month's files."""
     target, staged = local_folder(out_dir), local_folder(staging_dir)
     spark = df.sparkSession
-    with unsorted_write(spark):
+    with unsorted_write(spark), freed_shuffles(spark):
         (df.withColumn("__m", F.col(f"`{month_col}`")).drop(month_col).write.mode("overwrite")
-         .option("header", True).partitionBy("__m").csv(staging_dir))
+         .option("header", True).option("compression", compression or "none").partitionBy("__m").csv(staging_dir))
     folders = sorted(f for f in os.listdir(staged) if f.startswith("__m="))  # months of one extract: a handful
     if folders:
         (spark.range(0, len(folders), 1, len(folders)).mapInArrow(_zip_fn(staged, target, name, folders), "archive string")
