@@ -42,6 +42,56 @@ def test_a_line_is_narrow_until_its_group_is_whole(spark):
     assert [r[0] for r in codes] == [None, None, 0, 7, None, None]
 
 
+def test_month_loads_free_their_shuffles(spark, tmp_path):
+    rows = raw_frame(spark, [{"Period": f"RTT-{m}", "Provider Org Code": f"P{i}", "bands": {1: i}}
+                             for i in range(20) for m in ("January-2026", "December-2025")]).repartition(3)
+    before = shuffle_files(spark)
+    LD.load_months(rows, str(tmp_path / "table"), TS)
+    ING.land_csv(rows.withColumn("_month_code", F.lit("Jan26")), str(tmp_path / "landing"), 1)
+    FX.write_zip_archives(rows.withColumn("_month_code", F.lit("Jan26")), str(tmp_path / "zips"), "_month_code", str(tmp_path / "csv"))
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert spark.read.parquet(str(tmp_path / "table")).count() == 40
+
+
+def test_a_landing_runs_its_source_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def month(i):
+        seen.add(1)
+        return None if i % 10 == 9 else f"M{i % 3}"
+
+    rows = spark.range(0, 60, 1, 3).select(F.col("id").cast("string").alias("x"), month.asNondeterministic()("id").alias("_month_code"))
+    landing = str(tmp_path / "landing")
+    for rebalance in (False, True):
+        ING.land_csv(rows, landing, 1 + rebalance, rebalance=rebalance)
+    assert seen.value == 120
+    files = [os.path.join(d, f) for d, _, fs in os.walk(landing) for f in fs if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    for version in (1, 2):   # rows without a month complete no month
+        assert [ING.latest_complete(spark, landing, m) for m in ("M0", "M1", "M2", "None", "__HIVE_DEFAULT_PARTITION__")] == [2, 2, 2, None, None]
+        landed = spark.read.option("header", True).csv(landing).filter(F.col("_landing_version") == version)
+        assert sorted(int(r.x) for r in landed.select("x").collect()) == list(range(60))
+    # a second landing of a version completes the months that it brings, no other
+    ING.land_csv(rows, landing, 3, complete=False)
+    ING.land_csv(rows.filter("x < 30").withColumn("_month_code", F.lit("M1")), landing, 3)
+    assert [ING.latest_complete(spark, landing, m) for m in ("M0", "M1")] == [2, 3]
+
+
+def test_the_ingest_stream_reads_no_landed_file(spark, tmp_path):
+    """It asks for folder names; a month is read once, when it is rebuilt."""
+    landing = str(tmp_path / "landing")
+    rows = raw_frame(spark, [{"Provider Org Code": "AAA", "bands": {1: 1}}]).withColumn("_month_code", F.lit("Jan26"))
+    ING.land_csv(rows, landing, 1, complete=False)
+    folder = ING.version_dir(landing, "Jan26", 1)
+    for f in os.listdir(folder):
+        with open(os.path.join(folder, f), "wb") as out:
+            out.write(b"\x1f\x8bnot gzip at all")
+    ING.ingest_available(spark, landing, str(tmp_path / "table"), str(tmp_path / "checkpoint"), TS)   # no marker yet: nothing to build
+    assert not os.path.exists(tmp_path / "table")
+
+
 def test_gzipped_staging_makes_the_same_archive(spark, tmp_path):
     rows = spark.range(0, 4000, 1, 4).selectExpr("cast(id as string) x", "repeat(',', 50) y", "'Jan26' m")
     held, staged = {}, {}
