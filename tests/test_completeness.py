@@ -100,3 +100,21 @@ def test_a_month_that_waits_too_long_is_told(spark):
     finally:
         q.stop()
     assert ("Jan26", "stalled", 1, 0) in told
+
+
+def test_the_stateful_step_has_few_tasks_and_landings_are_gzipped(spark):
+    import os
+    w = World(spark)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        w.land(part(spark, (JAN, "A"), (DEC, "D")), 1, 1, 1)
+        w.run()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert table(spark, w.target) == [("Dec25", "D", False), ("Jan26", "A", False)]
+    local = lambda p: p.removeprefix("file:")
+    assert len([s for s in os.listdir(f"{local(w.checkpoint)}/state/0") if s.isdigit()]) == CO.STATE_TASKS
+    landed = [f for _, _, fs in os.walk(f"{local(w.landing)}/version=1") for f in fs if f.startswith("part-")]
+    assert len(landed) >= 2 and all(f.endswith(".csv.gz") for f in landed)

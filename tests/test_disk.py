@@ -111,3 +111,20 @@ def test_a_run_without_rebalance_loads_the_same(spark, tmp_path):
     for t in ("raw", "fact"):
         a, b = (spark.read.parquet(x[t]) for x in done)
         assert a.count() and not a.exceptAll(b.select(a.columns)).count() and not b.exceptAll(a.select(b.columns)).count()
+
+
+def test_a_task_reads_few_gzipped_files(spark, tmp_path):
+    """Cut by bytes on disk alone, one task would unpack a landing of hundreds of megabytes."""
+    from waitband.session import packed_reads
+    spark.range(0, 40, 1, 40).selectExpr("cast(id as string) x").write.option("compression", "gzip").csv(str(tmp_path / "g"))
+    files = spark.read.schema("x string").csv(str(tmp_path / "g"))
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(64 << 20))   # a file counts as 64 MB
+    try:
+        with packed_reads(spark):
+            assert files.select("x").rdd.getNumPartitions() == 40
+        assert files.select("x").rdd.getNumPartitions() <= 20
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
